@@ -1,0 +1,94 @@
+from datetime import datetime
+
+import pytest
+from conftest import at, rows
+from pyspark.sql import functions as F
+
+from tidemark import session
+from tidemark.sources import envelope, readers
+from tidemark.streaming import sinks
+
+
+def test_text_lines(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("one two\n\nthree\n")
+    df = readers.text(spark, f"{tmp_path}/in", "lines")
+    assert tuple(df.columns) == envelope.COLUMNS
+    assert rows(df, "value", "topic") == [("", "lines"), ("one two", "lines"), ("three", "lines")]
+    stream = readers.text(spark, f"{tmp_path}/in", "lines", streaming=True)
+    assert stream.isStreaming and stream.columns == df.columns
+
+
+@pytest.mark.parametrize("folder", [False, True])
+def test_a_table_streams_whether_file_or_folder(spark, tmp_path, folder):
+    written = f"{tmp_path}/written"
+    spark.range(5).coalesce(1).write.parquet(written)
+    path = written
+    if not folder:
+        path = f"{tmp_path}/table.parquet"
+        next((tmp_path / "written").glob("part-*.parquet")).rename(path)
+        (tmp_path / "table.parquet2").write_text("not this one")
+    stream = readers.table(spark, path, streaming=True)
+    query = sinks.start(
+        stream,
+        sinks.to_memory(),
+        name=f"table_{folder}",
+        checkpoint=f"{tmp_path}/progress",
+        every=None,
+    )
+    sinks.drain(query)
+    assert rows(spark.table(f"table_{folder}")) == rows(readers.table(spark, path))
+
+
+def test_table_columns_take_their_parts(spark):
+    df = spark.createDataFrame([(7, "x", datetime(2024, 1, 1))], "id long, body string, made timestamp_ntz")
+    found = envelope.from_table(df, value="body", topic="t", key="id", ts="made", offset=F.col("id") + 1)
+    assert tuple(found.columns) == envelope.COLUMNS
+    assert tuple(found.first()) == ("7", "x", datetime(2024, 1, 1), "t", 0, 8)
+
+
+def test_kafka_rows_become_records(spark):
+    raw = spark.createDataFrame(
+        [(bytearray(b"k"), bytearray("ż".encode()), "t", 3, 9, at(1), 0)],
+        "key binary, value binary, topic string, partition int, offset long, timestamp timestamp, timestampType int",
+    )
+    assert tuple(envelope.from_kafka(raw).first()) == ("k", "ż", at(1), "t", 3, 9)
+
+
+def test_kafka_source_options():
+    secure = {"kafka.security.protocol": "SSL", "kafka.ssl.truststore.location": "/etc/trust"}
+    found = readers.kafka_options("broker:9092", "lines", "latest", secure)
+    assert found == {
+        "kafka.bootstrap.servers": "broker:9092",
+        "subscribe": "lines",
+        "startingOffsets": "latest",
+        **secure,
+    }
+    assert readers.kafka_options("b:1", "t", "earliest")["startingOffsets"] == "earliest"
+    assert "startingOffsets" not in readers.kafka_options("b:1", "t")
+
+
+def test_kafka_sink_options_and_columns(spark):
+    assert sinks.kafka_sink_options("b:1", "out", {"kafka.acks": "all"}) == {
+        "kafka.bootstrap.servers": "b:1",
+        "topic": "out",
+        "kafka.acks": "all",
+    }
+    df = spark.createDataFrame([(5, "v")], "n long, body string")
+    sent = sinks.keyed_message(df, "n", F.upper("body"))
+    assert [tuple(r) for r in sent.collect()] == [("5", "V")]
+
+
+def test_start_position_of_files(spark):
+    df = spark.createDataFrame([(at(0),), (at(10),)], "ts timestamp")
+    assert readers.since(df, at(5)).count() == 1
+    assert readers.since(df, None).count() == 2
+
+
+def test_written_tables_come_back_whole(spark):
+    df = spark.range(10).withColumn("ts", F.lit(at(3)))
+    back = session.written(df, "test")
+    assert rows(back) == rows(df)
+    assert back.schema.fieldNames() == df.schema.fieldNames()
+    assert session.run_dir(spark, "x") != session.run_dir(spark, "x")
+    assert session.run_dir(spark, "x").startswith(session.shared_dir(spark))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -37,28 +39,29 @@ def decode(df: DataFrame, schema: StructType, source: str = "value") -> DataFram
     A missing or null number is 0; a missing or null string stays null.  A null
     or empty source is malformed.
 
-    The text is parsed once.  ``explode`` of a one-element array keeps the
-    optimizer from pushing a later filter below the parse, which would repeat it.
+    The text is parsed once and each field read once.  ``explode`` of a
+    one-element array holds the result: the optimizer does not push a later
+    filter below it, which would repeat the work.
     """
     fields = F.try_variant_get(F.try_parse_json(F.col(source)), "$", "map<string,variant>")
     parsed = df.withColumn("__fields", F.explode(F.array(fields)))
     found = F.col("__fields")
-    read = [_read(found[f.name], f.dataType) for f in schema]
     names = F.array(*[F.lit(f.name) for f in schema])
-    bad = F.lit(False)
-    for _, is_bad in read:
-        bad = bad | is_bad
-    reason = (
-        F.when(found.isNull(), MALFORMED)
-        .when(F.size(F.array_except(F.map_keys(found), names)) > 0, UNKNOWN_FIELD)
-        .when(bad, BAD_FIELD)
+    extra = F.size(F.array_except(F.map_keys(found), names)) > 0
+    fault = F.when(found.isNull(), MALFORMED).when(extra, UNKNOWN_FIELD)
+    reads = [_read(found[f.name], f.dataType).alias(f.name) for f in schema]
+    read = parsed.withColumn("__read", F.explode(F.array(F.struct(fault.alias("__fault"), *reads))))
+    bad = reduce(
+        lambda a, b: a | b,
+        [_is_bad(F.col("__read")[f.name], found[f.name], f.dataType) for f in schema],
+    )
+    value = F.struct(
+        *[_or_default(F.col("__read")[f.name], f.dataType).alias(f.name) for f in schema]
     )
-    value = F.struct(*[v.alias(f.name) for f, (v, _) in zip(schema, read)])
     return (
-        parsed.withColumn("__reason", F.explode(F.array(reason)))
-        .withColumn("decoded", F.when(F.col("__reason").isNull(), value))
-        .withColumnRenamed("__reason", "reject_reason")
-        .drop("__fields")
+        read.withColumn("reject_reason", F.coalesce("__read.__fault", F.when(bad, BAD_FIELD)))
+        .withColumn("decoded", F.when(F.col("reject_reason").isNull(), value))
+        .drop("__fields", "__read")
     )
 
 
@@ -72,20 +75,35 @@ def quarantined(decoded: DataFrame) -> DataFrame:
     return decoded.where(F.col("reject_reason").isNotNull()).drop("decoded")
 
 
-def _read(field: Column, kind: DataType) -> tuple[Column, Column]:
-    """(value, is it unusable) of one variant field; null means missing."""
+def _read(field: Column, kind: DataType) -> Column:
+    """A variant field as ``kind``; null where it is missing, null or does not read."""
+    if isinstance(kind, StringType):
+        return F.try_variant_get(field, "$", "string")
+    if type(kind) in _NUMBERS:
+        return F.try_variant_get(field, "$", _NUMBERS[type(kind)])
+    raise TypeError(f"no JSON reading for {kind.simpleString()}")
+
+
+def _is_bad(read: Column, field: Column, kind: DataType) -> Column:
+    """Whether the field must not be read as ``kind``.
+
+    What was read decides most cases; the field itself is looked at for the rest.
+    """
     shape = F.schema_of_variant(field)
-    text = F.try_variant_get(field, "$", "string")
-    nested = shape.startswith("OBJECT") | shape.startswith("ARRAY")
     if isinstance(kind, StringType):
-        return text, F.coalesce(nested, F.lit(False))
-    if type(kind) not in _NUMBERS:
-        raise TypeError(f"no JSON reading for {kind.simpleString()}")
-    number = F.try_variant_get(field, "$", _NUMBERS[type(kind)])
-    absent = field.isNull() | (shape == "VOID") | F.trim(text).isin("", "null")
-    unusable = nested | (shape == "BOOLEAN") | number.isNull()
-    zero = F.lit(0).cast(kind)
-    return F.coalesce(number, zero), ~F.coalesce(absent, F.lit(False)) & F.coalesce(unusable, F.lit(True))
+        # A nested value reads as its JSON text.
+        looks_nested = read.startswith("{") | read.startswith("[")
+        nested = looks_nested & (shape.startswith("OBJECT") | shape.startswith("ARRAY"))
+        return F.coalesce(nested, F.lit(False))
+    # true and false read as 1 and 0.
+    is_truth = read.isin(0, 1) & (shape == "BOOLEAN")
+    text = F.try_variant_get(field, "$", "string")
+    absent = field.isNull() | F.is_variant_null(field) | F.trim(text).isin("", "null")
+    return F.when(read.isNotNull(), is_truth).otherwise(~F.coalesce(absent, F.lit(False)))
+
+
+def _or_default(read: Column, kind: DataType) -> Column:
+    return read if isinstance(kind, StringType) else F.coalesce(read, F.lit(0).cast(kind))
 
 
 def encode(*columns: Column | str) -> Column:

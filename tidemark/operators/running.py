@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -91,6 +92,9 @@ def running(
             )
         base = found
 
+    # A block with nothing before it (the only block of a rare key) needs no row.
+    known = [F.col(before[n]).isNotNull() for n in measures]
+    base = base.where(reduce(lambda a, b: a | b, known))
     inside = (
         Window.partitionBy(*groups[0])
         .orderBy(*rest)
@@ -99,7 +103,7 @@ def running(
     local = cut.withColumns(
         {f"__in_{n}": of_records(*m).over(inside) for n, m in measures.items()}
     )
-    joined = local.join(base, groups[0])
+    joined = local.join(base, groups[0], "left")
     return joined.select(
         *[c for c in df.columns if c not in measures],
         *[

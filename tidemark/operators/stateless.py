@@ -21,12 +21,12 @@ def tokenize(
 
     A null text gives no row; the empty text gives one empty word.
     """
-    cut = df.select(
-        *keep,
-        text.has_leading_piece(F.col(value)).alias("__leading"),
-        text.pieces(F.col(value)).alias("__pieces"),
+    flagged = df.withColumn("__leading", text.has_leading_piece(F.col(value)))
+    # The split stands inside the generator: over a column of its own the
+    # optimizer would infer a "not empty" filter and split every text twice more.
+    spread = flagged.select(
+        *keep, "__leading", F.posexplode(text.pieces(F.col(value))).alias(position, word)
     )
-    spread = cut.select(*keep, "__leading", F.posexplode("__pieces").alias(position, word))
     kept = spread.where(text.is_word(F.col(word), F.col(position), F.col("__leading")))
     return kept.drop("__leading")
 

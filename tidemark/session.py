@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+SPLIT_HOT_JOINS = "spark.sql.adaptive.forceOptimizeSkewedJoin"
 
 # One folder per application, used only where the cluster names none.
 _local_dirs: dict[str, str] = {}
@@ -25,6 +26,7 @@ def build(app: str = "tidemark", master: str | None = None, **conf: str) -> Spar
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config(SPLIT_HOT_JOINS, "true")
         .config(STATE_STORE, ROCKSDB)
         # A repeated JSON key keeps its last value instead of failing the record.
         .config("spark.sql.variant.allowDuplicateKeys", "true")
@@ -37,12 +39,14 @@ def build(app: str = "tidemark", master: str | None = None, **conf: str) -> Spar
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Give a session made elsewhere the settings that results depend on.
+    """Give a session made elsewhere the settings this package relies on.
 
-    UTC makes zone-less table timestamps mean one instant.  RocksDB keeps
-    streaming state off the executor heap, so that it may outgrow memory.
+    UTC makes zone-less table timestamps mean one instant.  Joins are split where
+    one key is hot, even if a later grouping then needs a shuffle of its own.
+    RocksDB keeps streaming state off the executor heap, so it may outgrow memory.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set(SPLIT_HOT_JOINS, "true")
     spark.conf.set(STATE_STORE, ROCKSDB)
     return spark
 
