@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from samples import SALE_TOTALS, SALES
 
 from tidemark.operators import aggregates
-from tidemark.operators.running import running
+from tidemark.operators.running import hot_keys, running
 from tidemark.operators.stateless import peek, rekey, rekey_by_number, with_key
 
 SCHEMA = "key string, value long, partition int, offset long"
@@ -73,6 +73,31 @@ def test_running_equals_replay_whatever_the_blocks(skewed, how, widths):
     assert rows(found, "key", "partition", "offset", "value") == replay(records, STEPS[how])
 
 
+@pytest.mark.parametrize("widths", [(1 << 20,), (7,), (5, 50)])
+@pytest.mark.parametrize("limit", [0, 6, 100, 10_000])
+def test_only_hot_keys_are_cut(skewed, limit, widths):
+    records, df = skewed
+    hot = hot_keys(df, ["key"], limit)
+    if limit == 100:
+        assert rows(hot) == [("hot",)]
+    found = running(
+        df,
+        ["key"],
+        ["partition", "offset"],
+        {"value": ("sum", "value")},
+        block_on="offset",
+        widths=widths,
+        hot=hot,
+    )
+    assert rows(found, "key", "partition", "offset", "value") == replay(records, STEPS["sum"])
+
+
+def test_hot_keys_and_given_totals_exclude_each_other(skewed):
+    _, df = skewed
+    with pytest.raises(ValueError):
+        aggregates.changelog(df, hot=hot_keys(df, ["key"]), start=aggregates.grouped(df))
+
+
 @pytest.mark.parametrize("widths", [(1 << 20,), (5, 50)])
 def test_running_goes_on_from_given_totals(spark, skewed, widths):
     records, df = skewed

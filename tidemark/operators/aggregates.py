@@ -45,17 +45,19 @@ def changelog(
     out: str = "value",
     order: Sequence[str] = ("partition", "offset"),
     block_on: str = "offset",
+    hot: DataFrame | None = None,
     start: DataFrame | None = None,
 ) -> DataFrame:
     """Every update of the total per key: one row for each record, in record order.
 
-    Batch only; ``tidemark.streaming.changelog`` is the streaming form.
-    ``start`` may give totals (key, out) to go on from.
+    Batch only; ``tidemark.streaming.changelog`` is the streaming form.  ``hot``
+    may give the keys too large for one task (``hot_keys``; else every key is
+    treated as one), ``start`` totals (key, out) to go on from.
     """
     keyed = with_key(df, key)
     source = None if how == "count" else value
     return running(
-        keyed, [key], order, {out: (how, source)}, block_on=block_on, start=start
+        keyed, [key], order, {out: (how, source)}, block_on=block_on, hot=hot, start=start
     )
 
 

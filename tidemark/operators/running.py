@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.durations import floor_div
 
+# Records of one key that a single task may sort.
+HOT = 1 << 22
+
 # How a record (first) and a partial result (second) enter each aggregate.
 _RECORDS = {"sum": F.sum, "max": F.max, "min": F.min}
 _PARTIALS = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
@@ -21,6 +24,15 @@ def _combine(how: str, earlier: Column, later: Column) -> Column:
     return F.greatest(earlier, later) if how == "max" else F.least(earlier, later)
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = HOT) -> DataFrame:
+    """Keys with more than ``limit`` records: at most one per ``limit`` records of ``df``.
+
+    Store it with ``session.written`` before use, so that its size is known.
+    """
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__records"))
+    return counted.where(F.col("__records") > limit).drop("__records")
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -29,6 +41,7 @@ def running(
     *,
     block_on: str,
     widths: Sequence[int] = (1 << 20,),
+    hot: DataFrame | None = None,
     start: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``measures`` (name -> (sum|count|max|min, column)) running over each key.
@@ -46,22 +59,37 @@ def running(
     several ``widths``, each a multiple of the one before, and the totals are
     blocked again.  ``order`` must be unique and, like ``keys``, free of nulls.
 
+    With many rare keys, most blocks of most keys hold a single record, and the
+    totals are as long as the table.  Then pass ``hot_keys`` as ``hot``: only
+    those keys are cut, the others are small enough for one window each.
+
     ``start`` holds values per key from before the first record.
     """
+    if hot is not None and start is not None:
+        raise ValueError("values to start from need every key cut: leave out hot")
     keys, order = list(keys), list(order)
     at = order.index(block_on)
-    lead, rest = order[:at], order[at:]
+    lead = [f"__lead{i}" for i in range(at)]
     blocks = [f"__block{i}" for i in range(len(widths))]
     groups = [[*keys, *lead, *blocks[i:]] for i in range(len(widths))]
     before = {name: f"__before_{name}" for name in measures}
 
-    cut = df.withColumns({b: floor_div(F.col(block_on), w) for b, w in zip(blocks, widths)})
+    # A record's block; without one (all null) it is in the one group of its key.
+    place = {name: F.col(column) for name, column in zip(lead, order)}
+    place |= {b: floor_div(F.col(block_on), w) for b, w in zip(blocks, widths)}
+    if hot is None:
+        cut = df.withColumns(place)
+        in_blocks = cut
+    else:
+        marked = df.join(hot.select(*keys, F.lit(True).alias("__hot")), keys, "left")
+        cut = marked.withColumns({n: F.when(F.col("__hot"), c) for n, c in place.items()})
+        in_blocks = cut.where(F.col("__hot"))
 
     def of_records(how: str, column: str | None) -> Column:
         return F.count(F.lit(1)) if how == "count" else _RECORDS[how](column)
 
     totals = [
-        cut.groupBy(*groups[0]).agg(*[of_records(*m).alias(n) for n, m in measures.items()])
+        in_blocks.groupBy(*groups[0]).agg(*[of_records(*m).alias(n) for n, m in measures.items()])
     ]
     for group in groups[1:]:
         partials = [_PARTIALS[how](n).alias(n) for n, (how, _) in measures.items()]
@@ -69,21 +97,22 @@ def running(
 
     base = None
     for level in reversed(range(len(widths))):
-        coarser = groups[level + 1] if level + 1 < len(widths) else keys
+        top = level + 1 == len(widths)
+        within = keys if top else groups[level + 1]
         earlier = (
-            Window.partitionBy(*coarser)
-            .orderBy(*([blocks[level]] if coarser is not keys else [*lead, blocks[level]]))
+            Window.partitionBy(*within)
+            .orderBy(*([*lead, blocks[level]] if top else [blocks[level]]))
             .rowsBetween(Window.unboundedPreceding, -1)
         )
         found = totals[level].select(
             *groups[level],
             *[_PARTIALS[how](n).over(earlier).alias(before[n]) for n, (how, _) in measures.items()],
         )
-        previous, on = (base, coarser) if base is not None else (start, keys)
-        if previous is not None:
-            names = before if base is not None else {n: n for n in measures}
-            carried = previous.select(*on, *[F.col(names[n]).alias(f"__from_{n}") for n in measures])
-            found = found.join(carried, on, "left").select(
+        carried = start if top else base
+        if carried is not None:
+            names = {n: n for n in measures} if top else before
+            carried = carried.select(*within, *[F.col(names[n]).alias(f"__from_{n}") for n in measures])
+            found = found.join(carried, within, "left").select(
                 *groups[level],
                 *[
                     _combine(how, F.col(f"__from_{n}"), F.col(before[n])).alias(before[n])
@@ -92,12 +121,13 @@ def running(
             )
         base = found
 
-    # A block with nothing before it (the only block of a rare key) needs no row.
+    # A block with nothing before it needs no row.
     known = [F.col(before[n]).isNotNull() for n in measures]
     base = base.where(reduce(lambda a, b: a | b, known))
+
     inside = (
         Window.partitionBy(*groups[0])
-        .orderBy(*rest)
+        .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     local = cut.withColumns(

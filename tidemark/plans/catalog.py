@@ -16,6 +16,7 @@ from tidemark import session
 from tidemark.functions import codecs
 from tidemark.functions.records import TICKET_SALE
 from tidemark.operators import aggregates, joins, stateless, windows
+from tidemark.operators.running import hot_keys
 from tidemark.plans import rated_movies, ticket_sales, word_count
 from tidemark.sources import envelope, readers
 from tidemark.streaming import changelog as changelog_stream
@@ -215,7 +216,8 @@ def grouped_count(spark: SparkSession, folder: str) -> DataFrame:
 
 def _sum_changes(spark: SparkSession, folder: str) -> DataFrame:
     sales = _sales(spark, folder).select("key", "value", "offset")
-    return aggregates.changelog(sales, order=["offset"])
+    hot = session.written(hot_keys(sales, ["key"]), "hot-keys")
+    return aggregates.changelog(sales, order=["offset"], hot=hot)
 
 
 def grouped_sum_changelog(spark: SparkSession, folder: str) -> DataFrame:

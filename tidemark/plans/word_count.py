@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark import session
 from tidemark.functions import codecs
 from tidemark.operators.aggregates import changelog, grouped
+from tidemark.operators.running import hot_keys
 from tidemark.operators.stateless import tokenize
 from tidemark.streaming import sinks
 
@@ -22,9 +24,13 @@ def counts(lines: DataFrame, value: str = "value") -> DataFrame:
 def count_changes(
     lines: DataFrame, value: str = "value", order: Sequence[str] = ("partition", "offset")
 ) -> DataFrame:
-    """One row per word read, in record order, with the word's count at that point."""
+    """One row per word read, in record order, with the word's count at that point.
+
+    Runs a job of its own first, to find the words too frequent for one task.
+    """
     words = tokenize(lines, value, keep=order, word="key")
-    return changelog(words, how="count", order=[*order, "pos"], block_on=order[-1])
+    hot = session.written(hot_keys(words, ["key"]), "hot-words")
+    return changelog(words, how="count", order=[*order, "pos"], block_on=order[-1], hot=hot)
 
 
 def start(
