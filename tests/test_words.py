@@ -5,6 +5,7 @@ from samples import LINES, WORD_COUNTS
 from tidemark.functions import codecs
 from tidemark.operators.stateless import tokenize
 from tidemark.plans import word_count
+from tidemark.streaming import sinks
 
 
 @pytest.mark.parametrize(
@@ -56,7 +57,7 @@ def test_empty_words_are_counted(spark):
 
 
 def test_count_messages_hold_eight_byte_counts(lines):
-    sent = word_count.messages(word_count.counts(lines))
+    sent = sinks.long_messages(word_count.counts(lines))
     found = {r.key: bytes(r.value) for r in sent.collect()}
     assert found["kafka"] == (3).to_bytes(8, "big")
 

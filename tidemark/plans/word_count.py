@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import session
-from tidemark.functions import codecs
 from tidemark.operators.aggregates import changelog, grouped
 from tidemark.operators.running import hot_keys
 from tidemark.operators.stateless import tokenize
@@ -45,8 +44,3 @@ def start(
     return sinks.start(
         counts(lines), sink, name=name, checkpoint=checkpoint, mode="update", every=every
     )
-
-
-def messages(results: DataFrame) -> DataFrame:
-    """Counts as topic messages: text key, 8-byte count."""
-    return sinks.keyed_message(results, "key", codecs.long_to_bytes(results["value"]))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark import session
+from tidemark.functions import codecs
 from tidemark.operators.aggregates import compact
 
 Sink = Callable[[DataStreamWriter], DataStreamWriter]
@@ -63,6 +64,11 @@ def keyed_message(df: DataFrame, key: Column | str, value: Column | str) -> Data
     return df.select(key.cast("string").alias("key"), value.alias("value"))
 
 
+def long_messages(df: DataFrame) -> DataFrame:
+    """Totals as messages: text key, 8-byte value."""
+    return keyed_message(df, "key", codecs.long_to_bytes(F.col("value")))
+
+
 def to_updates(path: str) -> Sink:
     """Table of update-mode results: one folder of changed rows per micro-batch.
 
