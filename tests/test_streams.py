@@ -189,11 +189,11 @@ def test_rated_movies_through_the_stored_stream(spark, feed, tmp_path):
     )
     sinks.drain(second)
     assert first.id != second.id
-    found = spark.read.schema("key string, value string").json(f"{tmp_path}/rated")
     batch = rated_movies.rated(
         rated_movies.ratings(ratings.table()), rated_movies.movies(movies.table())
     )
-    assert rows(found) == rows(rated_movies.messages(batch))
+    found = spark.read.schema(batch.schema).json(f"{tmp_path}/rated")
+    assert rows(found) == rows(batch)
     assert len(rows(found)) == 9
 
 

@@ -6,6 +6,7 @@ from conftest import at, rows
 from samples import SALES
 
 from tidemark.operators import windows
+from tidemark.plans import ticket_sales
 
 EPOCH = datetime(1970, 1, 1)
 MINUTE = timedelta(minutes=1)
@@ -153,6 +154,16 @@ def test_record_order_needs_partitions(sales):
         windows.closings(sales, MINUTE, partition=())
 
 
+def test_closed_windows_as_messages(sales):
+    row = {"window_start": at(0), "window_end": at(60), "key": "a", "value": 3}
+    df = sales.sparkSession.createDataFrame([row], "window_start timestamp, window_end timestamp, key string, value long")
+    sent = ticket_sales.minute_messages(df).first()
+    assert sent.key == "a"
+    assert sent.value == (
+        '{"window_start":"2024-01-01T00:00:00.000Z","window_end":"2024-01-01T00:01:00.000Z","value":3}'
+    )
+
+
 def test_emission_time_is_added(sales):
     found = windows.emitted(windows.tumbling(sales, MINUTE))
     assert found.columns == ["window_start", "window_end", "key", "value", "emitted_at"]

@@ -12,7 +12,7 @@ message a line, in; Parquet out.  Start it with ``spark-submit`` on a cluster.
 from __future__ import annotations
 
 import argparse
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -63,17 +63,17 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
             return readers.text(spark, name, topic=name, streaming=True)
         return readers.kafka(spark, args.servers, name, args.start, options)
 
-    def sink(name: str) -> sinks.Sink:
-        return sinks.to_parquet(name) if args.files else sinks.to_kafka(args.servers, name, options)
+    def sink(name: str, encode: Callable[[DataFrame], DataFrame]) -> sinks.Sink:
+        """Result rows as a table, or encoded as messages."""
+        if args.files:
+            return sinks.to_parquet(name)
+        return sinks.to_messages(args.servers, name, encode, options)
 
     def updates(name: str) -> sinks.Sink:
         """Changed totals: a folder per micro-batch, or messages."""
         if args.files:
             return sinks.to_updates(name)
-        kafka = sinks.kafka_sink_options(args.servers, name, options)
-        return sinks.to_batches(
-            lambda rows, _: sinks.long_messages(rows).write.format("kafka").options(**kafka).save()
-        )
+        return sinks.to_messages(args.servers, name, sinks.long_messages, options)
 
     if args.job == "word-count":
         queries = [
@@ -86,7 +86,9 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
             ticket_sales.start(
                 source(args.input),
                 updates(args.output),
-                sink(args.minutes) if args.minutes else sinks.to_console(),
+                sink(args.minutes, ticket_sales.minute_messages)
+                if args.minutes
+                else sinks.to_console(),
                 checkpoint_root=root,
                 every=every,
             )
@@ -97,7 +99,7 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
                 source(args.movies),
                 source(args.input),
                 args.movie_table,
-                sink(args.output),
+                sink(args.output, rated_movies.messages),
                 checkpoint_root=root,
                 every=every,
             )

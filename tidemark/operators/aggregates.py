@@ -45,6 +45,7 @@ def changelog(
     out: str = "value",
     order: Sequence[str] = ("partition", "offset"),
     block_on: str = "offset",
+    widths: Sequence[int] = (1 << 20,),
     hot: DataFrame | None = None,
     start: DataFrame | None = None,
 ) -> DataFrame:
@@ -57,7 +58,14 @@ def changelog(
     keyed = with_key(df, key)
     source = None if how == "count" else value
     return running(
-        keyed, [key], order, {out: (how, source)}, block_on=block_on, hot=hot, start=start
+        keyed,
+        [key],
+        order,
+        {out: (how, source)},
+        block_on=block_on,
+        widths=widths,
+        hot=hot,
+        start=start,
     )
 
 

@@ -313,8 +313,7 @@ def ticket_totals(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ticket_closed_hours(spark: SparkSession, folder: str) -> DataFrame:
-    amounts = ticket_sales.amounts(_sale_messages(spark, folder))
-    return _plain(_final_hours(amounts))
+    return _plain(ticket_sales.closed_minutes(_sale_messages(spark, folder), size=HOUR))
 
 
 def rated_movie_messages(spark: SparkSession, folder: str) -> DataFrame:

@@ -83,7 +83,7 @@ def start(
         sinks.drain(first)
     stored = hop.read(movie_messages.sparkSession, movie_table, keyed.schema)
     second = sinks.start(
-        messages(rated(ratings(rating_messages), stored)),
+        rated(ratings(rating_messages), stored),
         sink,
         name="rated-movies",
         checkpoint=f"{checkpoint_root}/rated-movies",

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark import session
 from tidemark.functions import codecs
 from tidemark.functions.records import TICKET_SALE
 from tidemark.operators.aggregates import grouped
 from tidemark.operators.stateless import rekey, with_key
-from tidemark.operators.windows import closings, tumbling_final, tumbling_stream
+from tidemark.operators.windows import closings, emitted, tumbling_final, tumbling_stream
 from tidemark.streaming import sinks
 
 MINUTE = timedelta(minutes=1)
@@ -38,15 +39,26 @@ def totals(messages: DataFrame) -> DataFrame:
 def closed_minutes(messages: DataFrame, size: timedelta = MINUTE) -> DataFrame:
     """Replay of a table: total per title of each window that closed, without grace.
 
-    Lateness is decided within the envelope's ``partition``.
+    Lateness is decided within the envelope's ``partition``.  Runs a job of its
+    own first, to find where each window closes.
     """
     rows = amounts(messages)
-    return tumbling_final(rows, closings(rows, size), size)
+    closed = session.written(closings(rows, size), "closed-minutes")
+    return tumbling_final(rows, closed, size)
 
 
 def closed_minutes_stream(messages: DataFrame, size: timedelta = MINUTE) -> DataFrame:
-    """The same on a stream, closed by Spark's watermark; run it in append mode."""
-    return tumbling_stream(amounts(messages), size)
+    """The same on a stream, closed by Spark's watermark; run it in append mode.
+
+    ``emitted_at`` tells when a result came out.
+    """
+    return emitted(tumbling_stream(amounts(messages), size))
+
+
+def minute_messages(minutes: DataFrame) -> DataFrame:
+    """Closed windows as topic messages: the title as key, a JSON value."""
+    fields = [name for name in minutes.columns if name != "key"]
+    return sinks.keyed_message(minutes, "key", codecs.encode(*fields))
 
 
 def start(

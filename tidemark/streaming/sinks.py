@@ -51,10 +51,22 @@ def kafka_sink_options(
     return {"kafka.bootstrap.servers": servers, "topic": topic, **(options or {})}
 
 
-def to_kafka(servers: str, topic: str, options: Mapping[str, str] | None = None) -> Sink:
-    """A topic.  The rows must have been through ``keyed_message``."""
+def to_messages(
+    servers: str,
+    topic: str,
+    encode: Callable[[DataFrame], DataFrame],
+    options: Mapping[str, str] | None = None,
+) -> Sink:
+    """A topic; ``encode`` turns result rows into the columns of ``keyed_message``.
+
+    Like any Kafka sink, it may send a message again after a failure.
+    """
     chosen = kafka_sink_options(servers, topic, options)
-    return lambda writer: writer.format("kafka").options(**chosen)
+
+    def send(rows: DataFrame, _: int) -> None:
+        encode(rows).write.format("kafka").options(**chosen).save()
+
+    return to_batches(send)
 
 
 def keyed_message(df: DataFrame, key: Column | str, value: Column | str) -> DataFrame:
