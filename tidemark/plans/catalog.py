@@ -70,7 +70,7 @@ def _joined(*parts: Column | str) -> Column:
     return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
 
-def _sale_messages(spark: SparkSession, folder: str) -> DataFrame:
+def _sale_messages(spark: SparkSession, folder: str, streaming: bool = False) -> DataFrame:
     """Events as JSON sales, most of them damaged in one of several ways."""
     name, cents = F.col("event_type"), _cents().cast("string")
     title = _joined('"title":"', name, '"')
@@ -100,7 +100,7 @@ def _sale_messages(spark: SparkSession, folder: str) -> DataFrame:
     for number, damaged in enumerate(kinds[1:], start=1):
         text = text.when(kind == number, damaged)
     return envelope.from_table(
-        _table(spark, folder, "events"),
+        _table(spark, folder, "events", streaming),
         value=text.otherwise(intact),
         topic="sales",
         ts="ts",
@@ -124,10 +124,25 @@ def _of_type(spark: SparkSession, folder: str, kind: str, streaming: bool = Fals
     )
 
 
-def _messages_of_type(spark: SparkSession, folder: str, kind: str, value: Column) -> DataFrame:
-    """Events of one type as JSON messages."""
+def _movie_messages(spark: SparkSession, folder: str, streaming: bool = False) -> DataFrame:
+    """Views as JSON movies: the user is the id."""
+    movie = codecs.encode(
+        F.col("user_id").alias("id"), F.col("event_type").alias("title"), F.year("ts").alias("releaseyear")
+    )
+    return _messages_of_type(spark, folder, "view", movie, streaming)
+
+
+def _rating_messages(spark: SparkSession, folder: str, streaming: bool = False) -> DataFrame:
+    """Clicks as JSON ratings of those movies."""
+    rating = codecs.encode(F.col("user_id").alias("id"), F.col("value").alias("rating"))
+    return _messages_of_type(spark, folder, "click", rating, streaming)
+
+
+def _messages_of_type(
+    spark: SparkSession, folder: str, kind: str, value: Column, streaming: bool
+) -> DataFrame:
     return envelope.from_table(
-        _table(spark, folder, "events").where(F.col("event_type") == kind),
+        _table(spark, folder, "events", streaming).where(F.col("event_type") == kind),
         value=value,
         topic=kind,
         ts="ts",
@@ -317,13 +332,8 @@ def ticket_closed_hours(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rated_movie_messages(spark: SparkSession, folder: str) -> DataFrame:
-    user = F.col("user_id").alias("id")
-    movie = codecs.encode(
-        user, F.col("event_type").alias("title"), F.year("ts").alias("releaseyear")
-    )
-    rating = codecs.encode(user, F.col("value").alias("rating"))
-    movies = hop.through(rated_movies.movies(_messages_of_type(spark, folder, "view", movie)))
-    ratings = rated_movies.ratings(_messages_of_type(spark, folder, "click", rating))
+    movies = hop.through(rated_movies.movies(_movie_messages(spark, folder)))
+    ratings = rated_movies.ratings(_rating_messages(spark, folder))
     return rated_movies.messages(rated_movies.rated(ratings, movies, reach=HOUR))
 
 
@@ -340,21 +350,33 @@ def word_count_stream(spark: SparkSession, folder: str) -> DataFrame:
     return sinks.latest_of_updates(spark, f"{root}/updates")
 
 
-def grouped_sum_stream(spark: SparkSession, folder: str) -> DataFrame:
-    totals = aggregates.grouped(_sales(spark, folder, streaming=True))
-    root = session.run_dir(spark, "grouped-sum-stream")
-    query = sinks.start(
-        totals,
-        sinks.to_updates(f"{root}/updates"),
-        name="grouped-sum",
-        checkpoint=f"{root}/progress",
-        mode="update",
-        every=None,
+def _updated(totals: DataFrame, name: str) -> DataFrame:
+    """Run an update-mode query to the end and read the table it leaves."""
+    spark = totals.sparkSession
+    root = session.run_dir(spark, name)
+    sinks.drain(
+        sinks.start(
+            totals,
+            sinks.to_updates(f"{root}/updates"),
+            name=name,
+            checkpoint=f"{root}/progress",
+            mode="update",
+            every=None,
+        )
     )
-    sinks.drain(query)
     return sinks.latest_of_updates(spark, f"{root}/updates")
 
 
+def grouped_sum_stream(spark: SparkSession, folder: str) -> DataFrame:
+    sales = _sales(spark, folder, streaming=True)
+    return _updated(aggregates.grouped(sales), "grouped-sum-stream")
+
+
+def ticket_totals_stream(spark: SparkSession, folder: str) -> DataFrame:
+    messages = _sale_messages(spark, folder, streaming=True)
+    return _updated(ticket_sales.totals(messages), "ticket-totals-stream")
+
+
 def grouped_sum_changelog_stream(spark: SparkSession, folder: str) -> DataFrame:
     sales = _sales(spark, folder, streaming=True).select("key", "value", "offset")
     root = session.run_dir(spark, "changelog-stream")
@@ -391,6 +413,24 @@ def interval_join_stream(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(_appended(pairs, "interval-join-stream"))
 
 
+def rated_movies_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole job: keyed movies are stored by one query and joined by another."""
+    root = session.run_dir(spark, "rated-movies-stream")
+    ratings = _rating_messages(spark, folder, streaming=True)
+    _, joining = rated_movies.start(
+        _movie_messages(spark, folder, streaming=True),
+        ratings,
+        f"{root}/movies",
+        sinks.to_parquet(f"{root}/rated"),
+        checkpoint_root=f"{root}/progress",
+        every=None,
+        reach=HOUR,
+        grace=HOUR,
+    )
+    sinks.drain(joining)
+    return _plain(spark.read.parquet(f"{root}/rated"))
+
+
 QUERIES: dict[str, Query] = {
     "text_source": text_source,
     "tokenize_words": tokenize_words,
@@ -424,4 +464,6 @@ QUERIES: dict[str, Query] = {
     "grouped_sum_changelog_stream": grouped_sum_changelog_stream,
     "tumbling_sum_stream": tumbling_sum_stream,
     "interval_join_stream": interval_join_stream,
+    "ticket_totals_stream": ticket_totals_stream,
+    "rated_movies_stream": rated_movies_stream,
 }

@@ -144,6 +144,13 @@ FROM sales GROUP BY 1, 2, 3 {having}
 """
 
 
+_TICKET_TOTALS = f"""
+WITH {_MESSAGES}
+SELECT title AS key, CAST(sum(tickettotalvalue) AS BIGINT) AS value
+FROM decoded WHERE reject_reason IS NULL AND title IS NOT NULL GROUP BY title
+"""
+
+
 SQL: dict[str, str] = {
     "text_source": 'SELECT doc_id AS "offset", text AS value FROM documents',
     "tokenize_words": f'WITH {_WORDS} SELECT "offset", pos, word FROM words',
@@ -201,10 +208,7 @@ SQL: dict[str, str] = {
         UNION ALL
         SELECT 'closed windows', "partition", window_start, window_end, key, value FROM final""",
     "interval_join": _PAIRS,
-    "ticket_totals": f"""
-        WITH {_MESSAGES}
-        SELECT title AS key, CAST(sum(tickettotalvalue) AS BIGINT) AS value
-        FROM decoded WHERE reject_reason IS NULL AND title IS NOT NULL GROUP BY title""",
+    "ticket_totals": _TICKET_TOTALS,
     "ticket_closed_hours": f"""
         WITH {_MESSAGES},
         amounts AS (
@@ -229,4 +233,12 @@ SQL: dict[str, str] = {
         SELECT * FROM ({_tumbling("CAST(sum(value) AS BIGINT)")})
         WHERE window_end <= (SELECT max(ts) FROM events)""",
     "interval_join_stream": _PAIRS,
+    "ticket_totals_stream": _TICKET_TOTALS,
+    "rated_movies_stream": """
+        SELECT CAST(r.user_id AS VARCHAR) AS key, greatest(r.ts, m.ts) AS ts, m.user_id AS id,
+               m.event_type AS title, CAST(year(m.ts) AS INTEGER) AS releaseyear, r.value AS rating
+        FROM events r JOIN events m
+          ON r.user_id = m.user_id
+         AND m.ts BETWEEN r.ts - INTERVAL '1 hour' AND r.ts + INTERVAL '1 hour'
+        WHERE r.event_type = 'click' AND m.event_type = 'view'""",
 }

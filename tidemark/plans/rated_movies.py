@@ -66,6 +66,8 @@ def start(
     *,
     checkpoint_root: str,
     every: str | None = "10 seconds",
+    reach: timedelta = REACH,
+    grace: timedelta = GRACE,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Two queries: one stores the keyed movies, one joins ratings to what is stored.
 
@@ -83,7 +85,7 @@ def start(
         sinks.drain(first)
     stored = hop.read(movie_messages.sparkSession, movie_table, keyed.schema)
     second = sinks.start(
-        rated(ratings(rating_messages), stored),
+        rated(ratings(rating_messages), stored, reach, grace),
         sink,
         name="rated-movies",
         checkpoint=f"{checkpoint_root}/rated-movies",

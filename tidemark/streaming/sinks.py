@@ -85,6 +85,7 @@ def to_updates(path: str) -> Sink:
     """Table of update-mode results: one folder of changed rows per micro-batch.
 
     A batch that is run again overwrites its own folder, so nothing doubles.
+    Keep ``path`` and the query's checkpoint together: batch numbers belong to both.
     """
 
     def write(rows: DataFrame, batch_id: int) -> None:
