@@ -139,6 +139,18 @@ def test_stream_time(disorder, widths):
     assert rows(windows.stream_time(df, widths=widths), "offset", "stream_time") == times
 
 
+def test_stream_time_of_each_key(disorder):
+    records, df = disorder
+    by_key = [(k, v, ts, k, o) for k, v, ts, _, o in records]
+    late, totals, _ = replay(by_key, MINUTE, timedelta(0))
+    closed = windows.closings(df, MINUTE, partition=["key"])
+    assert rows(windows.late(df, closed, MINUTE, partition=["key"]), "offset") == late
+    found = windows.tumbling_final(df, closed, MINUTE, partition=["key"])
+    assert found.columns == ["window_start", "window_end", "key", "value"]
+    wanted = sorted(((start, key, total) for _, start, key, total in totals), key=repr)
+    assert rows(found, "window_start", "key", "value") == wanted
+
+
 def test_counts_instead_of_sums(disorder):
     records, df = disorder
     ones = [(k, 1, ts, p, o) for k, _, ts, p, o in records]

@@ -1,4 +1,7 @@
+import random
+
 import pytest
+import regex
 from conftest import rows
 from samples import LINES, WORD_COUNTS
 
@@ -33,6 +36,22 @@ def test_words_of_a_line(spark, text, words):
     assert [r.pos for r in found] == list(range(len(words)))
 
 
+def test_words_of_random_texts(spark):
+    """Against an independent splitter; the alphabet mixes scripts, marks and delimiters."""
+    draw = random.Random(3)
+    alphabet = "aB_9 -!żŁß日\u0301\u200d٣Ⅷé.\n\u00a0"
+    texts = ["".join(draw.choices(alphabet, k=draw.randrange(12))) for _ in range(600)]
+    delimiter = regex.compile(r"[^\p{Alphabetic}\p{M}\p{Nd}\p{Pc}\p{Join_Control}]+")
+    wanted = []
+    for i, text in enumerate(texts):
+        words = delimiter.split(text.lower())
+        while len(words) > 1 and words[-1] == "" or (words == [""] and text != ""):
+            words.pop()
+        wanted += [(i, pos, word) for pos, word in enumerate(words)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, value string")
+    assert rows(tokenize(df, keep=["id"]), "id", "pos", "word") == sorted(wanted, key=repr)
+
+
 @pytest.fixture
 def lines(spark):
     records = [(line, 0, i) for i, line in enumerate(LINES)]

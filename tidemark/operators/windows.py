@@ -178,15 +178,17 @@ def tumbling_final(
 ) -> DataFrame:
     """Final total per (partition, closed window, key), late records left out.
 
-    ``closed`` is ``closings`` of the same records, size and grace.
+    ``closed`` is ``closings`` of the same records, size and grace.  ``partition``
+    may be the key itself, which gives every key a stream time of its own.
     """
     found = _in_closed_windows(with_key(df, key), closed, size, partition, ts)
+    others = [name for name in partition if name != key]
     totals = (
         found.where(F.col(offset) < F.col("closed_at"))
-        .groupBy(*partition, "window_index", key)
+        .groupBy(*others, "window_index", key)
         .agg(measure(how, value).alias(value))
     )
-    return totals.select(*partition, *_bounds(size), key, value)
+    return totals.select(*others, *_bounds(size), key, value)
 
 
 def emitted(results: DataFrame) -> DataFrame:

@@ -11,6 +11,10 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 SPLIT_HOT_JOINS = "spark.sql.adaptive.forceOptimizeSkewedJoin"
 
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+# Fixed value: what Spark takes when nothing is set.
+DEFAULT_SHUFFLE_PARTITIONS = "200"
+
 # One folder per application, used only where the cluster names none.
 _local_dirs: dict[str, str] = {}
 
@@ -44,7 +48,14 @@ def configure(spark: SparkSession) -> SparkSession:
     UTC makes zone-less table timestamps mean one instant.  Joins are split where
     one key is hot, even if a later grouping then needs a shuffle of its own.
     RocksDB keeps streaming state off the executor heap, so it may outgrow memory.
+    A session that leaves the number of shuffle partitions at Spark's fixed default
+    gets one per core: a stream keeps its number for life, and each costs stores.
     """
+    if (
+        not spark.sparkContext.getConf().contains(SHUFFLE_PARTITIONS)
+        and spark.conf.get(SHUFFLE_PARTITIONS) == DEFAULT_SHUFFLE_PARTITIONS
+    ):
+        spark.conf.set(SHUFFLE_PARTITIONS, str(spark.sparkContext.defaultParallelism))
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set(SPLIT_HOT_JOINS, "true")
     spark.conf.set(STATE_STORE, ROCKSDB)
