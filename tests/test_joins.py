@@ -82,6 +82,12 @@ def test_a_stream_needs_a_grace_period(spark, feed):
         joined(source.stream(), source.stream())
 
 
+def test_both_streams_carry_a_watermark(spark, feed):
+    source = feed(LEFT).add([("a", at(0), 0, 0)])
+    df = joined(source.stream(), source.stream(), grace=HALF_MINUTE)
+    assert df._jdf.queryExecution().analyzed().toString().count("EventTimeWatermark") == 2
+
+
 @pytest.fixture(scope="module")
 def messages(spark):
     def of(records, fields):

@@ -63,7 +63,10 @@ def tumbling_stream(
     value: str = "value",
     ts: str = "ts",
 ) -> DataFrame:
-    """``tumbling`` on a stream; in append mode each window comes out once, closed."""
+    """``tumbling`` on a stream; in append mode each window comes out once, closed.
+
+    Late records are dropped and counted in the query's progress.
+    """
     return tumbling(df.withWatermark(ts, interval_text(grace)), size, how, key, value, ts)
 
 
