@@ -37,7 +37,7 @@ def _arguments(given: Sequence[str] | None) -> argparse.Namespace:
         job.add_argument("--option", action="append", default=[], metavar="KEY=VALUE",
                          help="passed to the Kafka source and sink, e.g. security settings")
         job.add_argument("--checkpoint", help="folder to go on from; default: a new one")
-        job.add_argument("--reset", action="store_true", help="start over in a new folder")
+        job.add_argument("--reset", action="store_true", help="start over in a new folder; give a new output folder too")
         job.add_argument("--once", action="store_true", help="handle what is there and stop")
         job.add_argument("--every", default="10 seconds")
         if name == "ticket-sales":
