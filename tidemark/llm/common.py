@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import io
 import os
 import posixpath
@@ -13,6 +14,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark import session
 
@@ -24,6 +26,15 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return session.written(df, name)
 
 
+def free(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of jobs whose results are stored.
+
+    It does so when the driver's garbage is collected, which may otherwise take long.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table made by `store` once nothing reads it any more."""
     spark = df.sparkSession
@@ -76,14 +87,14 @@ def narrow(batch: pa.RecordBatch, rows: int = 4096) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, rows)
 
 
-def in_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+def in_batches(df: DataFrame, function: Callable, schema: str | StructType, rows: int = 4096) -> DataFrame:
     """`mapInArrow` for a function from one record batch to several."""
 
     ship(df.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in narrow(batch):
+            for part in narrow(batch, rows):
                 yield from function(part)
 
     return df.mapInArrow(run, schema)
