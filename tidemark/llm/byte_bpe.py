@@ -118,7 +118,6 @@ def encoded(
     """
     built = docs.sparkSession.sparkContext.broadcast(definition(path, pattern))
 
-    @lru_cache(maxsize=1)
     def tools():
         from tokenizers import Tokenizer
 

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -56,11 +57,15 @@ def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors' Python workers, once per application."""
+    # Rows are whole texts here: a batch of Spark's fixed default, 10000, would be large.
+    if int(spark.conf.get(BATCH)) == 10_000:
+        spark.conf.set(BATCH, "1000")
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
@@ -139,7 +144,7 @@ def _hash_blob(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     return mix(hashes + lengths.astype(np.uint64) * _ODD[0]), starts
 
 
-def _cut(text: bytes) -> Iterator[bytes]:
+def cut(text: bytes) -> Iterator[bytes]:
     """Pieces of a long text, cut after white space."""
     at = 0
     while len(text) - at > PIECE:
@@ -151,6 +156,15 @@ def _cut(text: bytes) -> Iterator[bytes]:
     yield text[at:]
 
 
+def hash_bytes(data: bytes) -> np.ndarray:
+    """Hashes of the words of UTF-8 bytes."""
+    return _hash_blob(data)[0]
+
+
+def small_hash(value: str | None) -> int:
+    return 0 if value is None else xxhash.xxh3_64_intdigest(value) >> 1
+
+
 def hashed_words(texts: list[str | None]) -> Iterator[np.ndarray]:
     """64-bit hashes of each text's words `[^\\x20\\x09-\\x0D]+`, A-Z lower-cased.
 
@@ -172,7 +186,7 @@ def hashed_words(texts: list[str | None]) -> Iterator[np.ndarray]:
             yield from flush()
             group, size = [], 0
         if len(data) > PIECE:
-            yield np.concatenate([_hash_blob(piece)[0] for piece in _cut(data)])
+            yield np.concatenate([_hash_blob(piece)[0] for piece in cut(data)])
         else:
             group.append(data)
             size += len(data)
@@ -208,11 +222,13 @@ def bitmap(df: DataFrame, column: str) -> np.ndarray:
     Never more than BITS / 64 rows reach the driver.  A value may share its bit with
     another, so a set bit means "perhaps".
     """
-    slot = F.pmod(F.xxhash64(F.col(column)), F.lit(BITS))
+    return bitmap_of(df.where(F.col(column).isNotNull()).select(slot_of(column).alias("slot")))
+
+
+def bitmap_of(slots: DataFrame) -> np.ndarray:
+    """The bitmap of a table with one column `slot`."""
     rows = (
-        df.where(F.col(column).isNotNull())
-        .select(slot.alias("slot"))
-        .groupBy(F.shiftright("slot", 6).alias("word"))
+        slots.groupBy(F.shiftright("slot", 6).alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits"))
         .toArrow()
     )

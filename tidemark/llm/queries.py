@@ -4,21 +4,98 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard
+from tidemark.llm import (
+    byte_bpe,
+    cotraining,
+    decontaminate,
+    jaccard,
+    line_dedup,
+    pivots,
+    reshard,
+    secret_scan,
+    token_files,
+    warc_index,
+)
+
+END_ID = 2
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def warc(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc_index.archived(_table(spark, folder, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return pivots.linked(_table(spark, folder, "embeddings"))
+
+
 def ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_documents(_table(spark, folder, "documents"))
 
 
+def lines_deduplicated(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.deduplicated(_table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.reported(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.reported(_table(spark, folder, "documents"))
+
+
+def token_id_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_files.read(token_files.write(_table(spark, folder, "documents"), path, END_ID))
+
+
+def byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    found = byte_bpe.encoded(_table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
+    return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    return cotraining.scored(docs, cotraining.fit(docs, labels))
+
+
+def resharding(spark: SparkSession, folder: str) -> DataFrame:
+    """From shards by source, one of which may hold a third, to eight of the same size."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "source")
+    found = reshard.resharded(docs, F.pmod(F.xxhash64("source"), F.lit(8)))
+    text = F.coalesce("text", F.lit(""))
+    return found.select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(F.encode(text, "utf-8")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        F.col("shard_no").cast("int").alias("shard"),
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_index": warc,
+    "op2_embedding_near_dedup": embedding_near_dedup,
     "op3_ngram_jaccard": ngram_jaccard,
+    "op4_line_dedup": lines_deduplicated,
+    "op5_decontamination": decontamination,
+    "op6_secret_scan": secrets,
+    "op7_token_files": token_id_files,
+    "op8_byte_bpe": byte_level_bpe,
+    "op9_quality_classifier": quality_classifier,
+    "op10_resharding": resharding,
 }
 
 SQL: dict[str, str] = {}

@@ -36,8 +36,8 @@ BLOCK = 1024
 PERCENT = 95
 RUN = 256  # blocks written or read at a time
 MAGIC = b"PFORIDS1"
-_HEAD = struct.Struct("<HBHI")
-_TAIL = struct.Struct("<QQQQ")
+HEAD = "<HBHI"
+TAIL = "<QQQQ"
 
 
 def _pack(values: np.ndarray, width: int) -> bytes:
@@ -61,7 +61,7 @@ def encode_block(ids: np.ndarray) -> bytes:
     beyond = np.flatnonzero(values >= (1 << width)) if width < 32 else np.empty(0, int)
     return b"".join(
         (
-            _HEAD.pack(len(values), width, len(beyond), least),
+            struct.pack(HEAD, len(values), width, len(beyond), least),
             _pack(values, width) if width else b"",
             beyond.astype("<u2").tobytes(),
             values[beyond].astype("<u4").tobytes(),
@@ -70,8 +70,8 @@ def encode_block(ids: np.ndarray) -> bytes:
 
 
 def decode_block(data: bytes) -> np.ndarray:
-    count, width, beyond, least = _HEAD.unpack_from(data)
-    at = _HEAD.size
+    count, width, beyond, least = struct.unpack_from(HEAD, data)
+    at = struct.calcsize(HEAD)
     packed = (count * width + 7) // 8
     values = _unpack(data[at : at + packed], count, width) if width else np.zeros(count, np.uint32)
     at += packed
@@ -117,7 +117,7 @@ class Writer:
             np.array(self.counts, "<u8"),
         ):
             self.out.write(array.tobytes())
-        self.out.write(_TAIL.pack(len(self.starts), len(self.docs), sum(self.counts), self.at) + MAGIC)
+        self.out.write(struct.pack(TAIL, len(self.starts), len(self.docs), sum(self.counts), self.at) + MAGIC)
 
 
 class Reader:
@@ -126,10 +126,10 @@ class Reader:
     def __init__(self, source):
         self.source = source
         size = source.size()
-        end = self._at(size - _TAIL.size - len(MAGIC), _TAIL.size + len(MAGIC))
-        if end[_TAIL.size :] != MAGIC:
+        end = self._at(size - struct.calcsize(TAIL) - len(MAGIC), struct.calcsize(TAIL) + len(MAGIC))
+        if end[struct.calcsize(TAIL) :] != MAGIC:
             raise ValueError("not a file of token ids")
-        blocks, docs, self.total, tail = _TAIL.unpack(end[: _TAIL.size])
+        blocks, docs, self.total, tail = struct.unpack(TAIL, end[: struct.calcsize(TAIL)])
         data = self._at(tail, 8 * blocks + 17 * docs)
         self.starts = np.append(np.frombuffer(data, "<u8", blocks), np.uint64(tail)).astype(np.int64)
         ids = np.frombuffer(data, "<i8", docs, 8 * blocks)
@@ -189,7 +189,7 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_
         task = TaskContext.get()
         name = f"ids-{task.partitionId():06d}-{uuid.uuid4().hex}.pfor"
         fs, inner = common.filesystem(f"{folder}/{name}")
-        with fs.open_output_stream(inner) as out:
+        with fs.open_output_stream(inner, compression=None) as out:
             writer = Writer(out)
             for batch in batches:
                 for part in common.narrow(batch, 256):
@@ -204,7 +204,7 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     parts = int(spark.conf.get(session.SHUFFLE_PARTITIONS))
     ordered = picked.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
-    made = ordered.mapInArrow(run, "part int, path string, docs long, ids long")
+    made = ordered.mapInArrow(run, "part long, path string, docs long, ids long")
     manifest = common.store(made, "ids-manifest")
     # One row per file: the running total needs no more than one task.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

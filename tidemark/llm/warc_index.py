@@ -39,7 +39,7 @@ LEAST = 1000  # bytes of a payload that may be stored once for several pages
 LINES = 1000  # entries in an index block
 FILES = 10_000  # most index files
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-_TAIL = struct.Struct("<QQ")
+TAIL = "<QQ"
 
 
 def url_key(url: Column) -> Column:
@@ -145,7 +145,7 @@ def write(pages: DataFrame, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
         path = f"{folder}/part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.warc.gz"
         fs, inner = common.filesystem(path)
         offset = 0
-        with fs.open_output_stream(inner) as out:
+        with fs.open_output_stream(inner, compression=None) as out:
             for batch in batches:
                 for part in common.narrow(batch, 256):
                     rows = []
@@ -179,7 +179,7 @@ def index(entries: DataFrame) -> DataFrame:
         path = f"{folder}/index-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
         fs, inner = common.filesystem(path)
         directory, lines, at = [], [], 0
-        with fs.open_output_stream(inner) as out:
+        with fs.open_output_stream(inner, compression=None) as out:
 
             def block() -> int:
                 data = zlib.compress("\n".join(map(json.dumps, lines)).encode())
@@ -196,7 +196,7 @@ def index(entries: DataFrame) -> DataFrame:
             if lines:
                 at += block()
             tail = zlib.compress(json.dumps(directory).encode())
-            out.write(tail + _TAIL.pack(at, len(tail)))
+            out.write(tail + struct.pack(TAIL, at, len(tail)))
         if directory:
             first = [(path, directory[0][0], directory[0][1])]
             yield _columns(first, ["path", "key", "page_id"], [pa.string(), pa.string(), pa.int64()])
@@ -213,7 +213,7 @@ class _IndexFile:
     def __init__(self, path: str):
         fs, inner = common.filesystem(path)
         self.source = fs.open_input_file(inner)
-        start, size = _TAIL.unpack(self._at(self.source.size() - _TAIL.size, _TAIL.size))
+        start, size = struct.unpack(TAIL, self._at(self.source.size() - 16, 16))
         self.directory = json.loads(zlib.decompress(self._at(start, size)))
         self.firsts = [_order(*d[:2]) for d in self.directory]
         self.held: tuple[int, list, list] = (-1, [], [])
