@@ -1,9 +1,10 @@
 """Find benchmark items in documents: windows of ten words, with DataFrame functions only.
 
 Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after A-Z are lower-cased.  An item's windows
-are its runs of ten words, or all its words if it has fewer.  Hashes of the items' windows
-are broadcast up to MOST of them and joined by a shuffle beyond; a hit is kept if the
-words themselves are equal.
+are its runs of ten words, or all its words if it has fewer.  The items' windows are broadcast up
+to MOST of them, as a hash set by their longest word, and joined by a shuffle beyond.  Each
+word of a document is looked up there; where it is the longest word of a window, the words
+around it are compared with the window's.
 
 Documents and items that are null or without words have no windows.  Rows that repeat a
 doc_id count by themselves unless their texts are equal, when they get the same result.
@@ -19,35 +20,50 @@ from pyspark.sql import functions as F
 from tidemark.llm import common
 
 WINDOW = 10
-MOST = 2_000_000  # windows that are broadcast, about 50 bytes each
+MOST = 500_000  # windows that are broadcast, about 300 bytes each
 
-# Fixed value: the characters of a word, after and before lower-casing.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# What stands between words, and the characters of a word before lower-casing.
+SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def lower_ascii(text: Column) -> Column:
-    return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+    """A-Z lower-cased and nothing else; plain ASCII texts take a shorter way."""
+    plain = F.octet_length(text) == F.char_length(text)
+    whole = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+    return F.when(plain, F.lower(text)).otherwise(whole)
+
+
+def split_words(text: Column) -> Column:
+    """The words of a text, and an empty piece before or after them where separators stand there.
+
+    Splitting is several times as fast as collecting matches; no word is empty.
+    """
+    return F.split(text, SEPARATORS, -1)
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(lower_ascii(text), F.lit(WORD), F.lit(0))
+    return F.filter(split_words(lower_ascii(text)), lambda w: w != "")
 
 
-def _hashes(listed: Column, length: int) -> Column:
-    """Hash of each run of `length` words; no runs if there are fewer words."""
-    runs = F.sequence(F.lit(1), F.size(listed) - length + 1)
-    hashed = F.transform(runs, lambda i: F.xxhash64(F.slice(listed, i, length)))
-    return F.when(F.size(listed) >= length, hashed)
+def count_words(text: Column) -> Column:
+    pieces = split_words(text)
+    ends = [(F.element_at(pieces, i) == "").cast("int") for i in (1, -1)]
+    return F.greatest(F.size(pieces) - ends[0] - ends[1], F.lit(0)).cast("long")
 
 
 def windows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows (item_id, length, h, run): the windows of the items."""
+    """Rows (item_id, length, run, word, place): windows, and their longest word's place from 0."""
     listed = items.select(F.col(id_col).alias("item_id"), words(F.col(text_col)).alias("w")).where("size(w) > 0")
     listed = listed.withColumn("length", F.least(F.size("w"), F.lit(WINDOW)))
     starts = F.sequence(F.lit(1), F.size("w") - F.col("length") + 1)
     runs = listed.select("item_id", "length", F.explode(F.transform(starts, lambda i: F.slice("w", i, F.col("length")))).alias("run"))
-    return runs.select("item_id", "length", F.xxhash64("run").alias("h"), "run").distinct()
+    # Of several longest words, the first in the alphabet; any choice that follows from the
+    # window alone would do, and long words are seldom frequent.
+    sizes = F.transform("run", lambda w: F.struct((-F.length(w)).alias("short"), w.alias("word")))
+    word = F.array_min(sizes)["word"]
+    anchored = runs.distinct().withColumn("word", word)
+    return anchored.withColumn("place", F.array_position("run", F.col("word")).cast("int") - 1)
 
 
 def hits(
@@ -63,25 +79,22 @@ def hits(
     `mark` is a hash of the text; it tells rows with one doc_id apart.
     """
     found = common.store(windows(items, item_id_col, item_text_col), "windows")
-    lengths = {r["length"]: r["k"] for r in found.groupBy("length").agg(F.count("*").alias("k")).collect()}
+    if found.count() <= MOST:
+        found = F.broadcast(found)
     texts = docs.where(F.col(text_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.xxhash64(text_col).alias("mark"),
-        words(F.col(text_col)).alias("w"),
+        # The array of one holds the words: a filter that the optimizer infers for the next
+        # generator would otherwise find them again, twice.
+        F.explode(F.array(split_words(lower_ascii(F.col(text_col))))).alias("w"),
     )
-    out = None
-    for length in sorted(lengths) or [WINDOW]:
-        known = found.where(F.col("length") == length).select("h", "item_id", "run")
-        if sum(lengths.values()) <= MOST:
-            known = F.broadcast(known)
-        placed = texts.select("doc_id", "mark", "w", F.posexplode(_hashes(F.col("w"), length)).alias("at", "h"))
-        met = (
-            placed.join(known, "h")
-            .where(F.slice("w", F.col("at") + 1, length) == F.col("run"))
-            .select("doc_id", "mark", (F.col("at") + 1).alias("at"), F.lit(length).alias("length"), "item_id")
-        )
-        out = met if out is None else out.unionAll(met)
-    return out
+    spread = texts.select("doc_id", "mark", "w", F.posexplode("w").alias("i", "word"))
+    start = F.col("i") - F.col("place") + 1  # a piece before the first word counts here
+    met = spread.join(found, "word").where((start >= 1) & (start + F.col("length") - 1 <= F.size("w")))
+    # Greatest keeps the slice valid where the filter has not been applied yet.
+    run = F.slice("w", F.greatest(start, F.lit(1)), F.col("length"))
+    at = start - (F.element_at("w", 1) == "").cast("int")
+    return met.where(run == F.col("run")).select("doc_id", "mark", at.alias("at"), "length", "item_id")
 
 
 def reported(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -98,7 +111,7 @@ def reported(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
     counted = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.xxhash64(text_col).alias("mark"),
-        F.coalesce(F.regexp_count(text_col, F.lit(WORD_ANY_CASE)), F.lit(0)).cast("long").alias("n_words"),
+        F.coalesce(count_words(F.col(text_col)), F.lit(0).cast("long")).alias("n_words"),
     )
     same = counted["doc_id"].eqNullSafe(F.col("_id")) & (counted["mark"] == F.col("_mark"))
     joined = counted.join(per_doc, same, "left")
