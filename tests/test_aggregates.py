@@ -5,6 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 from samples import SALE_TOTALS, SALES
 
+from tidemark import session
 from tidemark.operators import aggregates
 from tidemark.operators.running import hot_keys, running
 from tidemark.operators.stateless import peek, rekey, rekey_by_number, with_key
@@ -151,3 +152,19 @@ def test_rekeying(sales):
 
 def test_peek_leaves_rows_alone(sales):
     assert rows(peek(sales, "seen")) == rows(sales)
+
+
+def test_records_without_an_order_are_an_error(spark):
+    df = spark.createDataFrame([("a", 1, None)], "key string, value long, offset long")
+    with pytest.raises(Exception, match="offset is null"):
+        aggregates.changelog(df, order=["offset"]).collect()
+
+
+def test_stored_tables_go_with_their_owner(spark):
+    import os
+
+    with session.scratch(spark):
+        stored = session.written(spark.range(3), "owned")
+        folder = os.path.dirname(stored.inputFiles()[0].removeprefix("file://"))
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder)

@@ -126,3 +126,20 @@ def test_avro_schema_text():
 def test_frame_of_a_registry_value_is_cut_off(spark):
     df = spark.createDataFrame([(bytearray(b"\x00\x00\x00\x00\x07body"),)], "v binary")
     assert bytes(df.select(avro.unframed(df.v).alias("v")).first().v) == b"body"
+
+
+def test_numbers_in_text_fields_keep_their_digits_and_repeated_fields_their_last_value(spark):
+    long = "1234567890" * 5
+    values = {
+        '{"title":1.50}': "1.50",
+        '{"title":1e2}': "1e2",
+        f'{{"title":{long}}}': long,
+        '{"salets":"\\"title\\":7","title" : -0.10}': "-0.10",
+        '{"title":"a","title":"b"}': "b",
+        '{"title":"5"}': "5",
+        '{"title":true}': "true",
+    }
+    spark.conf.unset("spark.sql.variant.allowDuplicateKeys")
+    df = spark.createDataFrame([(v,) for v in values], "value string")
+    found = codecs.accepted(codecs.decode(df, TICKET_SALE)).select("value", "decoded.title").collect()
+    assert {r["value"]: r["title"] for r in found} == values

@@ -1,4 +1,6 @@
 import os
+import signal
+from datetime import UTC, datetime
 
 import pytest
 from conftest import rows
@@ -31,9 +33,53 @@ def test_word_count(spark, tmp_path):
 def test_ticket_sales(spark, tmp_path):
     fields = ["title", "salets", "tickettotalvalue"]
     put(tmp_path / "in", "a.txt", [as_json(s, fields) for s in SALES] + ["broken", '{"title":"A","x":1}'])
+    os.utime(tmp_path / "in" / "a.txt", (1_700_000_000, 1_700_000_000))
     where = ["--files", "--input", f"{tmp_path}/in", "--output", f"{tmp_path}/out"]
-    jobs.run(spark, ["ticket-sales", *where, "--minutes", f"{tmp_path}/minutes", "--once"])
+    more = ["--minutes", f"{tmp_path}/minutes", "--rejected", f"{tmp_path}/rejected"]
+    command = ["ticket-sales", *where, *more, "--checkpoint", f"{tmp_path}/progress", "--once"]
+    jobs.run(spark, command)
     assert dict(rows(sinks.latest_of_updates(spark, f"{tmp_path}/out"))) == SALE_TOTALS
+    rejected = spark.read.parquet(f"{tmp_path}/rejected")
+    assert rows(rejected, "reject_reason") == [("malformed",), ("unknown field",)]
+    # A file of a later minute closes that of the first.
+    put(tmp_path / "in", "b.txt", [as_json(("Later", "", 1), fields)])
+    os.utime(tmp_path / "in" / "b.txt", (1_700_000_300, 1_700_000_300))
+    jobs.run(spark, command)
+    minutes = spark.read.parquet(f"{tmp_path}/minutes")
+    assert dict(rows(minutes, "key", "value")) == SALE_TOTALS
+
+
+def test_older_files_may_be_left_out(spark, tmp_path):
+    for number, line in enumerate(LINES):
+        put(tmp_path / "in", f"{number}.txt", [line])
+        os.utime(tmp_path / "in" / f"{number}.txt", (1_700_000_000 + number, 1_700_000_000 + number))
+    since = datetime.fromtimestamp(1_700_000_002, UTC).replace(tzinfo=None).isoformat()
+    where = ["--files", "--input", f"{tmp_path}/in", "--output", f"{tmp_path}/out", "--since", since]
+    jobs.run(spark, ["word-count", *where, "--once"])
+    found = dict(rows(sinks.latest_of_updates(spark, f"{tmp_path}/out")))
+    assert found == {word: 1 for word in LINES[2].split()}
+
+
+@pytest.mark.parametrize("more", [["--start", "latest"], ["--changes"]])
+def test_what_only_topics_have_is_refused_for_files(spark, more):
+    with pytest.raises(SystemExit):
+        jobs.run(spark, ["word-count", "--files", "--input", "a", "--output", "b", *more])
+
+
+def test_a_signal_stops_the_queries_and_ends_the_wait(spark, tmp_path):
+    put(tmp_path / "in", "a.txt", LINES)
+    where = ["--files", "--input", f"{tmp_path}/in", "--output", f"{tmp_path}/out"]
+    before = [signal.getsignal(s) for s in (signal.SIGINT, signal.SIGTERM)]
+    queries = jobs.run(spark, ["word-count", *where, "--every", "1 second"])
+    try:
+        jobs.stop_on_signals(queries)
+        assert queries[0].isActive
+        signal.raise_signal(signal.SIGTERM)
+        jobs.wait(queries)
+        assert not queries[0].isActive
+    finally:
+        for number, handler in zip((signal.SIGINT, signal.SIGTERM), before):
+            signal.signal(number, handler)
 
 
 def test_rated_movies(spark, tmp_path):

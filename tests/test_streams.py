@@ -3,6 +3,7 @@ from datetime import timedelta
 import pytest
 from conftest import at, rows
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from samples import LINES, MOVIES, RATINGS, SALES, WORD_COUNTS
 
 from tidemark.functions.records import TICKET_SALE
@@ -10,6 +11,7 @@ from tidemark.operators import aggregates, joins, windows
 from tidemark.operators.stateless import peek
 from tidemark.plans import rated_movies, ticket_sales, word_count
 from tidemark.streaming import changelog, fan_out, sinks
+from tidemark.streaming.versions import Versions, latest_rows
 
 MINUTE = timedelta(minutes=1)
 LINE = "key string, value string, ts timestamp, topic string, partition int, offset long"
@@ -92,6 +94,90 @@ def test_a_repeated_micro_batch_changes_nothing(spark, feed, tmp_path):
     assert rows(changelog.read_changelog(spark, root)) == first
 
 
+def test_tables_of_a_changelog_with_several_partitions_and_batches(spark, feed, tmp_path):
+    """Batches come one after the other, whatever their partitions and offsets."""
+    source = feed(SALE).add(
+        [("a", 1, at(0), 0, 100), ("a", 2, at(1), 1, 5)],
+        [("a", 4, at(2), 0, 101), ("b", 1, at(2), 3, 9)],
+        [("b", 1, at(3), 0, 102)],
+        [("a", 8, at(4), 0, 103)],
+        [("c", 1, at(5), 1, 6)],
+    )
+    root = str(tmp_path / "changes")
+    query = changelog.start_changelog(source.stream(), root, name="partitions", every=None, fold=2)
+    sinks.drain(query)
+    wanted = rows(aggregates.grouped(source.table()), "key", "value")
+    assert rows(changelog.changelog_table(spark, root), "key", "value") == wanted
+    assert rows(changelog.totals_table(spark, root), "key", "value") == wanted
+    assert dict(wanted)["a"] == 15
+
+
+def test_a_batch_writes_the_totals_of_its_own_keys_only(spark, feed, tmp_path):
+    many = [(f"k{i}", 1, at(0), 0, i) for i in range(50)]
+    source = feed(SALE).add(many, [("k7", 1, at(1), 0, 100)])
+    root = str(tmp_path / "changes")
+    sinks.drain(changelog.start_changelog(source.stream(), root, name="own-keys", every=None))
+    schema = StructType().add("key", "string").add("value", "long")
+    written = Versions(spark, f"{root}/totals").read(schema)
+    assert rows(written.where("batch = 1"), "key", "value") == [("k7", 2)]
+    assert written.where("batch = 0").count() == 50
+
+
+def test_tables_before_the_first_batch_are_empty(spark, feed, tmp_path):
+    assert rows(sinks.latest_of_updates(spark, f"{tmp_path}/none")) == []
+    source = feed(SALE).add([])
+    root = str(tmp_path / "changes")
+    sinks.drain(changelog.start_changelog(source.stream(), root, name="no-batch", every=None))
+    assert rows(changelog.changelog_table(spark, root)) == []
+
+
+def test_readers_see_whole_batches_and_folds_keep_the_latest(spark, tmp_path):
+    table = Versions(spark, f"{tmp_path}/table")
+    schema = StructType().add("key", "string").add("value", "long")
+
+    def batch(number, *pairs):
+        table.write(spark.createDataFrame(list(pairs), schema), number)
+
+    batch(0, ("a", 1), ("b", 1))
+    batch(1, ("a", 2))
+    seen = table.read(schema)
+    batch(1, ("a", 3))
+    assert rows(seen, "key", "value", "batch") == [("a", 1, 0), ("a", 2, 1), ("b", 1, 0)]
+    table.fold(schema, 2, lambda t: latest_rows(t, "key", ["key", "value"]), 2)
+    assert rows(table.read(schema), "key", "value", "batch") == [("a", 3, 1), ("b", 1, 0)]
+    batch(2, ("b", 5))
+    assert rows(sinks.latest_of_updates(spark, f"{tmp_path}/table")) == [("a", 3), ("b", 5)]
+
+
+def test_words_as_a_row_per_word_on_a_stream(spark, feed, tmp_path):
+    source = feed(LINE).add(lines(LINES[0]), lines(LINES[1], first=1), lines(LINES[2], first=2))
+    root = str(tmp_path / "changes")
+    sinks.drain(word_count.start_changes(source.stream(), root, every=None))
+    found = changelog.read_changelog(spark, root)
+    wanted = word_count.count_changes(source.table())
+    assert rows(found, "key", "offset", "pos", "value") == rows(wanted, "key", "offset", "pos", "value")
+
+
+def test_a_hot_slot_may_be_salted_in_the_job(spark, feed, tmp_path):
+    movies = feed(LINE).add(texts(MOVIES, ["id", "title", "releaseyear"], "movies"))
+    ratings = feed(LINE).add(texts(RATINGS, ["id", "rating"], "ratings"), [(None, "broken", at(3), "ratings", 0, 99)])
+    queries = rated_movies.start(
+        movies.stream(),
+        ratings.stream(),
+        f"{tmp_path}/movies",
+        sinks.to_parquet(f"{tmp_path}/rated"),
+        checkpoint_root=str(tmp_path),
+        every=None,
+        salts=3,
+        rejected_sink=sinks.to_parquet(f"{tmp_path}/rejected"),
+    )
+    for query in queries:
+        sinks.drain(query)
+    wanted = rated_movies.rated(rated_movies.ratings(ratings.table()), rated_movies.movies(movies.table()))
+    assert rows(spark.read.parquet(f"{tmp_path}/rated")) == rows(wanted)
+    assert rows(spark.read.parquet(f"{tmp_path}/rejected"), "offset", "reject_reason") == [(99, "malformed")]
+
+
 def test_windows_come_out_once_and_closed(spark, feed, tmp_path):
     in_order = [
         ("a", 1, at(0), 0, 0),
@@ -202,23 +288,45 @@ def sale_messages():
     return [*out, (None, '{"title":"x","other":1}', at(50), "sales", 0, 12), (None, None, at(51), "sales", 0, 13)]
 
 
-def test_ticket_sales_gives_both_results(spark, feed, tmp_path):
-    source = feed(LINE).add(sale_messages()[:7], sale_messages()[7:], lines("{}", first=200))
-    totals, minutes = ticket_sales.start(
+def run_ticket_sales(spark, source, root, **more):
+    queries = ticket_sales.start(
         source.stream(),
-        sinks.to_updates(f"{tmp_path}/totals"),
-        sinks.to_parquet(f"{tmp_path}/minutes"),
-        checkpoint_root=str(tmp_path),
+        sinks.to_updates(f"{root}/totals"),
+        sinks.to_parquet(f"{root}/minutes"),
+        sinks.to_parquet(f"{root}/rejected"),
+        sales_table=f"{root}/sales",
+        checkpoint_root=str(root),
         every=None,
+        maxFilesPerTrigger="1",
+        **more,
     )
-    sinks.drain(totals)
-    sinks.drain(minutes)
+    for query in queries:
+        sinks.drain(query)
+
+
+def test_ticket_sales_gives_all_results_of_one_decoding(spark, feed, tmp_path):
+    later = (None, '{"title":"late closer","tickettotalvalue":1}', at(300), "sales", 0, 201)
+    source = feed(LINE).add(sale_messages()[:7], sale_messages()[7:], lines("{}", first=200), [later])
+    run_ticket_sales(spark, source, tmp_path)
     table = rows(ticket_sales.totals(source.table()))
     assert rows(sinks.latest_of_updates(spark, f"{tmp_path}/totals")) == table
     assert dict(table)["The Godfather"] == 76
-    # All sales lie in the first minute; the last record, at 200 s, closes it but has no title.
-    assert rows(spark.read.parquet(f"{tmp_path}/minutes")) == []
-    assert rows(ticket_sales.closed_minutes(source.table())) == []
+    # All sales lie in the first minute; a record without a title closes nothing, the next one does.
+    minutes = rows(spark.read.parquet(f"{tmp_path}/minutes"), "window_start", "key", "value")
+    assert minutes == rows(ticket_sales.closed_minutes(source.table()), "window_start", "key", "value")
+    assert (at(0), "The Godfather", 76) in minutes
+    rejected = spark.read.parquet(f"{tmp_path}/rejected")
+    assert rows(rejected, "offset", "reject_reason") == [(12, "unknown field"), (13, "malformed")]
+    stored = spark.read.parquet(f"{tmp_path}/sales")
+    assert stored.where("reject_reason IS NULL").count() + rejected.count() == source.table().count()
+
+
+def test_ticket_totals_as_a_row_per_sale(spark, feed, tmp_path):
+    source = feed(LINE).add(sale_messages()[:7], sale_messages()[7:])
+    run_ticket_sales(spark, source, tmp_path, changes_root=f"{tmp_path}/changes")
+    found = changelog.read_changelog(spark, f"{tmp_path}/changes")
+    wanted = aggregates.changelog(ticket_sales.amounts(source.table()))
+    assert rows(found, "key", "offset", "value") == rows(wanted, "key", "offset", "value")
 
 
 def test_one_reading_for_several_writers(spark, feed, tmp_path):

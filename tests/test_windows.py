@@ -180,3 +180,13 @@ def test_emission_time_is_added(sales):
     found = windows.emitted(windows.tumbling(sales, MINUTE))
     assert found.columns == ["window_start", "window_end", "key", "value", "emitted_at"]
     assert found.first().emitted_at is not None
+
+
+def test_records_without_a_key_close_nothing(spark):
+    records = [("a", 1, at(0), 0, 0), (None, 1, at(300), 0, 1), ("a", 2, at(5), 0, 2)]
+    df = spark.createDataFrame(records, "key string, value long, ts timestamp, partition int, offset long")
+    minute = timedelta(minutes=1)
+    closed = windows.closings(df, minute)
+    assert rows(closed) == []
+    assert rows(windows.late(df, closed, minute)) == []
+    assert rows(windows.tumbling_final(df, closed, minute)) == []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -21,6 +22,8 @@ _NUMBERS: dict[type[DataType], str] = {
     DoubleType: "double",
 }
 
+REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
+
 MALFORMED = "malformed"
 UNKNOWN_FIELD = "unknown field"
 BAD_FIELD = "bad field"
@@ -39,29 +42,33 @@ def decode(df: DataFrame, schema: StructType, source: str = "value") -> DataFram
     A missing or null number is 0; a missing or null string stays null.  A null
     or empty source is malformed.
 
-    The text is parsed once and each field read once.  ``explode`` of a
-    one-element array holds the result: the optimizer does not push a later
-    filter below it, which would repeat the work.
+    A repeated field keeps its last value, in any session.  A number in a string field
+    keeps its digits as they were sent.
+
+    The text is parsed once, each field read once and its shape looked up at most
+    once.  ``explode`` of one-element arrays holds what was found: the optimizer does not
+    push a later filter below it, which would repeat the work.
     """
+    df.sparkSession.conf.set(REPEATED_KEYS, "true")
     fields = F.try_variant_get(F.try_parse_json(F.col(source)), "$", "map<string,variant>")
     parsed = df.withColumn("__fields", F.explode(F.array(fields)))
     found = F.col("__fields")
     names = F.array(*[F.lit(f.name) for f in schema])
     extra = F.size(F.array_except(F.map_keys(found), names)) > 0
     fault = F.when(found.isNull(), MALFORMED).when(extra, UNKNOWN_FIELD)
-    reads = [_read(found[f.name], f.dataType).alias(f.name) for f in schema]
-    read = parsed.withColumn("__read", F.explode(F.array(F.struct(fault.alias("__fault"), *reads))))
-    bad = reduce(
-        lambda a, b: a | b,
-        [_is_bad(F.col("__read")[f.name], found[f.name], f.dataType) for f in schema],
-    )
+    first = [_look(found[f.name], f.dataType).alias(f.name) for f in schema]
+    looked = parsed.withColumn("__looked", F.explode(F.array(F.struct(fault.alias("__fault"), *first))))
+    seen = F.col("__looked")
+    bad = reduce(lambda a, b: a | b, [_is_bad(seen[f.name], f.dataType) for f in schema])
     value = F.struct(
-        *[_or_default(F.col("__read")[f.name], f.dataType).alias(f.name) for f in schema]
+        *[_value(seen[f.name], f.name, f.dataType, F.col(source)).alias(f.name) for f in schema]
     )
+    reason = F.coalesce(seen["__fault"], F.when(bad, BAD_FIELD))
+    judged = looked.withColumn("__judged", F.explode(F.array(F.struct(reason.alias("reason"), value.alias("value")))))
     return (
-        read.withColumn("reject_reason", F.coalesce("__read.__fault", F.when(bad, BAD_FIELD)))
-        .withColumn("decoded", F.when(F.col("reject_reason").isNull(), value))
-        .drop("__fields", "__read")
+        judged.withColumn("reject_reason", F.col("__judged.reason"))
+        .withColumn("decoded", F.when(F.col("reject_reason").isNull(), F.col("__judged.value")))
+        .drop("__fields", "__looked", "__judged")
     )
 
 
@@ -75,35 +82,40 @@ def quarantined(decoded: DataFrame) -> DataFrame:
     return decoded.where(F.col("reject_reason").isNotNull()).drop("decoded")
 
 
-def _read(field: Column, kind: DataType) -> Column:
-    """A variant field as ``kind``; null where it is missing, null or does not read."""
-    if isinstance(kind, StringType):
-        return F.try_variant_get(field, "$", "string")
-    if type(kind) in _NUMBERS:
-        return F.try_variant_get(field, "$", _NUMBERS[type(kind)])
-    raise TypeError(f"no JSON reading for {kind.simpleString()}")
-
-
-def _is_bad(read: Column, field: Column, kind: DataType) -> Column:
-    """Whether the field must not be read as ``kind``.
-
-    What was read decides most cases; the field itself is looked at for the rest.
-    """
+def _look(field: Column, kind: DataType) -> Column:
+    """A field as ``kind``, null where it does not read, and its shape where that matters."""
     shape = F.schema_of_variant(field)
     if isinstance(kind, StringType):
-        # A nested value reads as its JSON text.
-        looks_nested = read.startswith("{") | read.startswith("[")
-        nested = looks_nested & (shape.startswith("OBJECT") | shape.startswith("ARRAY"))
-        return F.coalesce(nested, F.lit(False))
+        read = F.try_variant_get(field, "$", "string")
+        # Only what may be a number or nested text.
+        shape = F.when(read.rlike(r"^[-0-9{\[]"), shape)
+        return F.struct(read.alias("read"), shape.alias("shape"))
+    if type(kind) not in _NUMBERS:
+        raise TypeError(f"no JSON reading for {kind.simpleString()}")
+    read = F.try_variant_get(field, "$", _NUMBERS[type(kind)])
     # true and false read as 1 and 0.
-    is_truth = read.isin(0, 1) & (shape == "BOOLEAN")
-    text = F.try_variant_get(field, "$", "string")
-    absent = field.isNull() | F.is_variant_null(field) | F.trim(text).isin("", "null")
-    return F.when(read.isNotNull(), is_truth).otherwise(~F.coalesce(absent, F.lit(False)))
+    shape = F.when(read.isNull() | read.isin(0, 1), shape)
+    text = F.when(read.isNull(), F.try_variant_get(field, "$", "string"))
+    return F.struct(read.alias("read"), shape.alias("shape"), text.alias("text"))
 
 
-def _or_default(read: Column, kind: DataType) -> Column:
-    return read if isinstance(kind, StringType) else F.coalesce(read, F.lit(0).cast(kind))
+def _is_bad(seen: Column, kind: DataType) -> Column:
+    """Whether the field must not be read as ``kind``."""
+    shape = F.coalesce(seen["shape"], F.lit(""))
+    if isinstance(kind, StringType):
+        return shape.startswith("OBJECT") | shape.startswith("ARRAY")
+    absent = shape.isin("", "VOID") | F.coalesce(F.trim(seen["text"]).isin("", "null"), F.lit(False))
+    return F.when(seen["read"].isNotNull(), shape == "BOOLEAN").otherwise(~absent)
+
+
+def _value(seen: Column, name: str, kind: DataType, source: Column) -> Column:
+    if not isinstance(kind, StringType):
+        return F.coalesce(seen["read"], F.lit(0).cast(kind))
+    # Within JSON text a quoted name before a colon is a name, as quotes in strings are escaped.
+    token = rf'"{re.escape(name)}"\s*:\s*(-?[0-9][0-9.eE+-]*)'
+    sent = F.try_element_at(F.regexp_extract_all(source, F.lit(token), F.lit(1)), F.lit(-1))
+    number = seen["shape"].rlike("^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL|DOUBLE|FLOAT)")
+    return F.when(number, F.coalesce(sent, seen["read"])).otherwise(seen["read"])
 
 
 def encode(*columns: Column | str) -> Column:

@@ -57,7 +57,8 @@ def running(
     No task sees more of a key than one block's records, or than its block
     totals.  Where a key has too many blocks for step 2 (sparse offsets), give
     several ``widths``, each a multiple of the one before, and the totals are
-    blocked again.  ``order`` must be unique and, like ``keys``, free of nulls.
+    blocked again.  ``order`` must be unique; a null in it, as for text files, which have
+    no offsets, is an error.
 
     With many rare keys, most blocks of most keys hold a single record, and the
     totals are as long as the table.  Then pass ``hot_keys`` as ``hot``: only
@@ -68,6 +69,9 @@ def running(
     if hot is not None and start is not None:
         raise ValueError("values to start from need every key cut: leave out hot")
     keys, order = list(keys), list(order)
+    for name in order:
+        missing = F.raise_error(F.lit(f"{name} is null: these records have no order"))
+        df = df.withColumn(name, F.coalesce(name, missing.cast(df.schema[name].dataType)))
     at = order.index(block_on)
     lead = [f"__lead{i}" for i in range(at)]
     blocks = [f"__block{i}" for i in range(len(widths))]

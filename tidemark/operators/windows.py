@@ -98,6 +98,7 @@ def closings(
     partition: Sequence[str] = ("partition",),
     offset: str = "offset",
     ts: str = "ts",
+    key: str = "key",
 ) -> DataFrame:
     """Where each window closes: (partition, window_index, closed_at).
 
@@ -105,6 +106,7 @@ def closings(
     In terms of windows that is the least offset among the records whose
     ``ts - grace`` lies in a later window, so it follows from one least offset
     per (partition, window): records are never sorted, nor moved in full.
+    Records without a key never reach the windows and so close none.
     Windows that stay open are left out.  The table has one row per closed
     window; store it with ``session.written`` so that its size is known.
     """
@@ -114,7 +116,8 @@ def closings(
     own = time_index(F.col(ts), size)
     shifted = time_index(F.col(ts) - interval(grace), size)
     marks = (
-        df.groupBy(*partition, own.alias("own"), shifted.alias("shifted"))
+        with_key(df, key)
+        .groupBy(*partition, own.alias("own"), shifted.alias("shifted"))
         .agg(F.min(offset).alias("first"))
         .select(
             *partition,
@@ -159,12 +162,13 @@ def late(
     partition: Sequence[str] = ("partition",),
     offset: str = "offset",
     ts: str = "ts",
+    key: str = "key",
 ) -> DataFrame:
-    """The records that arrive after their window closed, with the window's bounds.
+    """The records with a key that arrive after their window closed, with the window's bounds.
 
     ``closed`` is ``closings`` of the same records, size and grace.
     """
-    found = _in_closed_windows(df, closed, size, partition, ts)
+    found = _in_closed_windows(with_key(df, key), closed, size, partition, ts)
     return found.where(F.col(offset) >= F.col("closed_at")).select(*df.columns, *_bounds(size))
 
 

@@ -23,7 +23,11 @@ from tidemark.streaming import changelog as changelog_stream
 from tidemark.streaming import fan_out, hop, sinks
 
 HOUR = timedelta(hours=1)
+DAYS = timedelta(days=40)  # more than the events span: files of either side may be ahead
 PARTITIONS = 4
+BATCHES = 8
+ORDER = {"documents": "doc_id", "events": "event_id"}
+FEW = 1000  # records from which a key is cut into blocks in the query for that
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,7 +37,32 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _table(spark: SparkSession, folder: str, name: str, streaming: bool = False) -> DataFrame:
     session.configure(spark)
-    return readers.table(spark, f"{folder}/{name}.parquet", streaming=streaming)
+    path = f"{folder}/{name}.parquet"
+    return _in_batches(spark, path, ORDER[name]) if streaming else readers.table(spark, path)
+
+
+def _in_batches(spark: SparkSession, path: str, order: str) -> DataFrame:
+    """The table as a stream of BATCHES micro-batches, in its own order.
+
+    It is stored as files by ranges of its order; a file source takes the oldest
+    first, so their times are set one second apart.
+    """
+    staged = session.run_dir(spark, "staged")
+    table = spark.read.parquet(path)
+    table.repartitionByRange(BATCHES, order).sortWithinPartitions(order).write.parquet(staged)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(staged)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = sorted(
+        (s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().endswith(".parquet")),
+        key=lambda p: p.getName(),
+    )
+    for i, file in enumerate(files):
+        fs.setTimes(file, 1_700_000_000_000 + 1000 * i, -1)
+    return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(staged)
+
+
+def _cores(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
 
 
 def _lines(spark: SparkSession, folder: str, streaming: bool = False) -> DataFrame:
@@ -59,9 +88,19 @@ def _sales(spark: SparkSession, folder: str, streaming: bool = False) -> DataFra
 
 
 def _shuffled_sales(spark: SparkSession, folder: str) -> DataFrame:
-    """The same, but one event in ten arrives 40 places later than its time says."""
+    """The same, but one event in ten arrives 40 places later than its time says.
+
+    Three in a hundred have no key and lie a day ahead of their time.
+    """
     delay = F.when(F.col("offset") % 10 == 3, 40).otherwise(0)
     sales = _sales(spark, folder).withColumn("event_id", F.col("offset"))
+    stray = F.col("event_id") % 33 == 7
+    sales = sales.withColumns(
+        {
+            "key": F.when(~stray, F.col("key")),
+            "ts": F.when(stray, F.col("ts") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("ts")),
+        }
+    )
     return sales.withColumn("offset", F.col("event_id") + delay)
 
 
@@ -93,6 +132,10 @@ def _sale_messages(spark: SparkSession, folder: str, streaming: bool = False) ->
         _joined('{"title":', cents, ",", amount, "}"),
         _joined("{", title, ',"tickettotalvalue":"', cents, '.7"}'),
         F.lit(None).cast("string"),
+        _joined('{"title":', cents, "0.50,", amount, "}"),
+        _joined('{"title":1e2,"salets":"\\"title\\":7",', amount, "}"),
+        _joined('{"title":1234567890', *(["9876543210"] * 4), ",", amount, "}"),
+        _joined("{", title, ",", amount, ',"title":"twice"}'),
     ]
     intact = _joined("{", title, ",", note, ",", amount, "}")
     kind = F.col("event_id") % (len(kinds) + 2)
@@ -109,9 +152,9 @@ def _sale_messages(spark: SparkSession, folder: str, streaming: bool = False) ->
     )
 
 
-def _of_type(spark: SparkSession, folder: str, kind: str, streaming: bool = False) -> DataFrame:
-    """Events of one type as records keyed by user."""
-    events = _table(spark, folder, "events", streaming).where(F.col("event_type") == kind)
+def _side(spark: SparkSession, folder: str, side: int, streaming: bool = False) -> DataFrame:
+    """Events as records keyed by user; every other event is on the other side of a join."""
+    events = _table(spark, folder, "events", streaming).where(F.col("event_id") % 2 == side)
     return stateless.rekey_by_number(
         events.select(
             "user_id",
@@ -125,26 +168,24 @@ def _of_type(spark: SparkSession, folder: str, kind: str, streaming: bool = Fals
 
 
 def _movie_messages(spark: SparkSession, folder: str, streaming: bool = False) -> DataFrame:
-    """Views as JSON movies: the user is the id."""
+    """Even events as JSON movies: the user is the id."""
     movie = codecs.encode(
         F.col("user_id").alias("id"), F.col("event_type").alias("title"), F.year("ts").alias("releaseyear")
     )
-    return _messages_of_type(spark, folder, "view", movie, streaming)
+    return _messages(spark, folder, 0, movie, streaming)
 
 
 def _rating_messages(spark: SparkSession, folder: str, streaming: bool = False) -> DataFrame:
-    """Clicks as JSON ratings of those movies."""
+    """Odd events as JSON ratings of those movies."""
     rating = codecs.encode(F.col("user_id").alias("id"), F.col("value").alias("rating"))
-    return _messages_of_type(spark, folder, "click", rating, streaming)
+    return _messages(spark, folder, 1, rating, streaming)
 
 
-def _messages_of_type(
-    spark: SparkSession, folder: str, kind: str, value: Column, streaming: bool
-) -> DataFrame:
+def _messages(spark: SparkSession, folder: str, side: int, value: Column, streaming: bool) -> DataFrame:
     return envelope.from_table(
-        _table(spark, folder, "events", streaming).where(F.col("event_type") == kind),
+        _table(spark, folder, "events", streaming).where(F.col("event_id") % 2 == side),
         value=value,
-        topic=kind,
+        topic=f"side-{side}",
         ts="ts",
         partition=F.pmod("user_id", F.lit(PARTITIONS)),
         offset="event_id",
@@ -239,6 +280,18 @@ def grouped_sum_changelog(spark: SparkSession, folder: str) -> DataFrame:
     return _sum_changes(spark, folder)
 
 
+def hot_key_changelog(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with keys cut into blocks from FEW records on, blocks blocked again."""
+    sales = _sales(spark, folder).select("key", "value", "offset")
+    hot = session.written(hot_keys(sales, ["key"], FEW), "hot-keys")
+    return aggregates.changelog(sales, order=["offset"], widths=(64, 1024), hot=hot)
+
+
+def hot_word_changelog(spark: SparkSession, folder: str) -> DataFrame:
+    """Running word counts, words of over FEW records cut into blocks."""
+    return word_count.count_changes(_lines(spark, folder), order=["offset"], limit=FEW)
+
+
 def changelog_compact(spark: SparkSession, folder: str) -> DataFrame:
     return aggregates.compact(_sum_changes(spark, folder), ["offset"])
 
@@ -289,7 +342,8 @@ def tumbling_sum_final(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fanned_out(spark: SparkSession, folder: str) -> DataFrame:
-    sales = _shuffled_sales(spark, folder)
+    # Read and keyed once; every result takes it from there.
+    sales = session.written(_shuffled_sales(spark, folder).select("key", "value", "ts", "partition", "offset"), "sales")
     return _plain(
         fan_out.tagged_union(
             {"totals": aggregates.grouped(sales), "closed windows": _final_hours(sales)}
@@ -300,24 +354,24 @@ def fanned_out(spark: SparkSession, folder: str) -> DataFrame:
 # ---- joins ----------------------------------------------------------------
 
 
-def _views_and_clicks(spark: SparkSession, folder: str, streaming: bool = False) -> DataFrame:
+def _both_sides(spark: SparkSession, folder: str, streaming: bool = False) -> DataFrame:
     return joins.interval_join(
-        _of_type(spark, folder, "view", streaming),
-        _of_type(spark, folder, "click", streaming),
+        _side(spark, folder, 0, streaming),
+        _side(spark, folder, 1, streaming),
         HOUR,
         HOUR,
         [
-            F.col("left.offset").alias("view_id"),
-            F.col("right.offset").alias("click_id"),
-            F.col("left.value").alias("view_value"),
-            F.col("right.value").alias("click_value"),
+            F.col("left.offset").alias("left_id"),
+            F.col("right.offset").alias("right_id"),
+            F.col("left.value").alias("left_value"),
+            F.col("right.value").alias("right_value"),
         ],
-        grace=HOUR,
+        grace=DAYS,
     )
 
 
 def interval_join(spark: SparkSession, folder: str) -> DataFrame:
-    return _plain(_views_and_clicks(spark, folder))
+    return _plain(_both_sides(spark, folder))
 
 
 # ---- the jobs, from encoded messages to encoded results -------------------
@@ -344,7 +398,11 @@ def word_count_stream(spark: SparkSession, folder: str) -> DataFrame:
     lines = _lines(spark, folder, streaming=True)
     root = session.run_dir(spark, "word-count-stream")
     query = word_count.start(
-        lines, sinks.to_updates(f"{root}/updates"), checkpoint=f"{root}/progress", every=None
+        lines,
+        sinks.to_updates(f"{root}/updates", fold=3),
+        checkpoint=f"{root}/progress",
+        every=None,
+        partitions=_cores(spark),
     )
     sinks.drain(query)
     return sinks.latest_of_updates(spark, f"{root}/updates")
@@ -357,11 +415,12 @@ def _updated(totals: DataFrame, name: str) -> DataFrame:
     sinks.drain(
         sinks.start(
             totals,
-            sinks.to_updates(f"{root}/updates"),
+            sinks.to_updates(f"{root}/updates", fold=3),
             name=name,
             checkpoint=f"{root}/progress",
             mode="update",
             every=None,
+            partitions=_cores(spark),
         )
     )
     return sinks.latest_of_updates(spark, f"{root}/updates")
@@ -377,16 +436,62 @@ def ticket_totals_stream(spark: SparkSession, folder: str) -> DataFrame:
     return _updated(ticket_sales.totals(messages), "ticket-totals-stream")
 
 
+def _sum_changes_stream(spark: SparkSession, folder: str) -> str:
+    """Run the changelog over the events; where it lies."""
+    sales = _sales(spark, folder, streaming=True).select("key", "value", "partition", "offset")
+    root = session.run_dir(spark, "changelog-stream")
+    query = changelog_stream.start_changelog(sales, root, name="sum-changes", every=None, fold=3)
+    sinks.drain(query)
+    return root
+
+
+def per_partition_changelog_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals in the order of micro-batches, partitions and offsets; batches are ranges of offsets."""
+    found = changelog_stream.read_changelog(spark, _sum_changes_stream(spark, folder))
+    return found.groupBy("key").agg(F.count(F.lit(1)).alias("records"), F.max("value").alias("value"))
+
+
+def changelog_table_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The table that the changelog of several partitions and batches stands for."""
+    return changelog_stream.changelog_table(spark, _sum_changes_stream(spark, folder))
+
+
 def grouped_sum_changelog_stream(spark: SparkSession, folder: str) -> DataFrame:
     sales = _sales(spark, folder, streaming=True).select("key", "value", "offset")
     root = session.run_dir(spark, "changelog-stream")
     query = changelog_stream.start_changelog(
-        sales, root, name="sum-changes", order=["offset"], every=None
+        sales, root, name="sum-changes", order=["offset"], every=None, fold=3
     )
     sinks.drain(query)
     return changelog_stream.read_changelog(spark, root).drop("batch")
 
 
+def word_count_changelog_stream(spark: SparkSession, folder: str) -> DataFrame:
+    lines = _lines(spark, folder, streaming=True)
+    root = session.run_dir(spark, "word-changes-stream")
+    sinks.drain(word_count.start_changes(lines, root, order=["offset"], every=None))
+    return changelog_stream.read_changelog(spark, root).drop("batch")
+
+
+def ticket_minutes_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole ticket job: the closed hours that it writes."""
+    root = session.run_dir(spark, "ticket-minutes-stream")
+    queries = ticket_sales.start(
+        _sale_messages(spark, folder, streaming=True),
+        None,
+        sinks.to_parquet(f"{root}/minutes"),
+        sales_table=f"{root}/sales",
+        checkpoint_root=f"{root}/progress",
+        size=HOUR,
+        every=None,
+        partitions=_cores(spark),
+        maxFilesPerTrigger="1",
+    )
+    for query in queries:
+        sinks.drain(query)
+    return _plain(spark.read.parquet(f"{root}/minutes").drop("emitted_at"))
+
+
 def _appended(df: DataFrame, name: str) -> DataFrame:
     """Run an append-mode query to the end and read what it wrote."""
     spark = df.sparkSession
@@ -398,6 +503,7 @@ def _appended(df: DataFrame, name: str) -> DataFrame:
             name=name,
             checkpoint=f"{root}/progress",
             every=None,
+            partitions=_cores(spark),
         )
     )
     return spark.read.schema(df.schema).parquet(f"{root}/table")
@@ -409,7 +515,7 @@ def tumbling_sum_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def interval_join_stream(spark: SparkSession, folder: str) -> DataFrame:
-    pairs = _views_and_clicks(spark, folder, streaming=True)
+    pairs = _both_sides(spark, folder, streaming=True)
     return _plain(_appended(pairs, "interval-join-stream"))
 
 
@@ -417,7 +523,7 @@ def rated_movies_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The whole job: keyed movies are stored by one query and joined by another."""
     root = session.run_dir(spark, "rated-movies-stream")
     ratings = _rating_messages(spark, folder, streaming=True)
-    _, joining = rated_movies.start(
+    joining = rated_movies.start(
         _movie_messages(spark, folder, streaming=True),
         ratings,
         f"{root}/movies",
@@ -425,8 +531,10 @@ def rated_movies_stream(spark: SparkSession, folder: str) -> DataFrame:
         checkpoint_root=f"{root}/progress",
         every=None,
         reach=HOUR,
-        grace=HOUR,
-    )
+        grace=DAYS,
+        salts=2,
+        partitions=_cores(spark),
+    )[1]
     sinks.drain(joining)
     return _plain(spark.read.parquet(f"{root}/rated"))
 
@@ -446,6 +554,8 @@ QUERIES: dict[str, Query] = {
     "grouped_sum": grouped_sum,
     "grouped_count": grouped_count,
     "grouped_sum_changelog": grouped_sum_changelog,
+    "hot_key_changelog": hot_key_changelog,
+    "hot_word_changelog": hot_word_changelog,
     "changelog_compact": changelog_compact,
     "latest_record": latest_record,
     "stream_time": stream_time,
@@ -462,6 +572,10 @@ QUERIES: dict[str, Query] = {
     "word_count_stream": word_count_stream,
     "grouped_sum_stream": grouped_sum_stream,
     "grouped_sum_changelog_stream": grouped_sum_changelog_stream,
+    "per_partition_changelog_stream": per_partition_changelog_stream,
+    "changelog_table_stream": changelog_table_stream,
+    "word_count_changelog_stream": word_count_changelog_stream,
+    "ticket_minutes_stream": ticket_minutes_stream,
     "tumbling_sum_stream": tumbling_sum_stream,
     "interval_join_stream": interval_join_stream,
     "ticket_totals_stream": ticket_totals_stream,

@@ -29,7 +29,9 @@ sales AS (
 
 _SHUFFLED = """
 arrived AS (
-  SELECT event_type AS key, CAST(round(value * 100) AS BIGINT) AS value, ts,
+  SELECT CASE WHEN event_id % 33 <> 7 THEN event_type END AS key,
+         CAST(round(value * 100) AS BIGINT) AS value,
+         CASE WHEN event_id % 33 = 7 THEN ts + INTERVAL '1 day' ELSE ts END AS ts,
          user_id % 4 AS "partition", event_id,
          event_id + CASE WHEN event_id % 10 = 3 THEN 40 ELSE 0 END AS "offset"
   FROM events
@@ -44,9 +46,9 @@ timed AS (
          time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end,
          max(ts) OVER (PARTITION BY "partition" ORDER BY "offset"
                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stream_time
-  FROM {source}
+  FROM {source} WHERE key IS NOT NULL
 ),
-final_time AS (SELECT "partition", max(ts) AS last_time FROM {source} GROUP BY ALL),
+final_time AS (SELECT "partition", max(ts) AS last_time FROM timed GROUP BY ALL),
 final AS (
   SELECT t."partition", window_start, window_end, key, CAST(sum(value) AS BIGINT) AS value
   FROM timed t JOIN final_time f ON t."partition" = f."partition"
@@ -63,7 +65,7 @@ parts AS (
 ),
 messages AS (
   SELECT event_id AS "offset", user_id % 4 AS "partition", ts,
-         CASE event_id % 18
+         CASE event_id % 22
            WHEN 0 THEN '{' || title || ',"tickettotalvalue":' || cents || ',"extra":1}'
            WHEN 1 THEN '{' || title || ',"tickettotalvalue":'
            WHEN 2 THEN '{' || title || ',"tickettotalvalue":"' || cents || '"}'
@@ -80,9 +82,14 @@ messages AS (
            WHEN 13 THEN '{"title":' || cents || ',"tickettotalvalue":' || cents || '}'
            WHEN 14 THEN '{' || title || ',"tickettotalvalue":"' || cents || '.7"}'
            WHEN 15 THEN NULL
+           WHEN 16 THEN '{"title":' || cents || '0.50,"tickettotalvalue":' || cents || '}'
+           WHEN 17 THEN '{"title":1e2,"salets":"\"title\":7","tickettotalvalue":' || cents || '}'
+           WHEN 18 THEN '{"title":1234567890' || repeat('9876543210', 4) || ',"tickettotalvalue":'
+                        || cents || '}'
+           WHEN 19 THEN '{' || title || ',"tickettotalvalue":' || cents || ',"title":"twice"}'
            ELSE '{' || title || ',"salets":"' || replace(props, '"', '\"')
                 || '","tickettotalvalue":' || cents || '}'
-         END AS value
+         END AS value, cents
   FROM parts
 ),
 parsed AS (
@@ -90,7 +97,10 @@ parsed AS (
 ),
 shaped AS (
   SELECT *, json_type(doc) AS kind, json_keys(doc) AS names,
-         json_type(doc, '$.title') AS title_kind, json_extract_string(doc, '$.title') AS title,
+         json_type(doc, '$.title') AS title_kind,
+         CASE "offset" % 22 WHEN 16 THEN cents || '0.50' WHEN 17 THEN '1e2'
+              WHEN 18 THEN '1234567890' || repeat('9876543210', 4) WHEN 19 THEN 'twice'
+              ELSE json_extract_string(doc, '$.title') END AS title,
          json_type(doc, '$.salets') AS salets_kind, json_extract_string(doc, '$.salets') AS salets,
          json_type(doc, '$.tickettotalvalue') AS amount_kind,
          json_extract_string(doc, '$.tickettotalvalue') AS amount
@@ -114,15 +124,22 @@ decoded AS (
 
 _PAIRS = """
 SELECT CAST(v.user_id AS VARCHAR) AS key, greatest(v.ts, c.ts) AS ts,
-       v.event_id AS view_id, c.event_id AS click_id, v.value AS view_value, c.value AS click_value
+       v.event_id AS left_id, c.event_id AS right_id, v.value AS left_value, c.value AS right_value
 FROM events v JOIN events c
   ON v.user_id = c.user_id
  AND c.ts BETWEEN v.ts - INTERVAL '1 hour' AND v.ts + INTERVAL '1 hour'
-WHERE v.event_type = 'view' AND c.event_type = 'click'
+WHERE v.event_id % 2 = 0 AND c.event_id % 2 = 1
 """
 
 _WORD_COUNT = f"WITH {_WORDS} SELECT word AS key, count(*) AS value FROM words GROUP BY word"
 
+_WORD_CHANGES = f"""
+WITH {_WORDS}
+SELECT word AS key, "offset", pos,
+       count(*) OVER (PARTITION BY word ORDER BY "offset", pos
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value
+FROM words"""
+
 _GROUPED_SUM = f"WITH {_SALES} SELECT key, CAST(sum(value) AS BIGINT) AS value FROM sales GROUP BY key"
 
 _SUM_CHANGES = f"""
@@ -172,15 +189,12 @@ SQL: dict[str, str] = {
         SELECT CAST(o_custkey AS VARCHAR) AS key, o_custkey, o_totalprice, o_orderdate AS ts, o_orderkey
         FROM orders""",
     "word_count": _WORD_COUNT,
-    "word_count_changelog": f"""
-        WITH {_WORDS}
-        SELECT word AS key, "offset", pos,
-               count(*) OVER (PARTITION BY word ORDER BY "offset", pos
-                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value
-        FROM words""",
+    "word_count_changelog": _WORD_CHANGES,
     "grouped_sum": _GROUPED_SUM,
     "grouped_count": f"WITH {_SALES} SELECT key, count(*) AS value FROM sales GROUP BY key",
     "grouped_sum_changelog": _SUM_CHANGES,
+    "hot_key_changelog": _SUM_CHANGES,
+    "hot_word_changelog": _WORD_CHANGES,
     "changelog_compact": _GROUPED_SUM,
     "latest_record": """
         SELECT CAST(user_id AS VARCHAR) AS key,
@@ -188,7 +202,10 @@ SQL: dict[str, str] = {
         FROM events GROUP BY user_id""",
     "stream_time": f"""
         WITH {_SHUFFLED}, {_timed("arrived")}
-        SELECT event_id, "partition", "offset", ts, stream_time FROM timed""",
+        SELECT event_id, "partition", "offset", ts,
+               max(ts) OVER (PARTITION BY "partition" ORDER BY "offset"
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stream_time
+        FROM arrived""",
     "late_records": f"""
         WITH {_SHUFFLED}, {_timed("arrived")}
         SELECT key, value, ts, "partition", event_id, "offset", window_start, window_end
@@ -204,7 +221,7 @@ SQL: dict[str, str] = {
         SELECT 'totals' AS branch, CAST(NULL AS BIGINT) AS "partition",
                CAST(NULL AS TIMESTAMP) AS window_start, CAST(NULL AS TIMESTAMP) AS window_end,
                key, CAST(sum(value) AS BIGINT) AS value
-        FROM arrived GROUP BY key
+        FROM arrived WHERE key IS NOT NULL GROUP BY key
         UNION ALL
         SELECT 'closed windows', "partition", window_start, window_end, key, value FROM final""",
     "interval_join": _PAIRS,
@@ -224,10 +241,28 @@ SQL: dict[str, str] = {
         FROM events r JOIN events m
           ON r.user_id = m.user_id
          AND m.ts BETWEEN r.ts - INTERVAL '1 hour' AND r.ts + INTERVAL '1 hour'
-        WHERE r.event_type = 'click' AND m.event_type = 'view'""",
+        WHERE r.event_id % 2 = 1 AND m.event_id % 2 = 0""",
     "word_count_stream": _WORD_COUNT,
     "grouped_sum_stream": _GROUPED_SUM,
     "grouped_sum_changelog_stream": _SUM_CHANGES,
+    # Amounts are not negative, so the largest total is the last.
+    "per_partition_changelog_stream": f"""
+        WITH {_SALES}
+        SELECT key, count(*) AS records, CAST(sum(value) AS BIGINT) AS value FROM sales GROUP BY key""",
+    "changelog_table_stream": _GROUPED_SUM,
+    "word_count_changelog_stream": _WORD_CHANGES,
+    # The accepted sales come in time order, so no record is late.
+    "ticket_minutes_stream": f"""
+        WITH {_MESSAGES},
+        amounts AS (
+          SELECT title AS key, tickettotalvalue AS value, ts,
+                 time_bucket(INTERVAL '1 hour', ts) AS window_start
+          FROM decoded WHERE reject_reason IS NULL AND title IS NOT NULL
+        )
+        SELECT window_start, window_start + INTERVAL '1 hour' AS window_end, key,
+               CAST(sum(value) AS BIGINT) AS value
+        FROM amounts WHERE window_start + INTERVAL '1 hour' <= (SELECT max(ts) FROM amounts)
+        GROUP BY ALL""",
     # The events come in time order, so no record is late.
     "tumbling_sum_stream": f"""
         SELECT * FROM ({_tumbling("CAST(sum(value) AS BIGINT)")})
@@ -240,5 +275,5 @@ SQL: dict[str, str] = {
         FROM events r JOIN events m
           ON r.user_id = m.user_id
          AND m.ts BETWEEN r.ts - INTERVAL '1 hour' AND r.ts + INTERVAL '1 hour'
-        WHERE r.event_type = 'click' AND m.event_type = 'view'""",
+        WHERE r.event_id % 2 = 1 AND m.event_id % 2 = 0""",
 }

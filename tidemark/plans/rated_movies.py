@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from tidemark.functions import codecs
 from tidemark.functions.records import MOVIE, RATED_MOVIE, RATING
 from tidemark.operators.joins import interval_join
-from tidemark.operators.stateless import rekey_by_number
+from tidemark.operators.stateless import peek, rekey_by_number
 from tidemark.streaming import hop, sinks
 
 # How far apart a rating and its movie may be, and how late.
@@ -68,10 +68,16 @@ def start(
     every: str | None = "10 seconds",
     reach: timedelta = REACH,
     grace: timedelta = GRACE,
-) -> tuple[StreamingQuery, StreamingQuery]:
+    salts: int = 1,
+    rejected_sink: sinks.Sink | None = None,
+    partitions: int | None = None,
+    **read: str,
+) -> tuple[StreamingQuery, ...]:
     """Two queries: one stores the keyed movies, one joins ratings to what is stored.
 
-    With ``every=None`` the first is finished before the second starts.
+    With ``every=None`` the first is finished before the second starts.  ``salts`` splits
+    the ratings of one id and time slot.  ``rejected_sink`` gets what of either input does
+    not decode, from a query of its own.  ``read`` are options of reading the table.
     """
     keyed = movies(movie_messages)
     first = hop.start_writing(
@@ -83,12 +89,25 @@ def start(
     )
     if every is None:
         sinks.drain(first)
-    stored = hop.read(movie_messages.sparkSession, movie_table, keyed.schema)
+    stored = hop.read(movie_messages.sparkSession, movie_table, keyed.schema, **read)
     second = sinks.start(
-        rated(ratings(rating_messages), stored, reach, grace),
+        rated(ratings(rating_messages), stored, reach, grace, salts),
         sink,
         name="rated-movies",
         checkpoint=f"{checkpoint_root}/rated-movies",
         every=every,
+        partitions=partitions,
+    )
+    if rejected_sink is None:
+        return first, second
+    rejected = codecs.quarantined(codecs.decode(movie_messages, MOVIE)).unionByName(
+        codecs.quarantined(codecs.decode(rating_messages, RATING))
+    )
+    third = sinks.start(
+        peek(rejected, "rejected"),
+        rejected_sink,
+        name="rejected-messages",
+        checkpoint=f"{checkpoint_root}/rejected-messages",
+        every=every,
     )
-    return first, second
+    return first, second, third

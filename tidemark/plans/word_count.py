@@ -5,13 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import session
 from tidemark.operators.aggregates import changelog, grouped
-from tidemark.operators.running import hot_keys
+from tidemark.operators.running import HOT, hot_keys
 from tidemark.operators.stateless import tokenize
 from tidemark.streaming import sinks
+from tidemark.streaming.changelog import start_changelog
+
+# Words of a block of texts.
+BLOCK = 1 << 20
 
 
 def counts(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -21,15 +26,52 @@ def counts(lines: DataFrame, value: str = "value") -> DataFrame:
 
 
 def count_changes(
-    lines: DataFrame, value: str = "value", order: Sequence[str] = ("partition", "offset")
+    lines: DataFrame,
+    value: str = "value",
+    order: Sequence[str] = ("partition", "offset"),
+    limit: int = HOT,
 ) -> DataFrame:
     """One row per word read, in record order, with the word's count at that point.
 
-    Runs a job of its own first, to find the words too frequent for one task.
+    The words are stored first, so that each text is split once.  Words with more than
+    ``limit`` records are cut into blocks; a block is as many texts as hold about BLOCK
+    words on average, and so no more records of one word.
     """
-    words = tokenize(lines, value, keep=order, word="key")
-    hot = session.written(hot_keys(words, ["key"]), "hot-words")
-    return changelog(words, how="count", order=[*order, "pos"], block_on=order[-1], hot=hot)
+    words = session.written(tokenize(lines, value, keep=order, word="key"), "words")
+    hot = session.written(hot_keys(words, ["key"], limit), "hot-words")
+    found = words.agg(F.count(F.lit(1)).alias("words"), F.count_distinct(*order).alias("texts")).first()
+    width = max(1, min(limit, BLOCK) * found["texts"] // max(1, found["words"]))
+    return changelog(
+        words,
+        how="count",
+        order=[*order, "pos"],
+        block_on=order[-1],
+        widths=(width, width * 1024),
+        hot=hot,
+    )
+
+
+def start_changes(
+    lines: DataFrame,
+    root: str,
+    *,
+    order: Sequence[str] = ("partition", "offset"),
+    name: str = "word-changes",
+    every: str | None = "10 seconds",
+    partitions: int | None = None,
+) -> StreamingQuery:
+    """The same on a stream: each micro-batch adds a row for every word it read."""
+    words = tokenize(lines, keep=order, word="key")
+    return start_changelog(
+        words,
+        root,
+        name=name,
+        how="count",
+        order=[*order, "pos"],
+        block_on=order[-1],
+        every=every,
+        partitions=partitions,
+    )
 
 
 def start(
@@ -39,8 +81,15 @@ def start(
     checkpoint: str,
     name: str = "word-count",
     every: str | None = "10 seconds",
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Keep counting; each trigger sends on the counts that changed."""
     return sinks.start(
-        counts(lines), sink, name=name, checkpoint=checkpoint, mode="update", every=every
+        counts(lines),
+        sink,
+        name=name,
+        checkpoint=checkpoint,
+        mode="update",
+        every=every,
+        partitions=partitions,
     )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,11 +14,11 @@ STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 SPLIT_HOT_JOINS = "spark.sql.adaptive.forceOptimizeSkewedJoin"
 
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
-# Fixed value: what Spark takes when nothing is set.
-DEFAULT_SHUFFLE_PARTITIONS = "200"
 
 # One folder per application, used only where the cluster names none.
 _local_dirs: dict[str, str] = {}
+# Paths of stored tables, by the ``scratch`` that owns them.
+_owned: list[list[str]] = []
 
 
 def build(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
@@ -32,8 +34,6 @@ def build(app: str = "tidemark", master: str | None = None, **conf: str) -> Spar
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config(SPLIT_HOT_JOINS, "true")
         .config(STATE_STORE, ROCKSDB)
-        # A repeated JSON key keeps its last value instead of failing the record.
-        .config("spark.sql.variant.allowDuplicateKeys", "true")
     )
     if master:
         builder = builder.master(master)
@@ -48,14 +48,9 @@ def configure(spark: SparkSession) -> SparkSession:
     UTC makes zone-less table timestamps mean one instant.  Joins are split where
     one key is hot, even if a later grouping then needs a shuffle of its own.
     RocksDB keeps streaming state off the executor heap, so it may outgrow memory.
-    A session that leaves the number of shuffle partitions at Spark's fixed default
-    gets one per core: a stream keeps its number for life, and each costs stores.
+    The number of shuffle partitions is left alone: adaptive execution merges them, and
+    streams are told theirs (``sinks.start``).
     """
-    if (
-        not spark.sparkContext.getConf().contains(SHUFFLE_PARTITIONS)
-        and spark.conf.get(SHUFFLE_PARTITIONS) == DEFAULT_SHUFFLE_PARTITIONS
-    ):
-        spark.conf.set(SHUFFLE_PARTITIONS, str(spark.sparkContext.defaultParallelism))
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set(SPLIT_HOT_JOINS, "true")
     spark.conf.set(STATE_STORE, ROCKSDB)
@@ -93,5 +88,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = run_dir(spark, name)
+    if _owned:
+        _owned[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that ``written`` makes in here when it is left.
+
+    Results that depend on them must be stored, or used up, before.
+    """
+    _owned.append([])
+    try:
+        yield
+    finally:
+        for path in _owned.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -5,16 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tidemark.operators.aggregates import changelog, compact, measure
 from tidemark.operators.stateless import with_key
 from tidemark.streaming import sinks
+from tidemark.streaming.versions import Versions, latest_rows
 
-
-def _totals_path(root: str, batch_id: int) -> str:
-    # Two slots in turn: a batch reads the one the batch before it wrote.
-    return f"{root}/totals/slot={batch_id % 2}"
+FOLD = 20
 
 
 def start_changelog(
@@ -28,37 +28,44 @@ def start_changelog(
     order: Sequence[str] = ("partition", "offset"),
     block_on: str = "offset",
     every: str | None = "10 seconds",
+    fold: int = FOLD,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Write every update of the total per key under ``root``, in record order.
 
     Spark's per-key state functions hand all records that a key has in a
     micro-batch to one Python task.  Here each micro-batch runs the batch
     changelog instead, which splits such keys, and goes on from the totals of
-    the batch before.  The totals are a table of one row per key, rewritten by
-    each micro-batch; choose a trigger that makes a batch worth that.
+    the batches before.  A batch reads the totals of its own keys and writes those
+    that it changed; every ``fold`` batches they are folded into one base.
 
-    A batch that is run again reads the same totals and overwrites its own
-    output.  The query's checkpoint also lies under ``root``, since totals and
+    A batch that is run again reads the same totals and its output replaces that of
+    the first run.  The query's checkpoint also lies under ``root``, since totals and
     progress belong together.  Records must come in order within a partition.
     """
     merge = "sum" if how == "count" else how
+    spark = records.sparkSession
+    nothing = spark.createDataFrame([], records.schema)
+    shape = changelog(nothing, how, key, value, value, order=order, block_on=block_on).schema
+    # Readers find the schema here before there is a batch.
+    spark.createDataFrame([], shape).write.mode("overwrite").parquet(f"{root}/schema")
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        rows_out, totals = Versions(spark, f"{root}/changelog"), Versions(spark, f"{root}/totals")
         batch = with_key(batch, key).persist()
         try:
             fresh = batch.groupBy(key).agg(measure(how, value).alias(value))
-            before = (
-                spark.read.schema(fresh.schema).parquet(_totals_path(root, batch_id - 1))
-                if batch_id > 0
-                else spark.createDataFrame([], fresh.schema)
-            )
+            totals.fold(fresh.schema, batch_id, lambda t: latest_rows(t, key, [key, value]), fold)
+            known = totals.read(fresh.schema, before=batch_id).join(fresh.select(key), key, "left_semi")
+            before = latest_rows(known, key, [key, value]).drop("batch").persist()
             rows = changelog(
                 batch, how, key, value, value, order=order, block_on=block_on, start=before
             )
-            rows.write.mode("overwrite").parquet(f"{root}/changelog/batch={batch_id}")
-            totals = before.unionByName(fresh).groupBy(key).agg(measure(merge, value).alias(value))
-            totals.write.mode("overwrite").parquet(_totals_path(root, batch_id))
+            rows_out.write(rows, batch_id)
+            changed = before.unionByName(fresh).groupBy(key).agg(measure(merge, value).alias(value))
+            totals.write(changed, batch_id)
+            before.unpersist()
         finally:
             batch.unpersist()
 
@@ -68,16 +75,36 @@ def start_changelog(
         name=name,
         checkpoint=f"{root}/progress",
         every=every,
+        partitions=partitions,
     )
 
 
+def _schema(spark: SparkSession, root: str) -> StructType:
+    return spark.read.parquet(f"{root}/schema").schema
+
+
 def read_changelog(spark: SparkSession, root: str) -> DataFrame:
-    """All updates written so far."""
-    return spark.read.option("basePath", f"{root}/changelog").parquet(f"{root}/changelog/batch=*")
+    """All updates of the batches published so far; ``batch`` is the batch's number."""
+    return Versions(spark, f"{root}/changelog").read(_schema(spark, root))
 
 
 def changelog_table(
-    spark: SparkSession, root: str, order: Sequence[str] = ("offset",), key: str = "key", value: str = "value"
+    spark: SparkSession,
+    root: str,
+    order: Sequence[str] = ("partition", "offset"),
+    key: str = "key",
+    value: str = "value",
 ) -> DataFrame:
-    """Latest total per key according to the updates written so far."""
-    return compact(read_changelog(spark, root), order, key, value)
+    """Latest total per key according to the updates written so far.
+
+    ``order`` is that of ``start_changelog``; it holds within a batch, and batches
+    come one after the other.
+    """
+    return compact(read_changelog(spark, root), ["batch", *order], key, value)
+
+
+def totals_table(spark: SparkSession, root: str, key: str = "key", value: str = "value") -> DataFrame:
+    """The same table from the totals that the batches leave, without their updates."""
+    schema = StructType([f for f in _schema(spark, root) if f.name in (key, value)])
+    rows = Versions(spark, f"{root}/totals").read(schema)
+    return latest_rows(rows, key, [key, value]).select(F.col(key), F.col(value))

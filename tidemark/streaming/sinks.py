@@ -7,10 +7,12 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import StructType
 
 from tidemark import session
 from tidemark.functions import codecs
 from tidemark.operators.aggregates import compact
+from tidemark.streaming.versions import Versions, latest_rows
 
 Sink = Callable[[DataStreamWriter], DataStreamWriter]
 
@@ -81,23 +83,34 @@ def long_messages(df: DataFrame) -> DataFrame:
     return keyed_message(df, "key", codecs.long_to_bytes(F.col("value")))
 
 
-def to_updates(path: str) -> Sink:
-    """Table of update-mode results: one folder of changed rows per micro-batch.
+def to_updates(path: str, key: str = "key", fold: int = 50) -> Sink:
+    """Table of update-mode results: the changed rows of each micro-batch.
 
-    A batch that is run again overwrites its own folder, so nothing doubles.
+    Readers see whole batches only, and a batch that is run again replaces itself.
+    Every ``fold`` batches the rows so far are folded into the latest per key.
     Keep ``path`` and the query's checkpoint together: batch numbers belong to both.
     """
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        table = Versions(rows.sparkSession, path)
+        table.fold(rows.schema, batch_id, lambda t: latest_rows(t, key, rows.columns), fold)
+        table.write(rows, batch_id)
 
     return to_batches(write)
 
 
-def latest_of_updates(spark: SparkSession, path: str, key: str = "key", value: str = "value") -> DataFrame:
+TOTALS = StructType().add("key", "string").add("value", "long")
+
+
+def latest_of_updates(
+    spark: SparkSession,
+    path: str,
+    key: str = "key",
+    value: str = "value",
+    schema: StructType = TOTALS,
+) -> DataFrame:
     """The table that the changed rows written by ``to_updates`` add up to."""
-    changes = spark.read.option("basePath", path).parquet(f"{path}/batch=*")
-    return compact(changes, ["batch"], key, value)
+    return compact(Versions(spark, path).read(schema), ["batch"], key, value)
 
 
 def checkpoint(spark: SparkSession, name: str, root: str | None = None, reset: bool = False) -> str:
@@ -119,16 +132,27 @@ def start(
     checkpoint: str,
     mode: str = "append",
     every: str | None = "10 seconds",
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Start a query; ``every=None`` handles what is there now and stops.
 
-    Give each query its own name and checkpoint.
+    Give each query its own name and checkpoint.  ``partitions`` is the number of
+    state partitions, which a query keeps for life: about one per core that it
+    will ever have.  Left out, the session's shuffle partitions are taken.
     """
     writer = sink(df.writeStream.queryName(name).outputMode(mode))
     writer = writer.option("checkpointLocation", checkpoint)
-    if every is None:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=every).start()
+    writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
+    if partitions is None:
+        return writer.start()
+    # A query takes the settings of the moment it starts.
+    conf = df.sparkSession.conf
+    before = conf.get(session.SHUFFLE_PARTITIONS)
+    conf.set(session.SHUFFLE_PARTITIONS, str(partitions))
+    try:
+        return writer.start()
+    finally:
+        conf.set(session.SHUFFLE_PARTITIONS, before)
 
 
 def drain(query: StreamingQuery) -> StreamingQuery:

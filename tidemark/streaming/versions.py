@@ -1,0 +1,96 @@
+"""A table that micro-batches add to, of which readers only see whole batches.
+
+Each batch writes a folder of its own and then publishes it by renaming a small
+pointer file into place.  A batch that runs again publishes a new folder instead; what a
+reader has open stays as it was.  Now and then the batches so far are folded into
+one base, the latest row per key, so that the table does not grow with time alone.
+A fold leaves out the running batch, which may yet run again.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
+
+BASE = "base"
+
+
+class Versions:
+    """The batches under ``root``; ``batch`` tells their rows apart."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _pointer(self, name: str):
+        return self._path(f"{self.root}/published/{name}")
+
+    def _publish(self, name: str, content: str) -> None:
+        draft = self._path(f"{self.root}/drafts/{name}-{uuid.uuid4().hex}")
+        out = self._fs.create(draft, True)
+        out.write(bytearray(content.encode()))
+        out.close()
+        self._fs.mkdirs(self._pointer(name).getParent())
+        if not self._fs.rename(draft, self._pointer(name)):
+            # Not every file system replaces on renaming.
+            self._fs.delete(self._pointer(name), False)
+            self._fs.rename(draft, self._pointer(name))
+
+    def _read(self, name: str) -> str:
+        source = self._fs.open(self._pointer(name))
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+        finally:
+            source.close()
+
+    def _published(self) -> tuple[int, str | None, dict[int, str]]:
+        """Up to which batch the base reaches, its folder, and the later batches' folders."""
+        folder = self._path(f"{self.root}/published")
+        if not self._fs.exists(folder):
+            return -1, None, {}
+        names = [s.getPath().getName() for s in self._fs.listStatus(folder)]
+        upto, base = -1, None
+        if BASE in names:
+            number, base = self._read(BASE).split(" ", 1)
+            upto = int(number)
+        later = {int(n): self._read(n) for n in names if n.isdigit() and int(n) > upto}
+        return upto, base, later
+
+    def write(self, rows: DataFrame, batch: int) -> None:
+        """Publish the rows of a batch, in place of those of an earlier run of it."""
+        folder = f"{self.root}/data/{batch}-{uuid.uuid4().hex}"
+        rows.withColumn("batch", F.lit(batch).cast("long")).write.parquet(folder)
+        self._publish(str(batch), folder)
+
+    def read(self, schema: StructType, before: int | None = None) -> DataFrame:
+        """All published rows, or those of earlier batches; none if there are none."""
+        _, base, later = self._published()
+        folders = [f for b, f in sorted(later.items()) if before is None or b < before]
+        folders = [base, *folders] if base else folders
+        whole = StructType(list(schema.fields)).add("batch", LongType())
+        if not folders:
+            return self.spark.createDataFrame([], whole)
+        return self.spark.read.schema(whole).parquet(*folders)
+
+    def fold(self, schema: StructType, running: int, latest: Callable[[DataFrame], DataFrame], every: int) -> None:
+        """Make a new base of the batches before ``running`` once there are ``every`` of them."""
+        _, _, later = self._published()
+        done = [b for b in later if b < running]
+        if len(done) < every:
+            return
+        folder = f"{self.root}/data/{BASE}-{running}-{uuid.uuid4().hex}"
+        latest(self.read(schema, before=running)).write.parquet(folder)
+        self._publish(BASE, f"{max(done)} {folder}")
+        for batch in done:
+            self._fs.delete(self._pointer(str(batch)), False)
+
+
+def latest_rows(rows: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """The row of each key's last batch."""
+    picked = F.max_by(F.struct(*columns, "batch"), "batch").alias("row")
+    return rows.groupBy(key).agg(picked).select("row.*")
