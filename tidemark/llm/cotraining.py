@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import common
 
-SAMPLE = 20_000
-POOL = 5_000
+SAMPLE = 10_000
+POOL = 3_000
 FEATURES = 4096
 ROUNDS = 3
 SURE = 0.98
@@ -178,7 +178,7 @@ def train(
     return model
 
 
-FACTS = "facts array<double>, hashes array<long>"
+FACTS = "facts array<double>, hashes binary"
 
 
 def _described(docs: DataFrame, ids: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -189,9 +189,9 @@ def _described(docs: DataFrame, ids: DataFrame, columns: dict[str, str]) -> Data
         for text, source, lang in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
             found = content(text)
             facts.append(layout(text, found, source, lang))
-            hashes.append(np.unique(found).view(np.int64))
+            hashes.append(np.unique(found).tobytes())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(facts, pa.list_(pa.float64())), pa.array(hashes, pa.list_(pa.int64()))],
+            [batch.column(0), pa.array(facts, pa.list_(pa.float64())), pa.array(hashes, pa.binary())],
             names=["doc_id", "facts", "hashes"],
         )
 
@@ -228,12 +228,12 @@ def fit(docs: DataFrame, labels: DataFrame, columns: dict[str, str] = COLUMNS) -
     rows = sorted(rows.select("doc_id", "facts", "hashes", "_id", "quality", "toxic").toLocalIterator(), key=lambda r: r["doc_id"])
     models = {}
     pooled = [r for r in rows if r["_id"] is None]
-    pool_sets = [np.array(r["hashes"], np.int64).view(np.uint64) for r in pooled]
+    pool_sets = [np.frombuffer(r["hashes"], np.uint64) for r in pooled]
     pool_facts = np.array([r["facts"] for r in pooled]).reshape(len(pooled), 12 + SOURCES + 8)
     for target in ("quality", "toxic"):
         known = [r for r in rows if r[target] is not None]
         models[target] = train(
-            [np.array(r["hashes"], np.int64).view(np.uint64) for r in known],
+            [np.frombuffer(r["hashes"], np.uint64) for r in known],
             np.array([r["facts"] for r in known]).reshape(len(known), 12 + SOURCES + 8),
             np.array([float(r[target]) for r in known]),
             np.array([common.small_hash(str(r["doc_id"])) % 3 == 0 for r in known], int),
