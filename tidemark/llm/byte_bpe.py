@@ -129,12 +129,8 @@ def encoded(
 
         return chunks.Encoder(piece), byte_table(tokenizer)
 
-    held: dict[str, tuple] = {}
-
     def run(batch: pa.RecordBatch):
-        if not held:
-            held["tools"] = tools()
-        encode, table = held["tools"]
+        encode, table = chunks.kept(f"ranks {path}", tools)
         rows: dict[str, list] = {k: [] for k in ("n", "ids", "ids_sha256", "decoded_sha256", "bytes", "chars")}
         for text in batch.column(1).to_pylist():
             pieces = encode(text or "")

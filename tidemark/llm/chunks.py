@@ -34,6 +34,17 @@ class Pieces(dict):
         return made
 
 
+_kept: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], object]):
+    """What `make` makes, once in a worker process: pieces looked up by one task serve the next."""
+    if name not in _kept:
+        _kept.clear()
+        _kept[name] = make()
+    return _kept[name]
+
+
 class Encoder:
     """Gives, for a text, what a function gives for its pieces, as a list."""
 

@@ -177,15 +177,19 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_
     common.ship(spark)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
+        def tools() -> chunks.Encoder:
+            from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(definition.value)
-        tokenizer.encode_special_tokens = True
+            tokenizer = Tokenizer.from_str(definition.value)
+            tokenizer.encode_special_tokens = True
 
-        def piece(text: str) -> bytes:
-            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+            def piece(text: str) -> bytes:
+                return np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
 
-        encode, end = chunks.Encoder(piece), np.array([end_id], np.uint32).tobytes()
+            return chunks.Encoder(piece)
+
+        encode = chunks.kept(f"files {zlib.crc32(definition.value.encode())}", tools)
+        end = np.array([end_id], np.uint32).tobytes()
         task = TaskContext.get()
         name = f"ids-{task.partitionId():06d}-{uuid.uuid4().hex}.pfor"
         fs, inner = common.filesystem(f"{folder}/{name}")
