@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from tidemark.llm import pivots
+from tidemark.llm import line_dedup, pivots
 
 
 def near(rng: np.random.Generator, rows: int, mean: float, size: int) -> np.ndarray:
@@ -39,3 +39,39 @@ def test_few_directions(spark):
     data = [(i, v.tolist()) for i, v in enumerate(np.concatenate([near(rng, 30, 0.999, 16) for _ in range(3)]))]
     found = pivots.linked(spark.createDataFrame(data, "vec_id long, embedding array<double>")).collect()
     assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in found) == [(i, 29, i - i % 30) for i in range(90)]
+
+
+def without_repeats(texts: list[str]) -> list[str]:
+    """Texts without the lines of any run of 50 words or more that stands earlier."""
+    docs = [t.split("\n") for t in texts]
+    kept = []
+    for d, lines in enumerate(docs):
+        gone = set()
+        for e, earlier in enumerate(docs[: d + 1]):
+            for shift in range(-len(earlier), len(lines)):
+                if e == d and shift <= 0:
+                    continue
+                run = []
+                for i in range(len(lines) + 1):
+                    if i < len(lines) and 0 <= i - shift < len(earlier) and lines[i] == earlier[i - shift]:
+                        run.append(i)
+                        continue
+                    if sum(len(lines[k].split()) for k in run) >= 50:
+                        gone.update(run)
+                    run = []
+        kept.append("\n".join(x for i, x in enumerate(lines) if i not in gone))
+    return kept
+
+
+def test_nested_versions_of_a_passage(spark):
+    def line(name: str, n: int) -> str:
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    a, b, c = line("a", 30), line("b", 30), line("c", 19)
+    texts = ["\n".join(x) for x in ([a, b], [a, b, c], [a, b, c], [c, a, b], ["x", c, a, b, "", c], [a, b, c, "", "y"])]
+    rng = np.random.default_rng(9)
+    pieces = ["", *(line(f"w{i}", int(rng.integers(1, 30))) for i in range(5))]
+    texts += ["\n".join(rng.choice(pieces, int(rng.integers(1, 12)))) for _ in range(60)]
+    found = line_dedup.deduplicated(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [r["text"] for r in sorted(found)] == without_repeats(texts)
+    assert sorted(found)[2]["text"] == ""

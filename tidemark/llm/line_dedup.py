@@ -1,11 +1,12 @@
 """Delete runs of lines that an earlier document, or an earlier place, has already.
 
-A window is the least run of lines from a line on that has WORDS words.  Within it, the least
+A window is the least run of lines from a line on, or up to a line, that has WORDS words, so
+every line of a run of WORDS words or more lies in a window within it.  Within a window, the least
 hash among its grams, runs of GRAM words, is selected as fingerprint; windows with the same
 content select the same one.  Places are joined by fingerprint and window to the first such
 place, in order of doc_id and then of lines; the match is extended line by line both ways,
-and its later side is deleted.  So a run of WORDS words or more that stands earlier
-is always found, and no shorter one is ever deleted.
+and its later side is deleted.  So all lines of a run of WORDS words or more that stands
+earlier, in whichever document, are deleted, and no shorter run ever is.
 
 Of each deleted line an equal one stays.  Lines are compared as they are.  A null text stays
 null.  A null doc_id comes first.  Rows that repeat a doc_id are told apart by their text; rows
@@ -46,11 +47,14 @@ def fingerprints(hashes: np.ndarray, words: np.ndarray) -> list[tuple[int, int,
     gram_ends = _ends(sums, GRAM)
     grams = [content(i, e) if e < n else 0 for i, e in enumerate(gram_ends.tolist())]
     gram_ends = gram_ends.tolist()
+    spans = {(i, e) for i, e in enumerate(_ends(sums, WORDS).tolist()) if e < n}
+    # The last line from which up to this one there are so many words.
+    starts = np.searchsorted(np.concatenate([[0], sums[:-1]]), sums - WORDS, side="right") - 1
+    spans |= {(i, e) for e, i in enumerate(starts.tolist()) if i >= 0}
     out = []
-    for i, e in enumerate(_ends(sums, WORDS).tolist()):
-        if e < n and words[i]:
-            least = min(grams[k] for k in range(i, e + 1) if gram_ends[k] <= e)
-            out.append((i, least, content(i, e)))
+    for i, e in sorted(spans):
+        least = min(grams[k] for k in range(i, e + 1) if gram_ends[k] <= e)
+        out.append((i, least, content(i, e)))
     return out
 
 
