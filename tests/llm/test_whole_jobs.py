@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from tidemark.llm import line_dedup, pivots
+from tidemark.llm import cotraining, line_dedup, pivots
 
 
 def near(rng: np.random.Generator, rows: int, mean: float, size: int) -> np.ndarray:
@@ -75,3 +75,26 @@ def test_nested_versions_of_a_passage(spark):
     found = line_dedup.deduplicated(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert [r["text"] for r in sorted(found)] == without_repeats(texts)
     assert sorted(found)[2]["text"] == ""
+
+
+def test_all_unlabelled_documents_are_used(spark, monkeypatch):
+    """A word that only unlabelled documents hold, beyond any fixed pool, becomes a feature."""
+    rng = np.random.default_rng(10)
+
+    def text(good: bool, extra: str) -> str:
+        return " ".join([*rng.choice([f"{'good' if good else 'bad'}{i}" for i in range(30)], 12), extra])
+
+    docs = [(i, text(i % 2 == 0, "seen"), "web" if i % 2 else "book", "en") for i in range(400)]
+    docs += [(i, text(i % 2 == 0, "fresh" if i % 2 else "other"), "web" if i % 2 else "book", "en") for i in range(400, 4400)]
+    labels = [(i, 1 - i % 2, 0) for i in range(400)]
+    used = []
+    fit = cotraining.Bayes.fit.__func__
+    monkeypatch.setattr(cotraining.Bayes, "fit", classmethod(lambda cls, *a: used.append(a) or fit(cls, *a)))
+    models = cotraining.fit(
+        spark.createDataFrame(docs, "doc_id long, text string, source string, lang string"),
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int"),
+    )
+    assert cotraining.SAMPLE == 20_000
+    assert sum(used[-1][2:]) > 4000  # texts that the last fit counts
+    assert np.isin(cotraining.content("fresh"), models["quality"].bayes.keys).all()
+    assert models["toxic"].constant == 0

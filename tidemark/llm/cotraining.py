@@ -5,12 +5,14 @@
 * Metadata: source, language, length and layout (shares of kinds of characters, lines, how
   often words repeat).  Logistic regression.
 
-Over ROUNDS, each view labels the texts of an unlabelled pool it is most sure of, and the
-other view trains on them.  Each view's log-odds are then calibrated, and combined, on
-labelled rows that no view was trained on.
+Over ROUNDS, each view labels all unlabelled documents it is sure of, and the other view trains
+on them.  The class that is labelled more often than its share counts for less, so that the
+shares stay those of the labelled rows.  Each view's log-odds are then calibrated, and combined,
+on labelled rows that no view was trained on.
 
-The models are fitted on the driver on a bounded sample: SAMPLE labelled rows and POOL unlabelled
-ones, the least by a hash of doc_id.  Every document is scored.
+The models are fitted on SAMPLE labelled rows, the least by a hash of doc_id, and on every
+unlabelled document.  Executors count features and sum what a Newton step needs; the driver gets
+the chosen features, the labelled rows' metadata and those sums.  Every document is scored.
 
 A document whose labels disagree counts as of low quality, and as toxic, if any label says
 so.  Null labels are left out.  A target with one class only, or none, gets a constant; without
@@ -20,6 +22,7 @@ Rows that repeat a doc_id are scored one by one.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,12 +32,13 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import common
 
-SAMPLE = 10_000
-POOL = 3_000
+SAMPLE = 20_000
 FEATURES = 4096
 ROUNDS = 3
 SURE = 0.98
 SOURCES = 32
+FACTS = 12 + SOURCES + 8
+HELD = 1 << 21  # hashes in a task's memory before they are counted
 
 _SYMBOLS = np.frombuffer(b"!\"#$%&'()*+-/:;<=>?@[\\]^_`{|}~", np.uint8)
 _LETTERS = np.full(256, 32, np.uint8)
@@ -75,15 +79,20 @@ def layout(text: str | None, hashes: np.ndarray, source: str | None, lang: str |
     return np.concatenate([[1.0], shares, kinds])
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 25) -> np.ndarray:
-    """Weights of a ridge logistic regression, by Newton steps."""
+def slopes(x: np.ndarray, y: np.ndarray, w: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Hessian and gradient of the log-likelihood, side by side."""
+    p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+    return np.column_stack([(x * (weights * p * (1 - p))[:, None]).T @ x, x.T @ (weights * (y - p))])
+
+
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 25, more: Callable | None = None) -> np.ndarray:
+    """Weights of a ridge logistic regression, by Newton steps; `more` gives the slopes of rows elsewhere."""
     w = np.zeros(x.shape[1])
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(x.shape[1])
-        change = np.linalg.solve(hessian, x.T @ (y - p) - ridge * w)
+        both = slopes(x, y, w, np.ones(len(y))) + (more(w) if more else 0)
+        change = np.linalg.solve(both[:, :-1] + ridge * np.eye(x.shape[1]), both[:, -1] - ridge * w)
         w += change
-        if np.abs(change).max() < 1e-6:
+        if np.abs(change).max() < (1e-3 if more else 1e-6):
             break
     return w
 
@@ -97,19 +106,17 @@ class Bayes:
     prior: float
 
     @classmethod
-    def fit(cls, sets: list[np.ndarray], y: np.ndarray) -> Bayes:
-        flat = np.concatenate(sets)
-        owner = np.repeat(y.astype(np.int64), [len(s) for s in sets])
-        keys, place = np.unique(flat, return_inverse=True)
-        inside = np.bincount(place, weights=owner, minlength=len(keys))
-        outside = np.bincount(place, minlength=len(keys)) - inside
-        yes, no = max(1, y.sum()), max(1, len(y) - y.sum())
-        a, b = (inside + 0.1) / (yes + 0.2), (outside + 0.1) / (no + 0.2)
-        spread = np.sqrt((inside + outside + 1) / (yes + no) * (1 / yes + 1 / no))
-        best = np.argsort(-np.abs(a - b) / spread, kind="stable")[:FEATURES]
-        best = best[np.abs(a - b)[best] / spread[best] > 5]
-        best = np.sort(best)
-        return cls(keys[best], np.log(a[best]) - np.log(b[best]), float(np.log(yes / no)))
+    def fit(cls, counts: DataFrame, target: str, yes: float, no: float) -> Bayes:
+        """From rows (hash, <target>_yes, <target>_no), and how many texts of each class there are."""
+        yes, no = max(1.0, yes), max(1.0, no)
+        inside, outside = F.col(f"{target}_yes"), F.col(f"{target}_no")
+        rates = counts.select("hash", ((inside + 0.1) / (yes + 0.2)).alias("a"), ((outside + 0.1) / (no + 0.2)).alias("b"), (inside + outside).alias("n"))
+        telling = F.abs(F.col("a") - F.col("b")) / F.sqrt((F.col("n") + 1) / (yes + no) * (1 / yes + 1 / no))
+        best = rates.withColumn("telling", telling).where("telling > 5").orderBy(F.desc("telling"), "hash").limit(FEATURES).toArrow()
+        keys = best["hash"].to_numpy().view(np.uint64)
+        weights = np.log(best["a"].to_numpy()) - np.log(best["b"].to_numpy())
+        order = np.argsort(keys)
+        return cls(keys[order], weights[order], float(np.log(yes / no)))
 
     def score(self, hashes: np.ndarray) -> float:
         if not len(self.keys) or not len(hashes):
@@ -139,65 +146,110 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.features(hashes, facts) @ self.combined, -30, 30))))
 
 
-def train(
-    sets: list[np.ndarray], facts: np.ndarray, y: np.ndarray, fold: np.ndarray, pool_sets: list[np.ndarray], pool_facts: np.ndarray
-) -> Model:
-    """Co-train two views on fold 0; calibrate and combine them on fold 1."""
-    if len(y) < 20 or len(np.unique(y[fold == 0])) < 2 or len(np.unique(y[fold == 1])) < 2:
-        return Model(None, None, np.zeros(5), float(y.mean()) if len(y) and len(np.unique(y)) == 1 else 0.5)
-    own = np.flatnonzero(fold == 0)
-    given = {"content": ([], []), "metadata": ([], [])}  # what the other view has labelled
-    taken: set[int] = set()
-    model = Model(None, None, np.zeros(5))
-    for _ in range(ROUNDS + 1):
-        rows, labels = given["content"]
-        model.bayes = Bayes.fit([sets[i] for i in own] + [pool_sets[i] for i in rows], np.concatenate([y[own], labels]))
-        rows, labels = given["metadata"]
-        model.weights = logistic(np.concatenate([facts[own], pool_facts[rows]]) if rows else facts[own], np.concatenate([y[own], labels]))
-        free = [i for i in range(len(pool_sets)) if i not in taken]
-        if not free:
-            break
-        scores = {
-            "metadata": np.array([model.bayes.score(pool_sets[i]) for i in free]) / 4,
-            "content": pool_facts[free] @ model.weights,
-        }
-        limit = np.log(SURE / (1 - SURE))
-        for receiver, odds in scores.items():
-            for sign in (1, -1):
-                # As many of each class as keep the labelled share of it.
-                share = y[own].mean() if sign > 0 else 1 - y[own].mean()
-                best = np.argsort(-sign * odds, kind="stable")[: int(200 * share) + 1]
-                for j in best[sign * odds[best] > limit]:
-                    if free[j] not in taken:
-                        taken.add(free[j])
-                        given[receiver][0].append(free[j])
-                        given[receiver][1].append(float(sign > 0))
-    held = np.flatnonzero(fold == 1)
-    x = np.array([model.features(sets[i], facts[i]) for i in held])
-    model.combined = logistic(x, y[held], ridge=0.1)
-    return model
-
-
-FACTS = "facts array<double>, hashes binary"
-
-
-def _described(docs: DataFrame, ids: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """doc_id, facts and distinct content of the few documents asked for."""
+TARGETS = ("quality", "toxic")
+COUNTS = [f"{t}_{side}" for t in TARGETS for side in ("yes", "no")]
+# Counts of a feature, or of texts where hash is null; or the facts of a text with a label per target.
+GATHERED = "hash long, " + "".join(f"{c} double, " for c in COUNTS) + "facts array<double>, labels array<double>, doc_id long"
+
+
+def _gather(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
+    """GATHERED from (doc_id, facts or None, labels for them, hashes, labels for those); no label is nan."""
+    schema = pa.schema(
+        [("hash", pa.int64()), *((c, pa.float64()) for c in COUNTS), ("facts", pa.list_(pa.float64())), ("labels", pa.list_(pa.float64())), ("doc_id", pa.int64())]
+    )
+    described, sets, marks, size = [], [], [], 0
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        if described:
+            nothing = [pa.nulls(len(described), pa.float64())] * len(COUNTS)
+            ids, facts, labels = zip(*described, strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(len(ids), pa.int64()), *nothing, pa.array(facts, schema.field("facts").type), pa.array(labels, schema.field("labels").type), pa.array(ids, pa.int64())],
+                schema=schema,
+            )
+        if sets:
+            keys, place = np.unique(np.concatenate(sets), return_inverse=True)
+            each = np.array(marks)
+            each = np.stack([each == 1, each == 0], axis=2).reshape(len(each), -1).astype(float)
+            owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+            counts = [np.append(np.bincount(place, weights=c[owner], minlength=len(keys)), c.sum()) for c in each.T]
+            hashes = pa.array([*keys.view(np.int64).tolist(), None], pa.int64())
+            n = len(hashes)
+            yield pa.RecordBatch.from_arrays(
+                [hashes, *map(pa.array, counts), pa.nulls(n, schema.field("facts").type), pa.nulls(n, schema.field("labels").type), pa.nulls(n, pa.int64())], schema=schema
+            )
+
+    for doc_id, facts, labels, hashes, own in rows:
+        if facts is not None:
+            described.append((doc_id, facts, labels))
+        if not np.isnan(own).all():
+            sets.append(hashes)
+            marks.append(own)
+        size += len(hashes) + FACTS
+        if size > HELD:
+            yield from flush()
+            described, sets, marks, size = [], [], [], 0
+    yield from flush()
+
+
+def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    """(distinct content, facts, the row) for rows doc_id, text, source, lang, ..."""
+    for batch in batches:
+        for part in common.narrow(batch, 256):
+            for row in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                found = content(row[1])
+                yield np.unique(found), layout(row[1], found, row[2], row[3]), row
+
+
+def _held(doc_id: int) -> bool:
+    """Whether a labelled row is trained on (False) or calibrated on."""
+    return common.small_hash(str(doc_id)) % 3 == 0
+
+
+def _labels(row: tuple) -> list[float]:
+    return [np.nan if x is None else float(x) for x in row[4:6]]
+
+
+def _gather_labelled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    nothing = [np.nan] * len(TARGETS)
+    yield from _gather(
+        (row[0], facts, _labels(row), hashes, nothing if _held(row[0]) else _labels(row)) for hashes, facts, row in _texts(batches)
+    )
 
-    def run(batch: pa.RecordBatch):
-        facts, hashes = [], []
-        for text, source, lang in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
-            found = content(text)
-            facts.append(layout(text, found, source, lang))
-            hashes.append(np.unique(found).tobytes())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(facts, pa.list_(pa.float64())), pa.array(hashes, pa.binary())],
-            names=["doc_id", "facts", "hashes"],
-        )
 
-    # At most SAMPLE + POOL ids.
-    picked = docs.join(F.broadcast(ids), F.col(columns["id"]).cast("long") == ids["_id"], "left_semi")
-    return common.in_batches(_columns(picked, columns), run, "doc_id long, " + FACTS, rows=256)
+def _summed(gathered: DataFrame) -> DataFrame:
+    return gathered.where("facts is null").groupBy("hash").agg(*(F.sum(c).alias(c) for c in COUNTS))
+
+
+def _totals(counts: DataFrame) -> np.ndarray:
+    """Texts per target and class, in the order yes, no."""
+    found = counts.where("hash is null").first()
+    return np.array([found[c] for c in COUNTS] if found else [0.0] * len(COUNTS)).reshape(-1, 2)
+
+
+def _balance(given: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Weights, one at most, by which given classes have the shares of the own ones."""
+    most = given / own
+    return np.where(given > 0, most.min() / np.maximum(most, 1e-9), 1.0) if (given > 0).all() else np.ones(2)
+
+
+def _elsewhere(facts: DataFrame, target: int, balance: np.ndarray) -> Callable:
+    """The slopes of stored rows as a function of the weights, summed on executors."""
+
+    def more(w: np.ndarray) -> np.ndarray:
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((FACTS, FACTS + 1))
+            for batch in batches:
+                x = batch.column(0).flatten().to_numpy().reshape(-1, FACTS)
+                y = batch.column(1).flatten().to_numpy().reshape(-1, len(TARGETS))[:, target]
+                x, y = x[~np.isnan(y)], y[~np.isnan(y)]
+                total += slopes(x, y, w, np.where(y == 1, *balance))
+            yield pa.RecordBatch.from_arrays([pa.array([total.ravel().tobytes()], pa.binary())], names=["total"])
+
+        found = facts.mapInArrow(run, "total binary").toLocalIterator()
+        return sum((np.frombuffer(r["total"]).reshape(FACTS, FACTS + 1) for r in found), np.zeros((FACTS, FACTS + 1)))
+
+    return more
 
 
 def _columns(docs: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -221,25 +273,88 @@ def fit(docs: DataFrame, labels: DataFrame, columns: dict[str, str] = COLUMNS) -
     each = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("_id"))
     each = each.agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
     asked = common.store(each.orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE), "labelled")
-    ids = docs.select(F.col(columns["id"]).cast("long").alias("_id")).where("_id is not null").distinct()
-    pool = ids.join(F.broadcast(asked.select("_id")), "_id", "left_anti").orderBy(F.xxhash64("_id", F.lit(1)), "_id").limit(POOL)
-    wanted = common.store(asked.select("_id").unionAll(pool), "sampled")
-    rows = _described(docs, wanted, columns).dropDuplicates(["doc_id"]).join(F.broadcast(asked), F.col("doc_id") == F.col("_id"), "left")
-    rows = sorted(rows.select("doc_id", "facts", "hashes", "_id", "quality", "toxic").toLocalIterator(), key=lambda r: r["doc_id"])
-    models = {}
-    pooled = [r for r in rows if r["_id"] is None]
-    pool_sets = [np.frombuffer(r["hashes"], np.uint64) for r in pooled]
-    pool_facts = np.array([r["facts"] for r in pooled]).reshape(len(pooled), 12 + SOURCES + 8)
-    for target in ("quality", "toxic"):
-        known = [r for r in rows if r[target] is not None]
-        models[target] = train(
-            [np.frombuffer(r["hashes"], np.uint64) for r in known],
-            np.array([r["facts"] for r in known]).reshape(len(known), 12 + SOURCES + 8),
-            np.array([float(r[target]) for r in known]),
-            np.array([common.small_hash(str(r["doc_id"])) % 3 == 0 for r in known], int),
-            pool_sets,
-            pool_facts,
+    common.ship(docs.sparkSession)
+    rows = _columns(docs, columns)
+    labelled = rows.join(F.broadcast(asked), F.col("doc_id") == F.col("_id")).drop("_id").dropDuplicates(["doc_id"])
+    labelled = common.store(labelled, "labelled-texts")
+    free = rows.join(F.broadcast(asked.select("_id")), F.col("doc_id") == F.col("_id"), "left_anti")
+    gathered = common.store(labelled.mapInArrow(_gather_labelled, GATHERED), "labelled-features")
+    own_counts = common.store(_summed(gathered), "labelled-counts")
+    own_totals = _totals(own_counts)
+    known = gathered.where("facts is not null").select("doc_id", "facts", "labels").toArrow().sort_by("doc_id").combine_chunks()
+    held = np.array([_held(x) for x in known["doc_id"].to_pylist()], bool)
+    facts = known["facts"].combine_chunks().flatten().to_numpy().reshape(-1, FACTS)
+    marks = known["labels"].combine_chunks().flatten().to_numpy().reshape(-1, len(TARGETS))
+    models: dict[str, Model] = {}
+    fitted = {}
+    for k, target in enumerate(TARGETS):
+        y = marks[:, k]
+        trained, kept = y[~held & ~np.isnan(y)], y[held & ~np.isnan(y)]
+        y = y[~np.isnan(y)]
+        if len(y) < 20 or len(np.unique(trained)) < 2 or len(np.unique(kept)) < 2:
+            models[target] = Model(None, None, np.zeros(5), float(y.mean()) if len(y) and len(np.unique(y)) == 1 else 0.5)
+        else:
+            models[target] = fitted[k] = Model(None, None, np.zeros(5))
+    limit = np.log(SURE / (1 - SURE))
+    given = None  # what each view has labelled for the other
+    for i in range(ROUNDS + 1 if fitted else 0):
+        counts, totals = own_counts, own_totals
+        if given is not None:
+            given_counts = common.store(_summed(given), "given-counts")
+            found = _totals(given_counts)
+            balance = np.array([_balance(a, b) if k in fitted else np.zeros(2) for k, (a, b) in enumerate(zip(found, own_totals, strict=True))])
+            weighted = [(F.col(c) * float(w)).alias(c) for c, w in zip(COUNTS, balance.ravel(), strict=True)]
+            counts = own_counts.unionAll(given_counts.select("hash", *weighted)).groupBy("hash").agg(*(F.sum(c).alias(c) for c in COUNTS))
+            counts = common.store(counts, "counts")
+            totals = own_totals + found * balance
+            sure = given.where("facts is not null").select("facts", "labels")
+        for k, model in fitted.items():
+            model.bayes = Bayes.fit(counts.where("hash is not null"), TARGETS[k], *totals[k])
+            used = ~held & ~np.isnan(marks[:, k])
+            more = None
+            if given is not None:
+                label = F.element_at("labels", k + 1)
+                n = sure.agg(F.count_if(label == 1).alias("yes"), F.count_if(label == 0).alias("no")).first()
+                more = _elsewhere(sure, k, _balance(np.array([n["yes"], n["no"]], float), own_totals[k]))
+            model.weights = logistic(facts[used], marks[used, k], more=more)
+        if given is not None:
+            common.discard(counts)
+            common.discard(given_counts)
+            common.discard(given)
+        if i == ROUNDS:
+            break
+        shared = docs.sparkSession.sparkContext.broadcast(fitted)
+
+        def label(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            def rows() -> Iterator[tuple]:
+                for hashes, facts, row in _texts(batches):
+                    by_content, by_metadata = [np.nan] * len(TARGETS), [np.nan] * len(TARGETS)
+                    for k, model in shared.value.items():
+                        for odds, labels in ((model.bayes.score(hashes) / 4, by_content), (float(facts @ model.weights), by_metadata)):
+                            if abs(odds) > limit:
+                                labels[k] = float(odds > 0)
+                    yield row[0], None if np.isnan(by_content).all() else facts, by_content, hashes, by_metadata
+
+            yield from _gather(rows())
+
+        given = common.store(free.mapInArrow(label, GATHERED), "given")
+        common.free(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(fitted)
+
+    def describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = [(row[0], k, model.features(hashes, facts), _labels(row)[k]) for hashes, facts, row in _texts(batches) if _held(row[0]) for k, model in shared.value.items()]
+        ids, ks, x, y = zip(*out, strict=True) if out else ((), (), (), ())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int64()), pa.array(ks, pa.int32()), pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.float64())], names=["doc_id", "k", "x", "y"]
         )
+
+    if fitted:
+        seen = labelled.mapInArrow(describe, "doc_id long, k int, x array<double>, y double").toArrow().sort_by("doc_id")
+        ks, y = seen["k"].to_numpy(), seen["y"].to_numpy()
+        x = seen["x"].combine_chunks().flatten().to_numpy().reshape(-1, 5)
+        for k, model in fitted.items():
+            used = (ks == k) & ~np.isnan(y)
+            model.combined = logistic(x[used], y[used], ridge=0.1)
     return models
 
 
