@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+
 import numpy as np
 import pytest
 
-from tidemark.llm import cotraining, line_dedup, pivots
+from tidemark.llm import common, cotraining, line_dedup, pivots
+
+REPO = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def near(rng: np.random.Generator, rows: int, mean: float, size: int) -> np.ndarray:
@@ -98,3 +104,11 @@ def test_all_unlabelled_documents_are_used(spark, monkeypatch):
     assert sum(used[-1][2:]) > 4000  # texts that the last fit counts
     assert np.isin(cotraining.content("fresh"), models["quality"].bayes.keys).all()
     assert models["toxic"].constant == 0
+
+
+def test_hashes_do_not_depend_on_order():
+    """A process that has hashed nothing yet, and one that has hashed long words, agree."""
+    code = "from tidemark.llm import common; print(common.hash_bytes(b'a b 0').tolist())"
+    fresh = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=REPO).stdout
+    common.hash_bytes(b"longer words")
+    assert fresh.split() == str(common.hash_bytes(b"a b 0").tolist()).split()

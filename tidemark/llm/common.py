@@ -111,7 +111,7 @@ _ODD = np.array(
     [0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB],
     dtype=np.uint64,
 )
-_powers = np.ones(1, np.uint64)
+_powers = np.full(1, _R)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
