@@ -94,12 +94,6 @@ def test_only_hot_keys_are_cut(skewed, limit, widths):
     assert rows(found, "key", "partition", "offset", "value") == replay(records, STEPS["sum"])
 
 
-def test_hot_keys_and_given_totals_exclude_each_other(skewed):
-    _, df = skewed
-    with pytest.raises(ValueError):
-        aggregates.changelog(df, hot=hot_keys(df, ["key"]), start=aggregates.grouped(df))
-
-
 @pytest.mark.parametrize("widths", [(1 << 20,), (5, 50)])
 def test_running_goes_on_from_given_totals(spark, skewed, widths):
     records, df = skewed

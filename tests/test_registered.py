@@ -103,5 +103,6 @@ def test_closed_windows_need_no_sort_of_the_records(spark):
 
 def test_filters_reach_the_scan(spark):
     plan = plan_of(spark, "interval_join")
-    assert "EqualTo(event_type,view)" in plan and "EqualTo(event_type,click)" in plan
-    assert "props" not in plan
+    assert "% 2) = 0)" in plan and "% 2) = 1)" in plan
+    assert plan.count("PushedFilters: [IsNotNull(event_id), IsNotNull(user_id)]") == 2
+    assert plan.count("ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,value:double>") == 2

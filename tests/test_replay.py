@@ -1,0 +1,205 @@
+"""Windows and joins by the record-order rule, on tables and streams, against plain loops."""
+
+import os
+import random
+from datetime import timedelta
+
+import pytest
+from conftest import at, rows
+from pyspark.sql import functions as F
+
+from tidemark.operators import joins, windows
+from tidemark.operators.running import hot_keys
+from tidemark.streaming import replay, sinks
+
+SALE = "key string, value long, ts timestamp, partition int, offset long"
+MINUTE = timedelta(minutes=1)
+REACH = timedelta(seconds=30)
+
+
+def shuffled(seed, n, partitions=2, keys="abc", spread=150):
+    """Records whose times run ahead and fall behind; some have no key."""
+    rng = random.Random(seed)
+    return [
+        (rng.choice([*keys, keys[0], None]), rng.randrange(10), at(3 * i - rng.choice([0, 0, rng.randrange(spread)])),
+         rng.randrange(partitions), i)
+        for i in range(n)
+    ]
+
+
+def cut(records, seed, parts=5):
+    """Micro-batches of uneven sizes, in order; one of them is empty."""
+    ends = sorted(random.Random(seed).sample(range(1, len(records)), parts - 1))
+    batches = [records[a:b] for a, b in zip([0, *ends], [*ends, len(records)], strict=True)]
+    return [*batches[:2], [], *batches[2:]]
+
+
+def by_hand(records, size, grace):
+    """Final totals and late records, one record after another."""
+    time, totals, late, width = {}, {}, [], size.total_seconds()
+    for key, value, ts, partition, offset in records:
+        if key is None:
+            continue
+        time[partition] = max(time.get(partition, ts), ts)
+        start = at((ts - at(0)).total_seconds() // width * width)
+        if start + size + grace <= time[partition]:
+            late.append((key, value, ts, partition, offset, start))
+        else:
+            place = (partition, start, key)
+            totals[place] = totals.get(place, 0) + value
+    done = [(*p, v) for p, v in totals.items() if p[1] + size + grace <= time[p[0]]]
+    return sorted(done, key=repr), sorted(late, key=repr)
+
+
+@pytest.mark.parametrize("grace", [0, 20])
+def test_final_windows_of_a_stream(spark, feed, tmp_path, grace):
+    records, grace = shuffled(3, 150), timedelta(seconds=grace)
+    source = feed(SALE).add(*cut(records, 1))
+    root = str(tmp_path / "final")
+    sinks.drain(replay.start_final(source.stream(), root, MINUTE, name=f"final-{grace}", grace=grace, every=None))
+    done, late = by_hand(records, MINUTE, grace)
+    assert done and late
+    assert rows(replay.read(spark, root, replay.FINAL), "partition", "window_start", "key", "value") == done
+    found = replay.read(spark, root, replay.LATE)
+    assert rows(found, "key", "value", "ts", "partition", "offset", "window_start") == late
+    df = source.table()
+    closed = windows.closings(df, MINUTE, grace)
+    columns = ["partition", "window_start", "window_end", "key", "value"]
+    wanted = rows(windows.tumbling_final(df, closed, MINUTE), *columns)
+    assert rows(replay.read(spark, root, replay.FINAL), *columns) == wanted
+
+
+def test_final_windows_go_on_after_a_restart_and_a_lost_commit(spark, feed, tmp_path):
+    records = shuffled(8, 90)
+    source = feed(SALE).add(records[:40])
+    root = str(tmp_path / "final")
+
+    def run():
+        sinks.drain(replay.start_final(source.stream(), root, MINUTE, name="final-again", how="count", every=None))
+
+    run()
+    source.add(records[40:60], records[60:])
+    run()
+    first = rows(replay.read(spark, root, replay.FINAL)), rows(replay.read(spark, root, replay.LATE))
+    for leftover in (tmp_path / "final" / "progress" / "commits").iterdir():
+        if leftover.name in ("2", ".2.crc"):
+            leftover.unlink()
+    run()
+    assert (rows(replay.read(spark, root, replay.FINAL)), rows(replay.read(spark, root, replay.LATE))) == first
+    counted = [(k, 1 if k else None, t, p, o) for k, _, t, p, o in records]
+    assert rows(replay.read(spark, root, replay.FINAL), "partition", "window_start", "key", "value") == by_hand(
+        counted, MINUTE, timedelta(0)
+    )[0]
+
+
+def test_only_open_windows_are_carried(spark, feed, tmp_path):
+    """A silent partition keeps its window open and holds back no other partition."""
+    records = [("a", 1, at(60 * i), 0, i) for i in range(6)] + [("b", 1, at(0), 1, 6)]
+    source = feed(SALE).add(records[:1] + records[6:], records[1:3], records[3:6])
+    root = str(tmp_path / "final")
+    sinks.drain(replay.start_final(source.stream(), root, MINUTE, name="open", every=None))
+    carried = replay.held(spark, root)
+    assert rows(carried["open"], "partition", "key", "value") == [(0, "a", 1), (1, "b", 1)]
+    assert rows(carried["times"], "partition", "stream_time") == [(0, at(300)), (1, at(0))]
+    assert replay.read(spark, root, replay.FINAL).count() == 5
+    assert len(os.listdir(f"{root}/open")) == 2
+
+
+# ---- join ------------------------------------------------------------------
+
+
+def pairs_by_hand(left, right, reach, grace):
+    """Both sides in arrival order; each record looks for what the other side still has."""
+    arrivals = sorted([(r[4], "left", r) for r in left] + [(r[4], "right", r) for r in right])
+    time, stored, found = {}, {"left": [], "right": []}, []
+    for _, side, r in arrivals:
+        key, _, ts, partition, offset = r
+        if key is None:
+            continue
+        time[partition] = max(time.get(partition, ts), ts)
+        if ts + reach + grace < time[partition]:
+            continue
+        other = "right" if side == "left" else "left"
+        for o in stored[other]:
+            alive = o[2] + reach + grace >= time[partition]
+            if o[3] == partition and o[0] == key and abs(o[2] - ts) <= reach and alive:
+                l, r2 = (offset, o[4]) if side == "left" else (o[4], offset)
+                found.append((key, max(ts, o[2]), l, r2))
+        stored[side].append(r)
+    return sorted(found, key=repr)
+
+
+def sides(seed, n=160):
+    records = [(k, v, t, 0 if k in ("a", "b") else 1, o) for k, v, t, _, o in shuffled(seed, n, keys="abcd", spread=120)]
+    return [r for r in records if r[4] % 2 == 0], [r for r in records if r[4] % 2]
+
+
+def offsets():
+    return [F.col("left.offset").alias("l"), F.col("right.offset").alias("r")]
+
+
+@pytest.mark.parametrize("grace", [0, 30])
+def test_join_by_record_order(spark, grace):
+    left, right = sides(5)
+    grace = timedelta(seconds=grace)
+    wanted = pairs_by_hand(left, right, REACH, grace)
+    a, b = (spark.createDataFrame(s, SALE) for s in (left, right))
+    found = joins.interval_join_replayed(a, b, REACH, REACH, offsets(), grace=grace, widths=(16,))
+    assert rows(found, "key", "ts", "l", "r") == wanted
+    every = joins.interval_join(a, b, REACH, REACH, offsets())
+    assert 0 < len(wanted) < every.count()
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_join_of_streams_by_record_order(spark, feed, tmp_path, seed):
+    left, right = sides(seed)
+    grace = timedelta(seconds=30)
+    ends = [0, 30, 31, 90, 160]
+    a, b = (
+        feed(SALE).add(*[[r for r in side if lo <= r[4] < hi] for lo, hi in zip(ends, ends[1:], strict=False)])
+        for side in (left, right)
+    )
+    root = str(tmp_path / "join")
+    sinks.drain(
+        replay.start_join(a.stream(), b.stream(), root, REACH, REACH, offsets(), name=f"join-{seed}", grace=grace, every=None)
+    )
+    wanted = pairs_by_hand(left, right, REACH, grace)
+    assert rows(replay.read(spark, root, replay.PAIRS), "key", "ts", "l", "r") == wanted
+
+
+def test_the_side_that_goes_on_lets_go_of_both(spark, feed, tmp_path):
+    """The right side goes quiet after its first file; what it left is gone in the end."""
+    left = feed(SALE).add(*[[("a", 1, at(100 * i), 0, 10 * i)] for i in range(4)])
+    right = feed(SALE).add([("a", 2, at(5), 0, 1), ("b", 2, at(5), 0, 2)], [], [], [])
+    root = str(tmp_path / "join")
+    sinks.drain(
+        replay.start_join(
+            left.stream(), right.stream(), root, REACH, REACH, offsets(), name="quiet", grace=timedelta(seconds=30), every=None
+        )
+    )
+    carried = replay.held(spark, root)
+    assert rows(carried["held-right"], "key") == []
+    assert rows(carried["held-left"], "offset") == [(30,)]
+    assert rows(replay.read(spark, root, replay.PAIRS), "l", "r") == [(0, 1)]
+
+
+# ---- table -----------------------------------------------------------------
+
+
+def test_records_join_the_table_as_it_was(spark):
+    left, table = sides(9)
+    last, wanted = {}, []
+    for key, value, _, _, offset in sorted(left + table, key=lambda r: r[4]):
+        if key is None:
+            continue
+        if offset % 2:
+            last[key] = (offset, value)
+        elif key in last:
+            wanted.append((key, offset, *last[key]))
+    a, b = (spark.createDataFrame(s, SALE) for s in (left, table))
+    columns = [*offsets(), F.col("right.value").alias("v")]
+    hot = hot_keys(a.select("key").unionAll(b.select("key")).where("key IS NOT NULL"), ["key"], 20)
+    assert hot.count()
+    for cut_keys in (None, hot):
+        found = joins.as_of_join(a, b, columns, order=["offset"], widths=(8, 64), hot=cut_keys)
+        assert rows(found, "key", "l", "r", "v") == sorted(wanted, key=repr)

@@ -1,12 +1,15 @@
-from datetime import datetime
+import os
+from datetime import UTC, datetime, timedelta
 
 import pytest
 from conftest import at, rows
 from pyspark.sql import functions as F
 
 from tidemark import session
+from tidemark.operators import joins
+from tidemark.operators.stateless import peek
 from tidemark.sources import envelope, readers
-from tidemark.streaming import sinks
+from tidemark.streaming import hop, metrics, sinks
 
 
 def test_text_lines(spark, tmp_path):
@@ -92,3 +95,90 @@ def test_written_tables_come_back_whole(spark):
     assert back.schema.fieldNames() == df.schema.fieldNames()
     assert session.run_dir(spark, "x") != session.run_dir(spark, "x")
     assert session.run_dir(spark, "x").startswith(session.shared_dir(spark))
+
+
+def test_lines_are_numbered_over_files_and_splits(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    wanted = []
+    for name, n in (("a", 300), ("b", 0), ("c", 1), ("d", 500)):
+        lines = [f"{name}{i}" + "x" * (i % 37) for i in range(n)]
+        (tmp_path / "in" / f"{name}.txt").write_text("".join(line + "\n" for line in lines))
+        wanted += lines
+    # Splits of a few lines each; several of them, not always of one file, go to a task.
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size, cost in (("700", "0"), ("3000", "100"), ("1000000", "4")):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", cost)
+            found = readers.lines_in_order(spark, f"{tmp_path}/in", "lines")
+            assert tuple(found.columns) == envelope.COLUMNS
+            assert rows(found, "offset", "value") == sorted(enumerate(wanted), key=repr)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_files_of_before_the_start_are_not_read(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for number in range(3):
+        (tmp_path / "in" / f"{number}.txt").write_text(f"line {number}\n")
+        os.utime(tmp_path / "in" / f"{number}.txt", (1_700_000_000 + number, 1_700_000_000 + number))
+    start = datetime.fromtimestamp(1_700_000_001, UTC).replace(tzinfo=None)
+    found = readers.text(spark, f"{tmp_path}/in", "lines", start=start)
+    assert [f.rsplit("/", 1)[1] for f in found.inputFiles()] == ["2.txt"] and found.count() == 1
+
+
+def test_days_before_the_start_are_not_in_the_plan(spark, feed, tmp_path):
+    day = 86_400
+    source = feed("key string, ts timestamp").add([("a", at(0)), ("b", at(day))], [("c", at(day + 60)), ("d", at(3 * day))])
+    sinks.drain(
+        hop.start_writing_days(source.stream(), f"{tmp_path}/days", name="by-day", checkpoint=f"{tmp_path}/p", every=None)
+    )
+    schema = source.table().schema
+    found = hop.read_days(spark, f"{tmp_path}/days", schema, at(day + 30))
+    assert rows(found) == [("c", at(day + 60)), ("d", at(3 * day))]
+    plan = found._jdf.queryExecution().executedPlan()
+    found.collect()
+    assert "PartitionFilters: [isnotnull(day" in plan.toString()
+    whole = hop.read_days(spark, f"{tmp_path}/days", schema)
+    assert whole.count() == 4
+    stream = hop.read_days(spark, f"{tmp_path}/days", schema, at(day + 30), streaming=True)
+    query = sinks.start(stream, sinks.to_memory(), name="from_day", checkpoint=f"{tmp_path}/q", every=None)
+    sinks.drain(query)
+    assert rows(spark.table("from_day")) == rows(found)
+
+
+def test_a_stop_in_buckets_is_not_shuffled_again(spark):
+    left = spark.createDataFrame([(f"k{i % 9}", at(10 * i), i) for i in range(200)], "key string, ts timestamp, offset long")
+    right = left.withColumn("ts", F.col("ts") + F.expr("INTERVAL 7 SECONDS"))
+    reach = timedelta(seconds=30)
+    columns = [F.col("left.offset").alias("l"), F.col("right.offset").alias("r")]
+    stored = hop.through_buckets(joins.with_slots(right, reach, reach), ["key", joins.SLOT], 3)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = joins.interval_join(left, stored, reach, reach, columns)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1
+        assert plan.index("Exchange") < plan.index("Bucketed: true")
+        assert rows(found) == rows(joins.interval_join(left, right, reach, reach, columns))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_counts_of_a_stream_are_kept_by_batch(spark, feed, tmp_path):
+    source = feed("key string, value long").add([("a", 1), ("a", None)], [("b", 1)], [("c", None)] * 3)
+    recorder = metrics.Recorder(spark, f"{tmp_path}/counts", ["counted"]).add()
+    try:
+        seen = peek(source.stream(), "seen", F.count_if(F.col("value").isNull()).alias("empty"))
+        for name in ("counted", "not_counted"):
+            sinks.drain(sinks.start(seen, sinks.to_memory(), name=name, checkpoint=f"{tmp_path}/{name}", every=None))
+        found = recorder.flush()
+    finally:
+        recorder.remove()
+    assert rows(found.where("metric = 'empty'"), "query", "batch", "value") == [
+        ("counted", 0, 1), ("counted", 1, 0), ("counted", 2, 3)
+    ]
+    assert found.where("metric = 'records'").agg(F.sum("value")).first()[0] == source.table().count()
+    assert rows(recorder.flush()) == rows(found)
+    assert metrics.Recorder(spark, f"{tmp_path}/none").counts().count() == 0

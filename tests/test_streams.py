@@ -1,3 +1,4 @@
+import os
 from datetime import timedelta
 
 import pytest
@@ -10,8 +11,8 @@ from tidemark.functions.records import TICKET_SALE
 from tidemark.operators import aggregates, joins, windows
 from tidemark.operators.stateless import peek
 from tidemark.plans import rated_movies, ticket_sales, word_count
-from tidemark.streaming import changelog, fan_out, sinks
-from tidemark.streaming.versions import Versions, latest_rows
+from tidemark.streaming import changelog, fan_out, replay, sinks
+from tidemark.streaming.batches import Carried, Results
 
 MINUTE = timedelta(minutes=1)
 LINE = "key string, value string, ts timestamp, topic string, partition int, offset long"
@@ -104,7 +105,7 @@ def test_tables_of_a_changelog_with_several_partitions_and_batches(spark, feed,
         [("c", 1, at(5), 1, 6)],
     )
     root = str(tmp_path / "changes")
-    query = changelog.start_changelog(source.stream(), root, name="partitions", every=None, fold=2)
+    query = changelog.start_changelog(source.stream(), root, name="partitions", every=None)
     sinks.drain(query)
     wanted = rows(aggregates.grouped(source.table()), "key", "value")
     assert rows(changelog.changelog_table(spark, root), "key", "value") == wanted
@@ -112,15 +113,45 @@ def test_tables_of_a_changelog_with_several_partitions_and_batches(spark, feed,
     assert dict(wanted)["a"] == 15
 
 
-def test_a_batch_writes_the_totals_of_its_own_keys_only(spark, feed, tmp_path):
+def test_a_batch_updates_the_state_of_its_own_keys_only(spark, feed, tmp_path):
     many = [(f"k{i}", 1, at(0), 0, i) for i in range(50)]
-    source = feed(SALE).add(many, [("k7", 1, at(1), 0, 100)])
+    source = feed(SALE).add(many, [("k7", 1, at(1), 0, 100), (None, 9, at(1), 0, 101)])
     root = str(tmp_path / "changes")
-    sinks.drain(changelog.start_changelog(source.stream(), root, name="own-keys", every=None))
-    schema = StructType().add("key", "string").add("value", "long")
-    written = Versions(spark, f"{root}/totals").read(schema)
-    assert rows(written.where("batch = 1"), "key", "value") == [("k7", 2)]
-    assert written.where("batch = 0").count() == 50
+    query = changelog.start_changelog(source.stream(), root, name="own-keys", every=None)
+    sinks.drain(query)
+    updated = [p["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress if p["numInputRows"]]
+    assert updated == [50, 1]
+    state = dict(rows(changelog.totals_table(spark, root), "key", "value"))
+    assert len(state) == 50 and state["k7"] == 2
+    before = sinks.state_table(spark, f"{root}/progress", batch=0)
+    assert dict(rows(before, "key", "value"))["k7"] == 1
+
+
+def test_hot_keys_of_a_stream_are_cut_and_go_on_from_their_totals(spark, feed, tmp_path):
+    """Keys over the limit in a batch, under it, with totals from before and without."""
+    sales = [(k, i % 7 if i % 5 else None, at(i), i % 2, i) for i, k in enumerate("abaacabadaab" * 6)]
+    source = feed(SALE).add(sales[:20], sales[20:23], sales[23:50], sales[50:])
+    root = str(tmp_path / "changes")
+    query = changelog.start_changelog(
+        source.stream(), root, name="hot", order=["offset"], widths=(4, 16), limit=3, every=None
+    )
+    sinks.drain(query)
+    found = rows(changelog.read_changelog(spark, root), "key", "offset", "value")
+    assert found == rows(aggregates.changelog(source.table(), order=["offset"]), "key", "offset", "value")
+
+
+def test_running_totals_with_hot_keys_and_totals_to_start_from(spark):
+    records = [(k, i, i) for i, k in enumerate("aababcaadaab" * 5)]
+    df = spark.createDataFrame(records, "key string, value long, offset long")
+    start = spark.createDataFrame([("a", 100), ("b", 1000), ("z", 5)], "key string, value long")
+    hot = spark.createDataFrame([("a",), ("d",)], "key string")
+    wanted, totals = [], {"a": 100, "b": 1000}
+    for k, v, o in records:
+        totals[k] = totals.get(k, 0) + v
+        wanted.append((k, o, totals[k]))
+    for widths in ((8,), (4, 16)):
+        found = aggregates.changelog(df, order=["offset"], widths=widths, hot=hot, start=start)
+        assert rows(found, "key", "offset", "value") == sorted(wanted, key=repr)
 
 
 def test_tables_before_the_first_batch_are_empty(spark, feed, tmp_path):
@@ -131,8 +162,8 @@ def test_tables_before_the_first_batch_are_empty(spark, feed, tmp_path):
     assert rows(changelog.changelog_table(spark, root)) == []
 
 
-def test_readers_see_whole_batches_and_folds_keep_the_latest(spark, tmp_path):
-    table = Versions(spark, f"{tmp_path}/table")
+def test_a_batch_written_twice_stays_as_it_was(spark, tmp_path):
+    table = Results(spark, f"{tmp_path}/table")
     schema = StructType().add("key", "string").add("value", "long")
 
     def batch(number, *pairs):
@@ -140,13 +171,23 @@ def test_readers_see_whole_batches_and_folds_keep_the_latest(spark, tmp_path):
 
     batch(0, ("a", 1), ("b", 1))
     batch(1, ("a", 2))
-    seen = table.read(schema)
     batch(1, ("a", 3))
-    assert rows(seen, "key", "value", "batch") == [("a", 1, 0), ("a", 2, 1), ("b", 1, 0)]
-    table.fold(schema, 2, lambda t: latest_rows(t, "key", ["key", "value"]), 2)
-    assert rows(table.read(schema), "key", "value", "batch") == [("a", 3, 1), ("b", 1, 0)]
+    (tmp_path / "table" / "batch=1" / "_SUCCESS").unlink()  # as if the run had ended while writing
+    assert rows(table.read(schema), "key", "value", "batch") == [("a", 1, 0), ("b", 1, 0)]
+    batch(1, ("a", 2))
     batch(2, ("b", 5))
-    assert rows(sinks.latest_of_updates(spark, f"{tmp_path}/table")) == [("a", 3), ("b", 5)]
+    assert rows(sinks.latest_of_updates(spark, f"{tmp_path}/table")) == [("a", 2), ("b", 5)]
+
+
+def test_what_is_carried_is_the_last_version_before_a_batch(spark, tmp_path):
+    schema = StructType().add("key", "string").add("value", "long")
+    table = Carried(spark, f"{tmp_path}/table", schema)
+    assert table.before(0).count() == 0
+    for number in (0, 1, 2, 3):
+        table.leave(table.before(number).union(spark.createDataFrame([("k", number)], schema)), number)
+    assert sorted(r["value"] for r in table.before(3).collect()) == [0, 1, 2]
+    assert table.before(4).count() == 4
+    assert sorted(os.listdir(tmp_path / "table")) == ["batch=2", "batch=3"]
 
 
 def test_words_as_a_row_per_word_on_a_stream(spark, feed, tmp_path):
@@ -370,3 +411,26 @@ def test_reset_picks_a_fresh_checkpoint(spark, tmp_path):
     kept = sinks.checkpoint(spark, "job", str(tmp_path))
     assert kept == sinks.checkpoint(spark, "job", str(tmp_path))
     assert sinks.checkpoint(spark, "job", str(tmp_path), reset=True) != kept
+
+def test_ticket_minutes_by_the_record_order_rule(spark, feed, tmp_path):
+    closer = (None, '{"title":"late closer","tickettotalvalue":1}', at(300), "sales", 0, 201)
+    late = (None, '{"title":"BBB","tickettotalvalue":5}', at(20), "sales", 0, 202)
+    source = feed(LINE).add(sale_messages()[:7], sale_messages()[7:], [closer, late])
+    queries = ticket_sales.start(
+        source.stream(),
+        None,
+        None,
+        sales_table=f"{tmp_path}/sales",
+        checkpoint_root=str(tmp_path),
+        exact_root=f"{tmp_path}/exact",
+        every=None,
+        maxFilesPerTrigger="1",
+    )
+    for query in queries:
+        sinks.drain(query)
+    found = replay.read(spark, f"{tmp_path}/exact", replay.FINAL)
+    wanted = ticket_sales.closed_minutes(source.table())
+    assert rows(found, "partition", "window_start", "key", "value") == rows(
+        wanted, "partition", "window_start", "key", "value"
+    )
+    assert rows(replay.read(spark, f"{tmp_path}/exact", replay.LATE), "offset", "key") == [(202, "BBB")]

@@ -52,6 +52,8 @@ def _arguments(given: Sequence[str] | None) -> argparse.Namespace:
             job.add_argument("--rejected", help="where messages go that do not decode")
         if name == "ticket-sales":
             job.add_argument("--minutes", help="where closed windows go; default: the console")
+            job.add_argument("--exact-minutes", metavar="FOLDER",
+                             help="topics only: closed windows and late sales by the record-order rule, in place of --minutes")
             job.add_argument("--sales-table", help="folder between the queries; default: a new one")
         if name == "rated-movies":
             job.add_argument("--movies", required=True)
@@ -62,6 +64,8 @@ def _arguments(given: Sequence[str] | None) -> argparse.Namespace:
         parser.error("--start is for topics; use --since with --files")
     if args.files and getattr(args, "changes", False):
         parser.error("--changes needs the offsets of a topic")
+    if args.files and getattr(args, "exact_minutes", None):
+        parser.error("--exact-minutes needs the offsets of a topic")
     return args
 
 
@@ -125,6 +129,7 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
                 sales_table=args.sales_table or f"{root}/sales",
                 checkpoint_root=root,
                 changes_root=args.output if args.changes else None,
+                exact_root=args.exact_minutes,
                 every=every,
                 partitions=args.partitions,
             )

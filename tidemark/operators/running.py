@@ -13,6 +13,9 @@ from tidemark.functions.durations import floor_div
 # Records of one key that a single task may sort.
 HOT = 1 << 22
 
+# The block of a key that is not cut; a record's block is a floor and never so low.
+_UNCUT = -(1 << 63)
+
 # How a record (first) and a partial result (second) enter each aggregate.
 _RECORDS = {"sum": F.sum, "max": F.max, "min": F.min}
 _PARTIALS = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
@@ -66,8 +69,6 @@ def running(
 
     ``start`` holds values per key from before the first record.
     """
-    if hot is not None and start is not None:
-        raise ValueError("values to start from need every key cut: leave out hot")
     keys, order = list(keys), list(order)
     for name in order:
         missing = F.raise_error(F.lit(f"{name} is null: these records have no order"))
@@ -78,7 +79,7 @@ def running(
     groups = [[*keys, *lead, *blocks[i:]] for i in range(len(widths))]
     before = {name: f"__before_{name}" for name in measures}
 
-    # A record's block; without one (all null) it is in the one group of its key.
+    # A record's block; a key that isn't cut is one group, named by no block of any record.
     place = {name: F.col(column) for name, column in zip(lead, order)}
     place |= {b: floor_div(F.col(block_on), w) for b, w in zip(blocks, widths)}
     if hot is None:
@@ -86,7 +87,9 @@ def running(
         in_blocks = cut
     else:
         marked = df.join(hot.select(*keys, F.lit(True).alias("__hot")), keys, "left")
-        cut = marked.withColumns({n: F.when(F.col("__hot"), c) for n, c in place.items()})
+        uncut = {name: F.lit(0).cast(df.schema[column].dataType) for name, column in zip(lead, order)}
+        uncut |= {b: F.lit(_UNCUT) for b in blocks}
+        cut = marked.withColumns({n: F.when(F.col("__hot"), c).otherwise(uncut[n]) for n, c in place.items()})
         in_blocks = cut.where(F.col("__hot"))
 
     def of_records(how: str, column: str | None) -> Column:
@@ -128,6 +131,15 @@ def running(
     # A block with nothing before it needs no row.
     known = [F.col(before[n]).isNotNull() for n in measures]
     base = base.where(reduce(lambda a, b: a | b, known))
+    if hot is not None and start is not None:
+        rest = start.join(hot, keys, "left_anti")
+        base = base.unionByName(
+            rest.select(
+                *keys,
+                *[uncut[name].alias(name) for name in [*lead, *blocks]],
+                *[F.col(n).alias(before[n]) for n in measures],
+            )
+        )
 
     inside = (
         Window.partitionBy(*groups[0])

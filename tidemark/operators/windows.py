@@ -5,9 +5,10 @@ largest ``ts`` met so far in the partition.  A window [start, end) closes when
 stream time reaches end + grace.  A record is late if its window has closed;
 a final result is what a closed window holds without the late records.
 
-Two forms exist of the last step:
+Three forms exist of the last step:
 
 * ``tumbling_final`` replays a table and follows those rules exactly;
+* ``streaming.replay.start_final`` follows them on a stream, batch by batch;
 * ``tumbling_stream`` lets Spark's watermark close windows in an unbounded
   query.  The watermark moves between micro-batches, so with one partition it is
   never stricter than the replay.  With several it follows the fastest one, and
@@ -77,8 +78,12 @@ def stream_time(
     ts: str = "ts",
     block_on: str | None = None,
     widths: Sequence[int] = (1 << 20,),
+    start: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``stream_time``: the largest ``ts`` of the partition up to this record."""
+    """Add ``stream_time``: the largest ``ts`` of the partition up to this record.
+
+    ``start`` has that of each partition before the first record.
+    """
     if not partition:
         raise ValueError("stream time needs partition columns; one global order does not scale")
     return running(
@@ -88,6 +93,7 @@ def stream_time(
         {"stream_time": ("max", ts)},
         block_on=block_on or order[0],
         widths=widths,
+        start=start,
     )
 
 
@@ -143,11 +149,21 @@ def closings(
 def _in_closed_windows(
     df: DataFrame, closed: DataFrame, size: timedelta, partition: Sequence[str], ts: str
 ) -> DataFrame:
-    indexed = df.withColumn("window_index", time_index(F.col(ts), size))
-    return indexed.join(closed, [*partition, "window_index"])
+    return indexed(df, size, ts).join(closed, [*partition, "window_index"])
+
+
+def indexed(df: DataFrame, size: timedelta, ts: str = "ts") -> DataFrame:
+    """Add ``window_index``, the number of the window that a record lies in."""
+    return df.withColumn("window_index", time_index(F.col(ts), size))
+
+
+def ends(size: timedelta, grace: timedelta = NO_GRACE) -> Column:
+    """From which stream time on the window of that index is closed."""
+    return index_start(F.col("window_index") + 1, size) + interval(grace)
 
 
-def _bounds(size: timedelta) -> tuple[Column, Column]:
+def bounds(size: timedelta) -> tuple[Column, Column]:
+    """First and last instant of the window with that index."""
     index = F.col("window_index")
     return (
         index_start(index, size).alias("window_start"),
@@ -169,7 +185,7 @@ def late(
     ``closed`` is ``closings`` of the same records, size and grace.
     """
     found = _in_closed_windows(with_key(df, key), closed, size, partition, ts)
-    return found.where(F.col(offset) >= F.col("closed_at")).select(*df.columns, *_bounds(size))
+    return found.where(F.col(offset) >= F.col("closed_at")).select(*df.columns, *bounds(size))
 
 
 def tumbling_final(
@@ -195,7 +211,7 @@ def tumbling_final(
         .groupBy(*others, "window_index", key)
         .agg(measure(how, value).alias(value))
     )
-    return totals.select(*others, *_bounds(size), key, value)
+    return totals.select(*others, *bounds(size), key, value)
 
 
 def emitted(results: DataFrame) -> DataFrame:

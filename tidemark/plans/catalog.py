@@ -20,13 +20,14 @@ from tidemark.operators.running import hot_keys
 from tidemark.plans import rated_movies, ticket_sales, word_count
 from tidemark.sources import envelope, readers
 from tidemark.streaming import changelog as changelog_stream
-from tidemark.streaming import fan_out, hop, sinks
+from tidemark.streaming import fan_out, hop, metrics, replay, sinks
 
 HOUR = timedelta(hours=1)
 DAYS = timedelta(days=40)  # more than the events span: files of either side may be ahead
 PARTITIONS = 4
 BATCHES = 8
 ORDER = {"documents": "doc_id", "events": "event_id"}
+GRACE = timedelta(minutes=30)
 FEW = 1000  # records from which a key is cut into blocks in the query for that
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,14 +36,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 # ---- inputs ---------------------------------------------------------------
 
 
-def _table(spark: SparkSession, folder: str, name: str, streaming: bool = False) -> DataFrame:
+def _table(
+    spark: SparkSession, folder: str, name: str, streaming: bool = False, order: Column | None = None
+) -> DataFrame:
     session.configure(spark)
     path = f"{folder}/{name}.parquet"
-    return _in_batches(spark, path, ORDER[name]) if streaming else readers.table(spark, path)
+    if not streaming:
+        return readers.table(spark, path)
+    return _in_batches(spark, path, F.col(ORDER[name]) if order is None else order)
 
 
-def _in_batches(spark: SparkSession, path: str, order: str) -> DataFrame:
-    """The table as a stream of BATCHES micro-batches, in its own order.
+def _in_batches(spark: SparkSession, path: str, order: Column) -> DataFrame:
+    """The table as a stream of BATCHES micro-batches, in this order.
 
     It is stored as files by ranges of its order; a file source takes the oldest
     first, so their times are set one second apart.
@@ -75,9 +80,11 @@ def _cents() -> Column:
     return F.round(F.col("value") * 100).cast("bigint")
 
 
-def _sales(spark: SparkSession, folder: str, streaming: bool = False) -> DataFrame:
+def _sales(
+    spark: SparkSession, folder: str, streaming: bool = False, order: Column | None = None
+) -> DataFrame:
     """Events as amounts keyed by event type, in the order of their times."""
-    events = _table(spark, folder, "events", streaming)
+    events = _table(spark, folder, "events", streaming, order)
     return events.select(
         F.col("event_type").alias("key"),
         _cents().alias("value"),
@@ -87,13 +94,19 @@ def _sales(spark: SparkSession, folder: str, streaming: bool = False) -> DataFra
     )
 
 
-def _shuffled_sales(spark: SparkSession, folder: str) -> DataFrame:
+def _delay(number: str) -> Column:
+    return F.when(F.col(number) % 10 == 3, 40).otherwise(0)
+
+
+def _shuffled_sales(spark: SparkSession, folder: str, streaming: bool = False) -> DataFrame:
     """The same, but one event in ten arrives 40 places later than its time says.
 
-    Three in a hundred have no key and lie a day ahead of their time.
+    Three in a hundred have no key and lie a day ahead of their time.  A stream's
+    micro-batches follow the arrival.
     """
-    delay = F.when(F.col("offset") % 10 == 3, 40).otherwise(0)
-    sales = _sales(spark, folder).withColumn("event_id", F.col("offset"))
+    arrival = F.col("event_id") + _delay("event_id")
+    delay = _delay("offset")
+    sales = _sales(spark, folder, streaming, arrival).withColumn("event_id", F.col("offset"))
     stray = F.col("event_id") % 33 == 7
     sales = sales.withColumns(
         {
@@ -152,9 +165,11 @@ def _sale_messages(spark: SparkSession, folder: str, streaming: bool = False) ->
     )
 
 
-def _side(spark: SparkSession, folder: str, side: int, streaming: bool = False) -> DataFrame:
+def _side(
+    spark: SparkSession, folder: str, side: int, streaming: bool = False, order: Column | None = None
+) -> DataFrame:
     """Events as records keyed by user; every other event is on the other side of a join."""
-    events = _table(spark, folder, "events", streaming).where(F.col("event_id") % 2 == side)
+    events = _table(spark, folder, "events", streaming, order).where(F.col("event_id") % 2 == side)
     return stateless.rekey_by_number(
         events.select(
             "user_id",
@@ -167,6 +182,18 @@ def _side(spark: SparkSession, folder: str, side: int, streaming: bool = False)
     )
 
 
+def _arrival(number: str) -> Column:
+    """Of ten events one comes 40 places later than its time says, on the other side one 20 places."""
+    late = F.when(F.col(number) % 10 == 3, 40).when(F.col(number) % 10 == 6, 20).otherwise(0)
+    return F.col(number) + late
+
+
+def _arriving_side(spark: SparkSession, folder: str, side: int, streaming: bool = False) -> DataFrame:
+    """A side of which some records arrive late; its offset is the arrival's."""
+    found = _side(spark, folder, side, streaming, _arrival("event_id"))
+    return found.withColumns({"event_id": F.col("offset"), "offset": _arrival("offset")})
+
+
 def _movie_messages(spark: SparkSession, folder: str, streaming: bool = False) -> DataFrame:
     """Even events as JSON movies: the user is the id."""
     movie = codecs.encode(
@@ -251,6 +278,48 @@ def intermediate_hop(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(hop.through(keyed))
 
 
+def _text_files(spark: SparkSession, folder: str) -> str:
+    """The documents as text files in their order; where they lie."""
+    path = session.run_dir(spark, "text-files")
+    docs = _table(spark, folder, "documents")
+    docs.repartitionByRange(BATCHES, "doc_id").sortWithinPartitions("doc_id").select("text").write.text(path)
+    return path
+
+
+def text_in_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of several text files, numbered in the files' order."""
+    lines = readers.lines_in_order(spark, _text_files(spark, folder), "documents")
+    return lines.select("offset", "value")
+
+
+def text_word_changelog(spark: SparkSession, folder: str) -> DataFrame:
+    """A word count's updates over text files, which have no offsets of their own."""
+    lines = readers.lines_in_order(spark, _text_files(spark, folder), "documents")
+    return word_count.count_changes(lines, order=["offset"])
+
+
+def bucketed_stop(spark: SparkSession, folder: str) -> DataFrame:
+    """The join in an interval, one side from a stop in buckets of key and time slot."""
+    stored = hop.through_buckets(
+        joins.with_slots(_side(spark, folder, 0), HOUR, HOUR), ["key", joins.SLOT], _cores(spark)
+    )
+    return _plain(_pairs(_side(spark, folder, 1), stored, swapped=True))
+
+
+def start_in_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Events from ten days after the first on, from a stop whose earlier days are not read."""
+    root = session.run_dir(spark, "days")
+    events = _table(spark, folder, "events", streaming=True)
+    events = events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id")
+    sinks.drain(
+        hop.start_writing_days(events, f"{root}/days", name="days", checkpoint=f"{root}/progress", every=None)
+    )
+    first = _table(spark, folder, "events").agg(F.min(F.col("ts").cast("timestamp"))).first()[0]
+    if first is None:
+        return _plain(spark.createDataFrame([], events.schema))
+    return _plain(hop.read_days(spark, f"{root}/days", events.schema, first + timedelta(days=10)))
+
+
 # ---- totals and changelogs ------------------------------------------------
 
 
@@ -354,26 +423,73 @@ def fanned_out(spark: SparkSession, folder: str) -> DataFrame:
 # ---- joins ----------------------------------------------------------------
 
 
-def _both_sides(spark: SparkSession, folder: str, streaming: bool = False) -> DataFrame:
+def _pairs(left: DataFrame, right: DataFrame, swapped: bool = False) -> DataFrame:
+    """Pairs at most an hour apart; swapped, the even side is the right one of the join."""
+    even, odd = ("right", "left") if swapped else ("left", "right")
     return joins.interval_join(
-        _side(spark, folder, 0, streaming),
-        _side(spark, folder, 1, streaming),
+        left,
+        right,
         HOUR,
         HOUR,
         [
-            F.col("left.offset").alias("left_id"),
-            F.col("right.offset").alias("right_id"),
-            F.col("left.value").alias("left_value"),
-            F.col("right.value").alias("right_value"),
+            F.col(f"{even}.offset").alias("left_id"),
+            F.col(f"{odd}.offset").alias("right_id"),
+            F.col(f"{even}.value").alias("left_value"),
+            F.col(f"{odd}.value").alias("right_value"),
         ],
         grace=DAYS,
     )
 
 
+def _both_sides(spark: SparkSession, folder: str, streaming: bool = False) -> DataFrame:
+    return _pairs(_side(spark, folder, 0, streaming), _side(spark, folder, 1, streaming))
+
+
 def interval_join(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(_both_sides(spark, folder))
 
 
+def _late_join(spark: SparkSession, folder: str, streaming: bool = False) -> dict:
+    """Both sides and what to make of a pair, for the join by record order."""
+    return {
+        "left": _arriving_side(spark, folder, 0, streaming),
+        "right": _arriving_side(spark, folder, 1, streaming),
+        "before": HOUR,
+        "after": HOUR,
+        "grace": GRACE,
+        "columns": [
+            F.col("left.event_id").alias("left_id"),
+            F.col("right.event_id").alias("right_id"),
+            F.col("left.value").alias("left_value"),
+            F.col("right.value").alias("right_value"),
+        ],
+    }
+
+
+def interval_join_grace(spark: SparkSession, folder: str) -> DataFrame:
+    """Records of both sides come late; those too late, and their partners too old, don't join."""
+    return _plain(joins.interval_join_replayed(**_late_join(spark, folder)))
+
+
+def table_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Odd events with the last even event of their user before them; users of many are cut."""
+    left, table = _arriving_side(spark, folder, 1), _arriving_side(spark, folder, 0)
+    both = left.select("key").unionAll(table.select("key"))
+    hot = session.written(hot_keys(both, ["key"], FEW // 50), "hot-users")
+    return joins.as_of_join(
+        left,
+        table,
+        [
+            F.col("left.event_id").alias("left_id"),
+            F.col("right.event_id").alias("right_id"),
+            F.col("right.value").alias("right_value"),
+        ],
+        order=["offset"],
+        widths=(256, 4096),
+        hot=hot,
+    )
+
+
 # ---- the jobs, from encoded messages to encoded results -------------------
 
 
@@ -399,7 +515,7 @@ def word_count_stream(spark: SparkSession, folder: str) -> DataFrame:
     root = session.run_dir(spark, "word-count-stream")
     query = word_count.start(
         lines,
-        sinks.to_updates(f"{root}/updates", fold=3),
+        sinks.to_updates(f"{root}/updates"),
         checkpoint=f"{root}/progress",
         every=None,
         partitions=_cores(spark),
@@ -415,7 +531,7 @@ def _updated(totals: DataFrame, name: str) -> DataFrame:
     sinks.drain(
         sinks.start(
             totals,
-            sinks.to_updates(f"{root}/updates", fold=3),
+            sinks.to_updates(f"{root}/updates"),
             name=name,
             checkpoint=f"{root}/progress",
             mode="update",
@@ -440,7 +556,7 @@ def _sum_changes_stream(spark: SparkSession, folder: str) -> str:
     """Run the changelog over the events; where it lies."""
     sales = _sales(spark, folder, streaming=True).select("key", "value", "partition", "offset")
     root = session.run_dir(spark, "changelog-stream")
-    query = changelog_stream.start_changelog(sales, root, name="sum-changes", every=None, fold=3)
+    query = changelog_stream.start_changelog(sales, root, name="sum-changes", every=None)
     sinks.drain(query)
     return root
 
@@ -460,7 +576,7 @@ def grouped_sum_changelog_stream(spark: SparkSession, folder: str) -> DataFrame:
     sales = _sales(spark, folder, streaming=True).select("key", "value", "offset")
     root = session.run_dir(spark, "changelog-stream")
     query = changelog_stream.start_changelog(
-        sales, root, name="sum-changes", order=["offset"], every=None, fold=3
+        sales, root, name="sum-changes", order=["offset"], every=None
     )
     sinks.drain(query)
     return changelog_stream.read_changelog(spark, root).drop("batch")
@@ -473,6 +589,70 @@ def word_count_changelog_stream(spark: SparkSession, folder: str) -> DataFrame:
     return changelog_stream.read_changelog(spark, root).drop("batch")
 
 
+def observed_counts_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """How many messages decode and how many don't, as a listener saw them go by in the batches."""
+    root = session.run_dir(spark, "observed")
+    recorder = metrics.Recorder(spark, f"{root}/counts", ["observed-sales"]).add()
+    try:
+        decoded = codecs.decode(_sale_messages(spark, folder, streaming=True), TICKET_SALE)
+        rejected = F.count_if(F.col("reject_reason").isNotNull()).alias("rejected")
+        accepted = F.count_if(F.col("reject_reason").isNull()).alias("accepted")
+        sinks.drain(
+            sinks.start(
+                stateless.peek(decoded, "sales", accepted, rejected).select("offset", "reject_reason"),
+                sinks.to_parquet(f"{root}/messages"),
+                name="observed-sales",
+                checkpoint=f"{root}/progress",
+                every=None,
+            )
+        )
+        counts = recorder.flush()
+    finally:
+        recorder.remove()
+    return counts.groupBy("metric").agg(F.sum("value").alias("value"))
+
+
+def grouped_sum_state_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals that a query keeps in its state, read from there; it writes none."""
+    root = session.run_dir(spark, "grouped-sum-state")
+    sinks.drain(
+        sinks.start(
+            aggregates.grouped(_sales(spark, folder, streaming=True)),
+            sinks.to_nothing(),
+            name="grouped-sum-state",
+            checkpoint=root,
+            mode="update",
+            every=None,
+            partitions=_cores(spark),
+        )
+    )
+    return sinks.state_table(spark, root)
+
+
+def _replayed_hours(spark: SparkSession, folder: str) -> str:
+    """Run the exact windows over the shuffled sales; where the results lie."""
+    root = session.run_dir(spark, "final-hours-stream")
+    sales = _shuffled_sales(spark, folder, streaming=True)
+    sinks.drain(replay.start_final(sales, root, HOUR, name="final-hours", every=None))
+    return root
+
+
+def tumbling_final_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Final hours by the record-order rule, closed batch by batch."""
+    return _plain(replay.read(spark, _replayed_hours(spark, folder), replay.FINAL))
+
+
+def late_records_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return _plain(replay.read(spark, _replayed_hours(spark, folder), replay.LATE))
+
+
+def interval_join_grace_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The join by record order over micro-batches; records that have expired are let go."""
+    root = session.run_dir(spark, "grace-join-stream")
+    sinks.drain(replay.start_join(root=root, name="grace-join", every=None, **_late_join(spark, folder, True)))
+    return _plain(replay.read(spark, root, replay.PAIRS))
+
+
 def ticket_minutes_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The whole ticket job: the closed hours that it writes."""
     root = session.run_dir(spark, "ticket-minutes-stream")
@@ -566,6 +746,8 @@ QUERIES: dict[str, Query] = {
     "tumbling_sum_final": tumbling_sum_final,
     "fan_out": fanned_out,
     "interval_join": interval_join,
+    "interval_join_grace": interval_join_grace,
+    "table_join": table_join,
     "ticket_totals": ticket_totals,
     "ticket_closed_hours": ticket_closed_hours,
     "rated_movie_messages": rated_movie_messages,
@@ -580,4 +762,13 @@ QUERIES: dict[str, Query] = {
     "interval_join_stream": interval_join_stream,
     "ticket_totals_stream": ticket_totals_stream,
     "rated_movies_stream": rated_movies_stream,
+    "grouped_sum_state_stream": grouped_sum_state_stream,
+    "tumbling_final_stream": tumbling_final_stream,
+    "late_records_stream": late_records_stream,
+    "interval_join_grace_stream": interval_join_grace_stream,
+    "text_in_order": text_in_order,
+    "text_word_changelog": text_word_changelog,
+    "bucketed_stop": bucketed_stop,
+    "start_in_days": start_in_days,
+    "observed_counts_stream": observed_counts_stream,
 }

@@ -5,9 +5,21 @@ from __future__ import annotations
 # Fixed value: the word characters, for an engine without a Unicode-wide \w.
 _DELIMITER = r"[^\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}\x{200C}\x{200D}]+"
 
-_WORDS = rf"""
+_LINES = r"""
+numbered AS (
+  SELECT doc_id, unnest(l) AS value, unnest(range(0, len(l))) AS line
+  FROM (SELECT doc_id, string_split_regex(coalesce(text, ''), '\r\n|\r|\n') AS l FROM documents)
+),
+lines AS (
+  SELECT row_number() OVER (ORDER BY doc_id, line) - 1 AS "offset", value FROM numbered
+)"""
+
+
+def _words(source: str, number: str, text: str) -> str:
+    """The words of each text of a table."""
+    return f"""
 pieces AS (
-  SELECT doc_id AS "offset", string_split_regex(lower(text), '{_DELIMITER}') AS p FROM documents
+  SELECT {number} AS "offset", string_split_regex(lower({text}), '{_DELIMITER}') AS p FROM {source}
 ),
 trimmed AS (
   SELECT "offset",
@@ -20,6 +32,9 @@ words AS (
   SELECT "offset", unnest(p) AS word, CAST(unnest(range(0, len(p))) AS INTEGER) AS pos FROM trimmed
 )"""
 
+
+_WORDS = _words("documents", "doc_id", "text")
+
 _SALES = """
 sales AS (
   SELECT event_type AS key, CAST(round(value * 100) AS BIGINT) AS value, ts,
@@ -131,15 +146,50 @@ FROM events v JOIN events c
 WHERE v.event_id % 2 = 0 AND c.event_id % 2 = 1
 """
 
+_ARRIVING = """
+arriving AS (
+  SELECT event_id, user_id, value, ts, user_id % 4 AS "partition",
+         event_id + CASE event_id % 10 WHEN 3 THEN 40 WHEN 6 THEN 20 ELSE 0 END AS "offset"
+  FROM events WHERE user_id IS NOT NULL
+)"""
+
+# Neither record may be past its reach and the grace when the later one arrives.
+_GRACE_PAIRS = f"""
+WITH {_ARRIVING},
+timed AS (
+  SELECT *, max(ts) OVER (PARTITION BY "partition" ORDER BY "offset"
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stream_time
+  FROM arriving
+)
+SELECT CAST(v.user_id AS VARCHAR) AS key, greatest(v.ts, c.ts) AS ts,
+       v.event_id AS left_id, c.event_id AS right_id, v.value AS left_value, c.value AS right_value
+FROM timed v JOIN timed c
+  ON v.user_id = c.user_id
+ AND c.ts BETWEEN v.ts - INTERVAL '1 hour' AND v.ts + INTERVAL '1 hour'
+WHERE v.event_id % 2 = 0 AND c.event_id % 2 = 1
+  AND greatest(v.stream_time, c.stream_time) <= v.ts + INTERVAL '90 minutes'
+  AND greatest(v.stream_time, c.stream_time) <= c.ts + INTERVAL '90 minutes'
+"""
+
+_FINAL_HOURS = f"""
+WITH {_SHUFFLED}, {_timed("arrived")}
+SELECT "partition", window_start, window_end, key, value FROM final"""
+
+_LATE = f"""
+WITH {_SHUFFLED}, {_timed("arrived")}
+SELECT key, value, ts, "partition", event_id, "offset", window_start, window_end
+FROM timed WHERE window_end <= stream_time"""
+
 _WORD_COUNT = f"WITH {_WORDS} SELECT word AS key, count(*) AS value FROM words GROUP BY word"
 
-_WORD_CHANGES = f"""
-WITH {_WORDS}
+_CHANGES = """
 SELECT word AS key, "offset", pos,
        count(*) OVER (PARTITION BY word ORDER BY "offset", pos
                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value
 FROM words"""
 
+_WORD_CHANGES = f"WITH {_WORDS} {_CHANGES}"
+
 _GROUPED_SUM = f"WITH {_SALES} SELECT key, CAST(sum(value) AS BIGINT) AS value FROM sales GROUP BY key"
 
 _SUM_CHANGES = f"""
@@ -206,16 +256,11 @@ SQL: dict[str, str] = {
                max(ts) OVER (PARTITION BY "partition" ORDER BY "offset"
                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stream_time
         FROM arrived""",
-    "late_records": f"""
-        WITH {_SHUFFLED}, {_timed("arrived")}
-        SELECT key, value, ts, "partition", event_id, "offset", window_start, window_end
-        FROM timed WHERE window_end <= stream_time""",
+    "late_records": _LATE,
     "tumbling_sum": _tumbling("CAST(sum(value) AS BIGINT)"),
     "tumbling_count": _tumbling("count(*)"),
     "tumbling_count_small": _tumbling("count(*)", "HAVING count(*) < 3"),
-    "tumbling_sum_final": f"""
-        WITH {_SHUFFLED}, {_timed("arrived")}
-        SELECT "partition", window_start, window_end, key, value FROM final""",
+    "tumbling_sum_final": _FINAL_HOURS,
     "fan_out": f"""
         WITH {_SHUFFLED}, {_timed("arrived")}
         SELECT 'totals' AS branch, CAST(NULL AS BIGINT) AS "partition",
@@ -225,6 +270,20 @@ SQL: dict[str, str] = {
         UNION ALL
         SELECT 'closed windows', "partition", window_start, window_end, key, value FROM final""",
     "interval_join": _PAIRS,
+    "interval_join_grace": _GRACE_PAIRS,
+    "table_join": f"""
+        WITH {_ARRIVING},
+        latest AS (
+          SELECT event_id, user_id, value, "offset",
+                 last_value(CASE WHEN event_id % 2 = 0 THEN event_id END IGNORE NULLS) OVER (
+                   PARTITION BY user_id ORDER BY "offset"
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS right_id
+          FROM arriving
+        )
+        SELECT CAST(l.user_id AS VARCHAR) AS key, l.event_id AS left_id, right_id,
+               e.value AS right_value
+        FROM latest l JOIN events e ON e.event_id = right_id
+        WHERE l.event_id % 2 = 1""",
     "ticket_totals": _TICKET_TOTALS,
     "ticket_closed_hours": f"""
         WITH {_MESSAGES},
@@ -276,4 +335,21 @@ SQL: dict[str, str] = {
           ON r.user_id = m.user_id
          AND m.ts BETWEEN r.ts - INTERVAL '1 hour' AND r.ts + INTERVAL '1 hour'
         WHERE r.event_id % 2 = 1 AND m.event_id % 2 = 0""",
+    "grouped_sum_state_stream": _GROUPED_SUM,
+    "tumbling_final_stream": _FINAL_HOURS,
+    "late_records_stream": _LATE,
+    "interval_join_grace_stream": _GRACE_PAIRS,
+    "text_in_order": f'WITH {_LINES} SELECT "offset", value FROM lines',
+    "text_word_changelog": f"""WITH {_LINES}, {_words("lines", '"offset"', "value")} {_CHANGES}""",
+    "bucketed_stop": _PAIRS,
+    "start_in_days": """
+        SELECT event_id, ts, user_id FROM events
+        WHERE ts >= (SELECT min(ts) FROM events) + INTERVAL '10 days'""",
+    "observed_counts_stream": f"""
+        WITH {_MESSAGES},
+        counted AS (
+          SELECT CASE WHEN reject_reason IS NULL THEN 'accepted' ELSE 'rejected' END AS metric FROM decoded
+        )
+        SELECT metric, count(*) AS value FROM counted GROUP BY metric
+        UNION ALL SELECT 'records', count(*) FROM counted""",
 }

@@ -14,7 +14,7 @@ from tidemark.functions.records import TICKET_SALE
 from tidemark.operators.aggregates import grouped
 from tidemark.operators.stateless import peek, rekey, with_key
 from tidemark.operators.windows import closings, emitted, tumbling_final, tumbling_stream
-from tidemark.streaming import hop, sinks
+from tidemark.streaming import hop, replay, sinks
 from tidemark.streaming.changelog import start_changelog
 
 MINUTE = timedelta(minutes=1)
@@ -76,12 +76,13 @@ def rejected_messages(rejected: DataFrame) -> DataFrame:
 def start(
     messages: DataFrame,
     totals_sink: sinks.Sink | None,
-    minutes_sink: sinks.Sink,
+    minutes_sink: sinks.Sink | None,
     rejected_sink: sinks.Sink | None = None,
     *,
     sales_table: str,
     checkpoint_root: str,
     changes_root: str | None = None,
+    exact_root: str | None = None,
     size: timedelta = MINUTE,
     every: str | None = "10 seconds",
     partitions: int | None = None,
@@ -91,7 +92,9 @@ def start(
 
     The first query decodes each message once and stores it in ``sales_table``, the rejected ones
     with their reason; the others read that.  ``changes_root`` asks for the changelog of
-    totals, a row per sale, in place of the changed totals.  With ``every=None`` the first is
+    totals, a row per sale, in place of the changed totals.  ``exact_root`` asks for closed
+    windows by the record-order rule and for the late sales (``replay.start_final``), in place
+    of those that the watermark closes.  With ``every=None`` the first is
     finished before the others start.  ``read`` are options of reading the table.
     """
     sales = decoded(messages)
@@ -130,7 +133,10 @@ def start(
         )
     elif totals_sink is not None:
         begin(grouped(amounts), totals_sink, "ticket-totals", "update")
-    begin(closed_minutes_stream(amounts, size), minutes_sink, "ticket-minutes")
+    if exact_root is not None:
+        queries.append(replay.start_final(amounts, exact_root, size, name="ticket-exact-minutes", every=every))
+    elif minutes_sink is not None:
+        begin(closed_minutes_stream(amounts, size), minutes_sink, "ticket-minutes")
     if rejected_sink is not None:
         rejected = peek(codecs.quarantined(stored), "rejected")
         begin(rejected, rejected_sink, "ticket-rejected")

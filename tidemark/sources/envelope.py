@@ -29,8 +29,8 @@ def from_kafka(raw: DataFrame) -> DataFrame:
 def from_text(raw: DataFrame, topic: str) -> DataFrame:
     """Lines of text files.  A line has no key and no offset of its own.
 
-    Its time is the file's.  Operators that need record order want ``offset``,
-    so feed them from a source that has one.
+    Its time is the file's.  Operators that need record order want ``offset``:
+    ``readers.lines_in_order`` numbers the lines of a table of files.
     """
     return raw.select(
         F.lit(None).cast("string").alias("key"),

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from tidemark import session
 from tidemark.operators.aggregates import changelog, compact, measure
+from tidemark.operators.running import HOT
 from tidemark.operators.stateless import with_key
 from tidemark.streaming import sinks
-from tidemark.streaming.versions import Versions, latest_rows
+from tidemark.streaming.batches import Results
 
-FOLD = 20
+BLOCK = 1 << 20
 
 
 def start_changelog(
@@ -27,53 +29,67 @@ def start_changelog(
     value: str = "value",
     order: Sequence[str] = ("partition", "offset"),
     block_on: str = "offset",
+    widths: Sequence[int] = (BLOCK, BLOCK * 1024),
+    limit: int = HOT,
     every: str | None = "10 seconds",
-    fold: int = FOLD,
     partitions: int | None = None,
 ) -> StreamingQuery:
-    """Write every update of the total per key under ``root``, in record order.
+    """Write every update of the total (sum or count) per key under ``root``, in record order.
 
-    Spark's per-key state functions hand all records that a key has in a
-    micro-batch to one Python task.  Here each micro-batch runs the batch
-    changelog instead, which splits such keys, and goes on from the totals of
-    the batches before.  A batch reads the totals of its own keys and writes those
-    that it changed; every ``fold`` batches they are folded into one base.
+    The totals are a grouped aggregate in Spark's own state: a micro-batch reads and
+    writes the state of its own keys, and adds up before it shuffles.  What it puts out is
+    its records and, beside them, the new totals of their keys.  A total less what the
+    batch added is where the batch's changelog goes on from; that changelog is the one for
+    tables, which cuts keys of more than ``limit`` records in a batch into blocks.
 
-    A batch that is run again reads the same totals and its output replaces that of
-    the first run.  The query's checkpoint also lies under ``root``, since totals and
+    A batch that is run again goes on from the same state; its rows, if they are there
+    already, stay.  The query's checkpoint also lies under ``root``, since totals and
     progress belong together.  Records must come in order within a partition.
     """
-    merge = "sum" if how == "count" else how
+    if how not in ("sum", "count"):
+        raise ValueError(f"a stream's changelog is of sums or counts, not of {how}")
     spark = records.sparkSession
-    nothing = spark.createDataFrame([], records.schema)
-    shape = changelog(nothing, how, key, value, value, order=order, block_on=block_on).schema
+    shape = changelog(spark.createDataFrame([], records.schema), how, key, value, value, order, block_on).schema
     # Readers find the schema here before there is a batch.
     spark.createDataFrame([], shape).write.mode("overwrite").parquet(f"{root}/schema")
 
+    def both(rows: DataFrame) -> list:
+        """The total, and of how many values: a sum of none is not zero."""
+        counted = F.count(value) if how == "sum" else F.count(F.lit(1))
+        return [measure(how, value).alias("total"), counted.alias("values")]
+
+    keyed = with_key(records, key)
+    totals = keyed.groupBy(key).agg(*both(keyed))
+    tagged = keyed.select(key, F.struct(*records.columns).alias("record"))
+    out = tagged.unionByName(totals, allowMissingColumns=True)
+
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows_out, totals = Versions(spark, f"{root}/changelog"), Versions(spark, f"{root}/totals")
-        batch = with_key(batch, key).persist()
+        batch = batch.persist()
         try:
-            fresh = batch.groupBy(key).agg(measure(how, value).alias(value))
-            totals.fold(fresh.schema, batch_id, lambda t: latest_rows(t, key, [key, value]), fold)
-            known = totals.read(fresh.schema, before=batch_id).join(fresh.select(key), key, "left_semi")
-            before = latest_rows(known, key, [key, value]).drop("batch").persist()
-            rows = changelog(
-                batch, how, key, value, value, order=order, block_on=block_on, start=before
-            )
-            rows_out.write(rows, batch_id)
-            changed = before.unionByName(fresh).groupBy(key).agg(measure(merge, value).alias(value))
-            totals.write(changed, batch_id)
-            before.unpersist()
+            with session.scratch(spark):
+                rows = batch.where("record IS NOT NULL").select("record.*")
+                fresh = rows.groupBy(key).agg(*both(rows), F.count(F.lit(1)).alias("records"))
+                fresh = fresh.select(key, *[F.col(c).alias(f"new_{c}") for c in ("total", "values")], "records")
+                after = batch.where("record IS NULL").select(key, "total", "values")
+                known = session.written(after.join(fresh, key), "totals")
+                start = known.where(F.col("values") > F.col("new_values")).select(
+                    key, (F.col("total") - F.coalesce("new_total", F.lit(0))).alias(value)
+                )
+                hot = session.written(known.where(F.col("records") > limit).select(key), "hot-keys")
+                updates = changelog(
+                    rows, how, key, value, value, order, block_on=block_on, widths=widths, hot=hot, start=start
+                )
+                Results(spark, f"{root}/changelog").write(updates, batch_id)
         finally:
             batch.unpersist()
 
     return sinks.start(
-        records,
+        out,
         sinks.to_batches(run_batch),
         name=name,
         checkpoint=f"{root}/progress",
+        mode="update",
         every=every,
         partitions=partitions,
     )
@@ -84,8 +100,8 @@ def _schema(spark: SparkSession, root: str) -> StructType:
 
 
 def read_changelog(spark: SparkSession, root: str) -> DataFrame:
-    """All updates of the batches published so far; ``batch`` is the batch's number."""
-    return Versions(spark, f"{root}/changelog").read(_schema(spark, root))
+    """All updates of the complete batches so far; ``batch`` is the batch's number."""
+    return Results(spark, f"{root}/changelog").read(_schema(spark, root))
 
 
 def changelog_table(
@@ -104,7 +120,5 @@ def changelog_table(
 
 
 def totals_table(spark: SparkSession, root: str, key: str = "key", value: str = "value") -> DataFrame:
-    """The same table from the totals that the batches leave, without their updates."""
-    schema = StructType([f for f in _schema(spark, root) if f.name in (key, value)])
-    rows = Versions(spark, f"{root}/totals").read(schema)
-    return latest_rows(rows, key, [key, value]).select(F.col(key), F.col(value))
+    """The same table as the query's state holds it, without its updates."""
+    return sinks.state_table(spark, f"{root}/progress", key, value)

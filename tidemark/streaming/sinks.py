@@ -12,14 +12,19 @@ from pyspark.sql.types import StructType
 from tidemark import session
 from tidemark.functions import codecs
 from tidemark.operators.aggregates import compact
-from tidemark.streaming.versions import Versions, latest_rows
+from tidemark.streaming.batches import Results
 
 Sink = Callable[[DataStreamWriter], DataStreamWriter]
 
 
-def to_parquet(path: str) -> Sink:
-    """Append-only table, exactly once."""
-    return lambda writer: writer.format("parquet").option("path", path)
+def to_parquet(path: str, *folders: str) -> Sink:
+    """Append-only table, exactly once; with a folder for each value of the columns named."""
+
+    def sink(writer: DataStreamWriter) -> DataStreamWriter:
+        writer = writer.format("parquet").option("path", path)
+        return writer.partitionBy(*folders) if folders else writer
+
+    return sink
 
 
 def to_json_lines(path: str) -> Sink:
@@ -83,20 +88,18 @@ def long_messages(df: DataFrame) -> DataFrame:
     return keyed_message(df, "key", codecs.long_to_bytes(F.col("value")))
 
 
-def to_updates(path: str, key: str = "key", fold: int = 50) -> Sink:
-    """Table of update-mode results: the changed rows of each micro-batch.
+def to_updates(path: str) -> Sink:
+    """Table of update-mode results: the changed rows of each micro-batch, in its own folder.
 
-    Readers see whole batches only, and a batch that is run again replaces itself.
-    Every ``fold`` batches the rows so far are folded into the latest per key.
-    Keep ``path`` and the query's checkpoint together: batch numbers belong to both.
+    Keep ``path`` and the query's checkpoint together: batch numbers belong to both.  The
+    table grows with every change; ``state_table`` reads the totals alone.
     """
+    return to_batches(lambda rows, batch_id: Results(rows.sparkSession, path).write(rows, batch_id))
 
-    def write(rows: DataFrame, batch_id: int) -> None:
-        table = Versions(rows.sparkSession, path)
-        table.fold(rows.schema, batch_id, lambda t: latest_rows(t, key, rows.columns), fold)
-        table.write(rows, batch_id)
 
-    return to_batches(write)
+def to_nothing() -> Sink:
+    """No output: the query's state is what is read."""
+    return lambda writer: writer.format("noop")
 
 
 TOTALS = StructType().add("key", "string").add("value", "long")
@@ -110,7 +113,30 @@ def latest_of_updates(
     schema: StructType = TOTALS,
 ) -> DataFrame:
     """The table that the changed rows written by ``to_updates`` add up to."""
-    return compact(Versions(spark, path).read(schema), ["batch"], key, value)
+    return compact(Results(spark, path).read(schema), ["batch"], key, value)
+
+
+def state_table(
+    spark: SparkSession,
+    checkpoint: str,
+    key: str = "key",
+    value: str = "value",
+    batch: int | None = None,
+    operator: int = 0,
+) -> DataFrame:
+    """The totals that a query of ``aggregates.grouped`` keeps in its state, as a table.
+
+    They are those of its last complete micro-batch, or of an earlier ``batch`` that the
+    checkpoint still has.  No second table of totals is needed; each state partition is read
+    by a task.  ``operator`` is the number of the aggregate, if the query has several.
+    """
+    reader = spark.read.format("statestore").option("operatorId", operator)
+    if batch is not None:
+        reader = reader.option("batchId", batch)
+    state = reader.load(checkpoint)
+    total = state.schema["value"].dataType.fieldNames()[0]
+    own = state.schema["key"].dataType.fieldNames()[0]
+    return state.select(F.col("key")[own].alias(key), F.col("value")[total].alias(value))
 
 
 def checkpoint(spark: SparkSession, name: str, root: str | None = None, reset: bool = False) -> str:
