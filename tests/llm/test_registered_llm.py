@@ -210,6 +210,7 @@ def test_resharding(spark):
     assert set(sizes) == set(range(8))
     assert max(sizes.values()) - min(sizes.values()) <= 2 * max(map(len, texts.values()))
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert all(len(shards) == 1 for shards in homes.values())
 
 
 def test_classifier(spark):

@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark import session
 from tidemark.llm import (
     byte_bpe,
     common,
@@ -76,12 +77,16 @@ def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return cotraining.scored(docs, cotraining.fit(docs, labels))
 
 
+OLD_SHARDS = 5
+
+
 def resharding(spark: SparkSession, folder: str) -> DataFrame:
-    """From shards by source, one of which may hold a third, to eight of the same size."""
-    docs = _table(spark, folder, "documents").select("doc_id", "text", "source")
-    found = reshard.resharded(docs, F.pmod(F.xxhash64("source"), F.lit(8)))
+    """From five shards by the hash of the text, where a text of many copies weighs on one, to eight."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
     text = F.coalesce("text", F.lit(""))
-    return found.select(
+    old = F.pmod(F.xxhash64(text), F.lit(OLD_SHARDS)).cast("int")
+    layout = reshard.lay_out(docs, old, session.run_dir(spark, "old-shards"))
+    return reshard.resharded(layout).select(
         "doc_id",
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(F.encode(text, "utf-8")).alias("text_crc32"),

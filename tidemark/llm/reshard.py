@@ -1,32 +1,43 @@
 """Reshard documents by a minimum-cost flow from old shard sizes to new capacities.
 
-Documents lie in blocks by the hash of their text, so equal texts lie together.  Block sizes
-per old shard are summed; the flow says how many bytes of each old shard go to each new one so
-that the fewest move; blocks are dealt out in order to fill it.  A block on a boundary is
-split by more bits of the hash, and one that still exceeds TOLERANCE of a capacity, such as a
-very frequent text, by a hash of doc_id.  No step needs the documents in order, and what the
-driver holds is bounded by shards and blocks.
-
-Each task then writes its documents to the shards' folders; nothing but sizes is shuffled.
-Slots are the places in the shards' files, read back, one file after the other.
-
-Size is the UTF-8 bytes of the text plus 1; a null text has none.  Rows may repeat and ids may
-be null; every row gets a slot of its own.
+Equal texts are a group, and a group lies whole in one shard.  A shard's files hold ranges of
+blocks, by the hash of the text (`lay_out`).  To reshard:
+
+1. Block sizes per old shard are summed, where the documents lie; the flow says how many
+   bytes of each old shard go to each new one so that the fewest move.
+2. Blocks are dealt out in order to fill it, first to the shard they are in.  A block on a
+   boundary, if it is more than TOLERANCE of a capacity, is split by more bits of the hash: only
+   its file is read for that.  At last it is one group, which goes whole; only a group larger
+   than a whole capacity is split, by a hash of doc_id.
+3. Files with blocks that leave are read, and their documents written to the files of the
+   new shards.  All other files stay as they are, unread.
+
+What the driver holds is bounded by shards and blocks.  Slots are the places in a shard's files,
+one file after the other.
+
+Size is the UTF-8 bytes of the text plus 1; a null text has none and counts as equal to an empty
+one.  Rows may repeat and ids may be null; every row gets a slot of its own.  Columns `shard_no`
+and `slot` of the input give way to the result's; all others, whatever their names, are kept.
+Tables may be empty.
 """
 
 from __future__ import annotations
 
 import heapq
 from collections.abc import Callable, Iterable
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 from tidemark import session
-from tidemark.llm import common
 
 BLOCKS = 4096  # blocks of a shard, and parts of a block that is split
-TOLERANCE = 0.0005  # of a capacity: what a shard may be off so that equal texts stay together
+LEVELS = 5  # times that a block can be split: four by the text's hash, one by the id's
+PARTS = 32  # files of a shard, at least
+FILE = 64 << 20  # bytes of text in a file, about
+TOLERANCE = 0.0005  # of a capacity: what a shard may be off so that blocks stay whole
 
 
 def minimum_cost_flow(
@@ -128,75 +139,149 @@ def _bits(hashed: Column, level: int) -> Column:
     return F.shiftrightunsigned(hashed, 52 - 12 * level).bitwiseAND(F.lit(BLOCKS - 1)).cast("int")
 
 
-def assigned(docs: DataFrame, old: Column, shards: int, id_col: str, text_col: str) -> DataFrame:
-    """The documents with a column shard_no.
+@dataclass
+class Layout:
+    """Shards on disk: folders `place=N`, N = shard * parts + part, of rows packed in `row`."""
+
+    spark: SparkSession
+    folder: str
+    schema: StructType
+    parts: int
+    id_col: str
+    text_col: str
+
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self.folder)
+
+    def part(self, block: int) -> int:
+        return block * self.parts // BLOCKS
 
-    Each split level goes on with the few blocks on a boundary, one or two per pair of shards.
+
+def _text(text_col: str, row: str = "row.") -> Column:
+    return F.coalesce(F.col(f"{row}`{text_col}`"), F.lit(""))
+
+
+def lay_out(
+    docs: DataFrame, shard: Column, folder: str, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None
+) -> Layout:
+    """Write documents to shards, of which equal texts must have the same.
+
+    A shard has `parts` ranges of blocks, a file or more each; by default as many as make
+    files of about FILE bytes, and PARTS at least.
     """
-    hashed = F.xxhash64(text_col)
-    placed = docs.withColumns(
-        {
-            "_old": old.cast("int"),
-            "_b0": _bits(hashed, 0),
-            "_b1": _bits(hashed, 1),
-            "_b2": _bits(F.xxhash64(id_col, text_col), 2),
-        }
+    size = F.octet_length(_text(text_col, ""))
+    if parts is None:
+        sums = docs.groupBy(shard.alias("shard")).agg(F.sum(size.cast("long")).alias("bytes"))
+        most = sums.agg(F.max("bytes")).first()[0] or 0
+        parts = min(BLOCKS, max(PARTS, most // FILE))
+    block = _bits(F.xxhash64(_text(text_col, "")), 0)
+    part = F.floor(block * parts / BLOCKS)
+    packed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        (shard * parts + part).cast("int").alias("place"),
     )
-    size = (F.coalesce(F.octet_length(text_col), F.lit(0)) + 1).cast("long")
-    sizes = common.store(
-        placed.select("_old", "_b0", "_b1", "_b2", size.alias("size")).groupBy("_old", "_b0", "_b1", "_b2").agg(F.sum("size").alias("size")),
-        "block-sizes",
+    # One group may hold a third of all rows: adaptive execution cuts what goes to one task.
+    packed.hint("rebalance", "place").write.partitionBy("place").parquet(folder)
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).schema
+    return Layout(docs.sparkSession, folder, row.add("place", IntegerType()), parts, id_col, text_col)
+
+
+@dataclass
+class Moves:
+    """What is to move: by level, (old shard, block, block within it, ...) and its new shard."""
+
+    flow: dict[tuple[int, int], int] = field(default_factory=dict)
+    levels: list[list[tuple[int, ...]]] = field(default_factory=list)
+    places: list[int] = field(default_factory=list)
+
+
+def _placed(layout: Layout, table: DataFrame) -> DataFrame:
+    """Rows with their old shard, size and blocks by level."""
+    text = _text(layout.text_col)
+    by_text, by_id = F.xxhash64(text), F.xxhash64(F.col(f"row.`{layout.id_col}`"), text)
+    blocks = [_bits(by_text, level).alias(f"b{level}") for level in range(LEVELS - 1)]
+    return table.select(
+        "*",
+        F.floor(F.col("place") / layout.parts).cast("int").alias("old"),
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        *blocks,
+        _bits(by_id, 0).alias(f"b{LEVELS - 1}"),
     )
-    supply = {r["_old"]: r["size"] for r in sizes.groupBy("_old").agg(F.sum("size").alias("size")).collect()}
+
+
+def planned(layout: Layout, shards: int) -> Moves:
+    """The moves to shards of equal sizes that move the fewest bytes."""
+    spark = layout.spark
+
+    def sums(table: DataFrame, level: int) -> DataFrame:
+        keys = ["old", *[f"b{i}" for i in range(level + 1)]]
+        return _placed(layout, table).groupBy(*keys).agg(F.sum("size").alias("size"))
+
+    first = sums(layout.read(), 0).collect()
+    supply: dict[int, int] = {}
+    for r in first:
+        supply[r["old"]] = supply.get(r["old"], 0) + r["size"]
     total = sum(supply.values())
     capacity = {n: total // shards + (n < total % shards) for n in range(shards)}
-    flow = minimum_cost_flow(supply, capacity, lambda o, n: int(o != n))
-    tolerance = TOLERANCE * total / shards
-
+    moves = Moves(minimum_cost_flow(supply, capacity, lambda o, n: int(o != n)))
     quotas: dict[tuple[int, ...], list[list[int]]] = {}
     for o in supply:
-        own = sorted((n != o, n, v) for (source, n), v in flow.items() if source == o)
+        own = sorted((n != o, n, v) for (source, n), v in moves.flow.items() if source == o)
         quotas[(o,)] = [[n, v] for _, n, v in own]
-    columns = ["_old", "_b0", "_b1", "_b2"]
-    found: list[DataFrame] = []
-    spark = docs.sparkSession
-    for level in range(1, 4):
+    places = set()
+    for level in range(LEVELS):
         if not quotas:
             break
-        key = columns[:level]
-        asked = spark.createDataFrame(list(quotas), ", ".join(f"{c} int" for c in key))
-        rows = sizes.join(F.broadcast(asked), key, "left_semi").groupBy(*columns[: level + 1]).agg(F.sum("size").alias("size")).collect()
+        if level:
+            asked = spark.createDataFrame(list(quotas), ", ".join(["old int", *[f"b{i} int" for i in range(level)]]))
+            held = sorted({k[0] * layout.parts + layout.part(k[1]) for k in quotas})
+            few = sums(layout.read().where(F.col("place").isin(held)), level)
+            rows = few.join(F.broadcast(asked), asked.columns, "left_semi").collect()
+        else:
+            rows = first
         grouped: dict[tuple[int, ...], list[tuple[int, int]]] = {}
         for r in rows:
-            grouped.setdefault(tuple(r[c] for c in key), []).append((r[columns[level]], r["size"]))
-        mapping, after = [], {}
-        # On the last level every part is dealt out whole.
-        allowed = tolerance if level < 3 else float("inf")
+            grouped.setdefault(tuple(r)[: level + 1], []).append(tuple(r)[level + 1 :])
+        # Up to the last bits of the text's hash blocks may be cut; then only what no shard holds.
+        allowed = TOLERANCE * total / shards if level < LEVELS - 2 else total / shards
+        found, after = [], {}
         for k, q in quotas.items():
-            whole, cut = deal(sorted(grouped[k]), q, allowed)
-            mapping += [(*k, number, shard) for number, shard in whole.items()]
+            whole, cut = deal(sorted(grouped[k]), q, allowed if level < LEVELS - 1 else float("inf"))
+            found += [(*k, number, shard) for number, shard in whole.items() if shard != k[0]]
             after |= {(*k, number): parts for number, parts in cut.items()}
+        places |= {k[0] * layout.parts + layout.part(k[1]) for k in found}
+        moves.levels.append(found)
         quotas = after
-        if mapping:
-            names = [*columns[: level + 1], f"_s{level}"]
-            found.append(spark.createDataFrame(mapping, ", ".join(f"{c} int" for c in names)))
-    for level_map in found:
-        placed = placed.join(F.broadcast(level_map), level_map.columns[:-1], "left")
-    shard = F.coalesce(*(m.columns[-1] for m in found)) if found else F.lit(0)
-    return placed.withColumn("shard_no", shard).select(*docs.columns, "shard_no")
-
-
-def resharded(docs: DataFrame, old: Column, shards: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Write the documents to their shards; the files as a table, with shard_no and slot."""
-    spark = docs.sparkSession
+    moves.places = sorted(places)
+    return moves
+
+
+def resharded(layout: Layout, shards: int = 8) -> DataFrame:
+    """Write the documents that move to the new shards; the files as a table, with shard_no and slot."""
+    spark = layout.spark
     folder = session.run_dir(spark, "shards")
-    moved = assigned(docs, old, shards, id_col, text_col)
-    moved.write.partitionBy("shard_no").parquet(folder)
-    schema = moved.schema
-    read = spark.read.schema(schema).parquet(folder).withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
+    moves = planned(layout, shards)
+    touched = layout.read().where(F.col("place").isin(moves.places))
+    placed = _placed(layout, touched)
+    to = []
+    for level, found in enumerate(moves.levels):
+        if found:
+            names = ["old", *[f"b{i}" for i in range(level + 1)]]
+            mapping = spark.createDataFrame(found, ", ".join([*[f"{n} int" for n in names], f"s{level} int"]))
+            # At most a row for each block of each shard.
+            placed = placed.join(F.broadcast(mapping), names, "left")
+            to.append(f"s{level}")
+    new = placed.select("row", F.coalesce(*to, "old").alias("shard_no"))
+    new.hint("rebalance", "shard_no").write.partitionBy("shard_no").parquet(folder)
+
+    where = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("line")]
+    stay = layout.read().where(~F.col("place").isin(moves.places))
+    stay = stay.select("row", F.floor(F.col("place") / layout.parts).cast("int").alias("shard_no"), *where)
+    moved = spark.read.schema(new.schema).parquet(folder).select("row", "shard_no", *where)
+    table = stay.unionAll(moved)
     # One row per file; a shard's files follow each other by name.
-    counts = spark.read.schema(schema).parquet(folder).select("shard_no", F.col("_metadata.file_path").alias("_file"))
-    counts = common.store(counts.groupBy("shard_no", "_file").count(), "shard-files")
-    before = Window.partitionBy("shard_no").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.select("_file", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_base"))
-    return read.join(base, "_file").withColumn("slot", F.col("_base") + F.col("_row")).drop("_file", "_row", "_base")
+    counts = session.written(table.groupBy("shard_no", "file").count(), "shard-files")
+    before = Window.partitionBy("shard_no").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    base = counts.select("file", "shard_no", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
+    kept = [F.col(f"row.`{c}`") for c in layout.schema["row"].dataType.names if c not in ("shard_no", "slot")]
+    return table.join(base, ["file", "shard_no"]).select(*kept, "shard_no", (F.col("base") + F.col("line")).alias("slot"))
