@@ -15,7 +15,7 @@ import pyarrow.fs as pafs
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from tidemark import session
 
@@ -48,6 +48,17 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of the table has, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        found.append(name)
+    return found
+
+
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """The file system of a shared path, and the path within it."""
     if "://" not in uri and not uri.startswith("file:"):
@@ -93,16 +104,25 @@ def narrow(batch: pa.RecordBatch, rows: int = 4096) -> Iterator[pa.RecordBatch]:
 
 
 def in_batches(df: DataFrame, function: Callable, schema: str | StructType, rows: int = 4096) -> DataFrame:
-    """`mapInArrow` for a function from one record batch to several."""
+    """`mapInArrow` for a function from one record batch to several.
 
+    Spark takes no column names with dots there: such tables go through under numbers.
+    """
     ship(df.sparkSession)
+    shape = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    numbered = any("." in name or "`" in name for name in [*df.columns, *shape.names])
+    names = [f"_{i}" for i in range(len(shape))]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in narrow(batch, rows):
-                yield from function(part)
+                for made in function(part):
+                    yield pa.RecordBatch.from_arrays(made.columns, names=names) if numbered else made
 
-    return df.mapInArrow(run, schema)
+    if not numbered:
+        return df.mapInArrow(run, schema)
+    plain = StructType([StructField(n, f.dataType) for n, f in zip(names, shape.fields, strict=True)])
+    return df.toDF(*[f"_{i}" for i in range(len(df.columns))]).mapInArrow(run, plain).toDF(*shape.names)
 
 
 # Odd constants for mixing; any others would do.
@@ -170,6 +190,11 @@ def hashed_words(texts: list[str | None]) -> Iterator[np.ndarray]:
 
     Long texts are hashed piece by piece; a null text has no words.
     """
+    return hashed_bytes(b"" if text is None else text.encode() for text in texts)
+
+
+def hashed_bytes(texts: Iterable[bytes]) -> Iterator[np.ndarray]:
+    """The same for texts in UTF-8."""
     group: list[bytes] = []
     size = 0
 
@@ -180,8 +205,7 @@ def hashed_words(texts: list[str | None]) -> Iterator[np.ndarray]:
         for i in range(len(group)):
             yield hashes[at[i] : at[i + 1]]
 
-    for text in texts:
-        data = b"" if text is None else text.encode()
+    for data in texts:
         if group and size + len(data) > PIECE:
             yield from flush()
             group, size = [], 0

@@ -1,7 +1,7 @@
 """Quality and toxicity by co-training: a view of the content, a view of the metadata.
 
-* Content: which words and which raw tokens a text has.  Naive Bayes over the FEATURES most
-  telling ones.
+* Content: which words and which raw tokens a text has, hashed into BUCKETS.  Naive Bayes over
+  the FEATURES most telling buckets.
 * Metadata: source, language, length and layout (shares of kinds of characters, lines, how
   often words repeat).  Logistic regression.
 
@@ -10,18 +10,23 @@ on them.  The class that is labelled more often than its share counts for less,
 shares stay those of the labelled rows.  Each view's log-odds are then calibrated, and combined,
 on labelled rows that no view was trained on.
 
+Every text is read once: its buckets and facts are stored, and all rounds go over those, many
+documents at a time.  What a task counts is an array of fixed size, as are the sums for a
+Newton step; they are added up in a tree of tasks, and few such arrays reach the driver.
+
 The models are fitted on SAMPLE labelled rows, the least by a hash of doc_id, and on every
-unlabelled document.  Executors count features and sum what a Newton step needs; the driver gets
-the chosen features, the labelled rows' metadata and those sums.  Every document is scored.
+unlabelled document.  The driver gets sums and the labelled rows' facts.  Every document is scored.
 
 A document whose labels disagree counts as of low quality, and as toxic, if any label says
 so.  Null labels are left out.  A target with one class only, or none, gets a constant; without
 labels all documents are kept.  Null or empty texts are scored by what is left of both views.
-Rows that repeat a doc_id are scored one by one.
+Rows that repeat a doc_id are scored one by one; of labelled ones, the one with the least
+hash of its buckets trains.  Other columns of the documents, whatever their names, stay as they are.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -33,12 +38,14 @@ from pyspark.sql import functions as F
 from tidemark.llm import common
 
 SAMPLE = 20_000
+BUCKETS = 1 << 18
 FEATURES = 4096
 ROUNDS = 3
 SURE = 0.98
 SOURCES = 32
 FACTS = 12 + SOURCES + 8
-HELD = 1 << 21  # hashes in a task's memory before they are counted
+GROUP = 1 << 20  # bytes of text described at a time
+FAN_IN = 16  # sums that one task adds up
 
 _SYMBOLS = np.frombuffer(b"!\"#$%&'()*+-/:;<=>?@[\\]^_`{|}~", np.uint8)
 _LETTERS = np.full(256, 32, np.uint8)
@@ -47,36 +54,70 @@ for _b in [*range(65, 91), *range(97, 123), *range(128, 256)]:
 _LETTERS = _LETTERS.tobytes()
 
 
+def _buckets(texts: list[bytes]) -> list[np.ndarray]:
+    """The bucket of every word of each text."""
+    found = [np.concatenate([*map(common.hash_bytes, common.cut(t))]) if len(t) > common.PIECE else None for t in texts]
+    short = [i for i, x in enumerate(found) if x is None]
+    for i, hashes in zip(short, common.hashed_bytes([texts[i] for i in short]), strict=True):
+        found[i] = hashes
+    return [(x >> np.uint64(46)).astype(np.int32) for x in found]
+
+
+def contents(texts: list[bytes]) -> list[np.ndarray]:
+    """Buckets of the raw tokens and of the words of each text; a word may be in both."""
+    raw, words = _buckets(texts), _buckets([t.translate(_LETTERS) for t in texts])
+    return [np.concatenate(both) for both in zip(raw, words, strict=True)]
+
+
 def content(text: str | None) -> np.ndarray:
-    """Hashes of the raw tokens and of the words; a word may be in both."""
-    data = (text or "").encode()
-    raw = [common.hash_bytes(piece) for piece in common.cut(data)]
-    words = [common.hash_bytes(piece) for piece in common.cut(data.translate(_LETTERS))]
-    return np.concatenate([*raw, *words])
-
-
-def layout(text: str | None, hashes: np.ndarray, source: str | None, lang: str | None) -> np.ndarray:
-    data = np.frombuffer((text or "").encode(), np.uint8)
-    counts = np.bincount(data, minlength=256)
-    n = max(1, len(data))
-    words = max(1, len(hashes))
-    shares = [
-        counts[65:91].sum() / n,
-        counts[48:58].sum() / n,
-        counts[_SYMBOLS].sum() / n,
-        counts[124] / n,
-        counts[33] / n,
-        counts[32] / n,
-        counts[10] / n,
-        np.sqrt(counts[_SYMBOLS].sum() / n),
-        np.sqrt(counts[65:91].sum() / n),
-        len(np.unique(hashes)) / words,
-        np.log1p(len(data)) / 10,
+    return contents([(text or "").encode()])[0]
+
+
+def layouts(texts: list[bytes], sizes: np.ndarray, distinct: np.ndarray, sources: list, langs: list) -> np.ndarray:
+    """A row of facts for each text, of which the number of words and of different ones are known."""
+    counts = np.stack([np.bincount(np.frombuffer(t, np.uint8), minlength=256) for t in texts])
+    length = counts.sum(1)
+    n = np.maximum(1, length)
+    symbols, upper = counts[:, _SYMBOLS].sum(1) / n, counts[:, 65:91].sum(1) / n
+    facts = np.zeros((len(texts), FACTS), np.float32)
+    columns = [
+        np.ones(len(texts)),
+        upper,
+        counts[:, 48:58].sum(1) / n,
+        symbols,
+        counts[:, 124] / n,
+        counts[:, 33] / n,
+        counts[:, 32] / n,
+        counts[:, 10] / n,
+        np.sqrt(symbols),
+        np.sqrt(upper),
+        distinct / np.maximum(1, sizes),
+        np.log1p(length) / 10,
     ]
-    kinds = np.zeros(SOURCES + 8)
-    kinds[common.small_hash(source) % SOURCES] = 1
-    kinds[SOURCES + common.small_hash(lang) % 8] = 1
-    return np.concatenate([[1.0], shares, kinds])
+    facts[:, : len(columns)] = np.stack(columns, 1)
+    rows = np.arange(len(texts))
+    facts[rows, len(columns) + np.array([common.small_hash(x) % SOURCES for x in sources], int)] = 1
+    facts[rows, len(columns) + SOURCES + np.array([common.small_hash(x) % 8 for x in langs], int)] = 1
+    return facts
+
+
+def describe(texts: list[str | None], sources: list, langs: list) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """(distinct buckets of each, facts) of groups of texts, in their order."""
+    data = [(t or "").encode() for t in texts]
+    at = 0
+    while at < len(data):
+        end, size = at, 0
+        while end < len(data) and (end == at or size + len(data[end]) <= GROUP):
+            size += len(data[end])
+            end += 1
+        found = contents(data[at:end])
+        sizes = np.array([len(x) for x in found])
+        owner = np.repeat(np.arange(end - at), sizes)
+        place = np.unique((owner << 32) | np.concatenate([np.empty(0, np.int32), *found]).astype(np.int64))
+        bounds = np.searchsorted(place >> 32, np.arange(end - at + 1))
+        sets = [(place[a:b] & 0xFFFFFFFF).astype(np.int32) for a, b in zip(bounds, bounds[1:], strict=False)]
+        yield sets, layouts(data[at:end], sizes, np.diff(bounds), sources[at:end], langs[at:end])
+        at = end
 
 
 def slopes(x: np.ndarray, y: np.ndarray, w: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -85,45 +126,56 @@ def slopes(x: np.ndarray, y: np.ndarray, w: np.ndarray, weights: np.ndarray) ->
     return np.column_stack([(x * (weights * p * (1 - p))[:, None]).T @ x, x.T @ (weights * (y - p))])
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 25, more: Callable | None = None) -> np.ndarray:
-    """Weights of a ridge logistic regression, by Newton steps; `more` gives the slopes of rows elsewhere."""
-    w = np.zeros(x.shape[1])
+def logistic(
+    own: list[tuple[np.ndarray, np.ndarray]],
+    ridge: float = 1.0,
+    steps: int = 25,
+    start: list[np.ndarray] | None = None,
+    more: Callable[[list[np.ndarray]], np.ndarray] | None = None,
+) -> list[np.ndarray]:
+    """Weights of ridge logistic regressions of (x, y), by Newton steps taken together.
+
+    `more` gives the slopes of rows elsewhere, for all of them at once.
+    """
+    ws = start or [np.zeros(x.shape[1]) for x, _ in own]
     for _ in range(steps):
-        both = slopes(x, y, w, np.ones(len(y))) + (more(w) if more else 0)
-        change = np.linalg.solve(both[:, :-1] + ridge * np.eye(x.shape[1]), both[:, -1] - ridge * w)
-        w += change
-        if np.abs(change).max() < (1e-3 if more else 1e-6):
+        added = more(ws) if more else [0] * len(own)
+        most = 0.0
+        for i, (x, y) in enumerate(own):
+            both = slopes(x, y, ws[i], np.ones(len(y))) + added[i]
+            change = np.linalg.solve(both[:, :-1] + ridge * np.eye(x.shape[1]), both[:, -1] - ridge * ws[i])
+            ws[i] = ws[i] + change
+            most = max(most, float(np.abs(change).max()))
+        if most < (1e-3 if more else 1e-6):
             break
-    return w
+    return ws
 
 
 @dataclass
 class Bayes:
-    """Bernoulli naive Bayes over the features that tell the classes apart best."""
+    """Bernoulli naive Bayes over the buckets that tell the classes apart best."""
 
     keys: np.ndarray
     weights: np.ndarray
     prior: float
 
     @classmethod
-    def fit(cls, counts: DataFrame, target: str, yes: float, no: float) -> Bayes:
-        """From rows (hash, <target>_yes, <target>_no), and how many texts of each class there are."""
+    def fit(cls, counts: np.ndarray, target: str, yes: float, no: float) -> Bayes:
+        """From how many texts of each class have each bucket, a row for each of COUNTS, and how many there are."""
         yes, no = max(1.0, yes), max(1.0, no)
-        inside, outside = F.col(f"{target}_yes"), F.col(f"{target}_no")
-        rates = counts.select("hash", ((inside + 0.1) / (yes + 0.2)).alias("a"), ((outside + 0.1) / (no + 0.2)).alias("b"), (inside + outside).alias("n"))
-        telling = F.abs(F.col("a") - F.col("b")) / F.sqrt((F.col("n") + 1) / (yes + no) * (1 / yes + 1 / no))
-        best = rates.withColumn("telling", telling).where("telling > 5").orderBy(F.desc("telling"), "hash").limit(FEATURES).toArrow()
-        keys = best["hash"].to_numpy().view(np.uint64)
-        weights = np.log(best["a"].to_numpy()) - np.log(best["b"].to_numpy())
-        order = np.argsort(keys)
-        return cls(keys[order], weights[order], float(np.log(yes / no)))
-
-    def score(self, hashes: np.ndarray) -> float:
-        if not len(self.keys) or not len(hashes):
-            return self.prior
-        at = np.searchsorted(self.keys, hashes)
-        at[at == len(self.keys)] = 0
-        return self.prior + float(self.weights[np.unique(at[self.keys[at] == hashes])].sum())
+        inside, outside = (counts[COUNTS.index(f"{target}_{side}")] for side in ("yes", "no"))
+        a, b = (inside + 0.1) / (yes + 0.2), (outside + 0.1) / (no + 0.2)
+        telling = np.abs(a - b) / np.sqrt((inside + outside + 1) / (yes + no) * (1 / yes + 1 / no))
+        telling[inside + outside == 0] = 0
+        best = np.argsort(-telling, kind="stable")[:FEATURES]
+        keys = np.sort(best[telling[best] > 5])
+        return cls(keys.astype(np.int32), np.log(a[keys]) - np.log(b[keys]), float(np.log(yes / no)))
+
+    def scores(self, owner: np.ndarray, buckets: np.ndarray, n: int) -> np.ndarray:
+        """Log-odds of n texts from their distinct buckets, laid end to end."""
+        table = np.zeros(BUCKETS)
+        table[self.keys] = self.weights
+        return self.prior + np.bincount(owner, weights=table[buckets], minlength=n)
 
 
 @dataclass
@@ -135,70 +187,81 @@ class Model:
     combined: np.ndarray
     constant: float | None = None
 
-    def features(self, hashes: np.ndarray, facts: np.ndarray) -> np.ndarray:
+    def features(self, batch: Described) -> np.ndarray:
         # Log-odds far out say no more than that a view is sure.
-        views = np.clip([self.bayes.score(hashes), float(facts @ self.weights)], -30, 30)
-        return np.array([1.0, *views, np.tanh(views[0] / 4), np.tanh(views[1] / 2)])
+        a = np.clip(self.bayes.scores(batch.owner, batch.buckets, batch.n), -30, 30)
+        b = np.clip(batch.facts @ self.weights, -30, 30)
+        return np.stack([np.ones(batch.n), a, b, np.tanh(a / 4), np.tanh(b / 2)], 1)
 
-    def probability(self, hashes: np.ndarray, facts: np.ndarray) -> float:
+    def probabilities(self, batch: Described) -> np.ndarray:
         if self.constant is not None:
-            return self.constant
-        return float(1 / (1 + np.exp(-np.clip(self.features(hashes, facts) @ self.combined, -30, 30))))
+            return np.full(batch.n, self.constant)
+        return 1 / (1 + np.exp(-np.clip(self.features(batch) @ self.combined, -30, 30)))
 
 
 TARGETS = ("quality", "toxic")
 COUNTS = [f"{t}_{side}" for t in TARGETS for side in ("yes", "no")]
-# Counts of a feature, or of texts where hash is null; or the facts of a text with a label per target.
-GATHERED = "hash long, " + "".join(f"{c} double, " for c in COUNTS) + "facts array<double>, labels array<double>, doc_id long"
+DESCRIBED = "doc_id long, buckets binary, facts binary"
 
 
-def _gather(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
-    """GATHERED from (doc_id, facts or None, labels for them, hashes, labels for those); no label is nan."""
-    schema = pa.schema(
-        [("hash", pa.int64()), *((c, pa.float64()) for c in COUNTS), ("facts", pa.list_(pa.float64())), ("labels", pa.list_(pa.float64())), ("doc_id", pa.int64())]
-    )
-    described, sets, marks, size = [], [], [], 0
+@dataclass
+class Described:
+    """Documents as arrays: which text each bucket is of, the buckets, and the facts."""
 
-    def flush() -> Iterator[pa.RecordBatch]:
-        if described:
-            nothing = [pa.nulls(len(described), pa.float64())] * len(COUNTS)
-            ids, facts, labels = zip(*described, strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(ids), pa.int64()), *nothing, pa.array(facts, schema.field("facts").type), pa.array(labels, schema.field("labels").type), pa.array(ids, pa.int64())],
-                schema=schema,
-            )
-        if sets:
-            keys, place = np.unique(np.concatenate(sets), return_inverse=True)
-            each = np.array(marks)
-            each = np.stack([each == 1, each == 0], axis=2).reshape(len(each), -1).astype(float)
-            owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-            counts = [np.append(np.bincount(place, weights=c[owner], minlength=len(keys)), c.sum()) for c in each.T]
-            hashes = pa.array([*keys.view(np.int64).tolist(), None], pa.int64())
-            n = len(hashes)
+    n: int
+    owner: np.ndarray
+    buckets: np.ndarray
+    facts: np.ndarray
+
+    @classmethod
+    def of(cls, sets: list[np.ndarray], facts: np.ndarray) -> Described:
+        owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        return cls(len(sets), owner, np.concatenate([np.empty(0, np.int32), *sets]), facts)
+
+    @classmethod
+    def read(cls, batch: pa.RecordBatch) -> Described:
+        """From a batch with the columns of DESCRIBED first."""
+        sets = [np.frombuffer(x, np.int32) for x in batch.column(1).to_pylist()]
+        facts = [np.frombuffer(x, np.float32) for x in batch.column(2).to_pylist()]
+        return cls.of(sets, np.array(facts, np.float64).reshape(-1, FACTS))
+
+
+def described(docs: DataFrame, columns: dict[str, str] | None = None) -> DataFrame:
+    """Buckets and facts of every row, stored."""
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        at = 0
+        for sets, facts in describe(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
             yield pa.RecordBatch.from_arrays(
-                [hashes, *map(pa.array, counts), pa.nulls(n, schema.field("facts").type), pa.nulls(n, schema.field("labels").type), pa.nulls(n, pa.int64())], schema=schema
+                [
+                    batch.column(0).slice(at, len(sets)),
+                    pa.array([x.tobytes() for x in sets], pa.binary()),
+                    pa.array([x.tobytes() for x in facts], pa.binary()),
+                ],
+                names=["doc_id", "buckets", "facts"],
             )
+            at += len(sets)
 
-    for doc_id, facts, labels, hashes, own in rows:
-        if facts is not None:
-            described.append((doc_id, facts, labels))
-        if not np.isnan(own).all():
-            sets.append(hashes)
-            marks.append(own)
-        size += len(hashes) + FACTS
-        if size > HELD:
-            yield from flush()
-            described, sets, marks, size = [], [], [], 0
-    yield from flush()
+    return common.store(common.in_batches(_columns(docs, columns or COLUMNS), run, DESCRIBED), "described")
 
 
-def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
-    """(distinct content, facts, the row) for rows doc_id, text, source, lang, ..."""
-    for batch in batches:
-        for part in common.narrow(batch, 256):
-            for row in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                found = content(row[1])
-                yield np.unique(found), layout(row[1], found, row[2], row[3]), row
+def added_up(parts: DataFrame, tasks: int) -> np.ndarray | None:
+    """The sum of arrays of doubles, one row `part` from each task, in a tree of tasks."""
+
+    def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for part in batch.column(0).to_pylist():
+                part = np.frombuffer(part)
+                total = part if total is None else total + part
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["part"])
+
+    while tasks > 1:
+        tasks = math.ceil(tasks / FAN_IN)
+        parts = parts.repartition(tasks).mapInArrow(merge, "part binary")
+    found = [np.frombuffer(r["part"]) for r in parts.collect()]
+    return sum(found[1:], found[0]) if found else None
 
 
 def _held(doc_id: int) -> bool:
@@ -206,25 +269,35 @@ def _held(doc_id: int) -> bool:
     return common.small_hash(str(doc_id)) % 3 == 0
 
 
-def _labels(row: tuple) -> list[float]:
-    return [np.nan if x is None else float(x) for x in row[4:6]]
+def _marks(batch: pa.RecordBatch) -> np.ndarray:
+    """The labels after the columns of DESCRIBED, nan for none."""
+    return np.stack([batch.column(3 + k).to_numpy(zero_copy_only=False).astype(float) for k in range(len(TARGETS))], 1)
 
 
-def _gather_labelled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    nothing = [np.nan] * len(TARGETS)
-    yield from _gather(
-        (row[0], facts, _labels(row), hashes, nothing if _held(row[0]) else _labels(row)) for hashes, facts, row in _texts(batches)
-    )
+def _training_marks(batch: pa.RecordBatch, _: Described) -> np.ndarray:
+    held = np.array([_held(x) for x in batch.column(0).to_pylist()], bool)
+    return np.where(held[:, None], np.nan, _marks(batch))
 
 
-def _summed(gathered: DataFrame) -> DataFrame:
-    return gathered.where("facts is null").groupBy("hash").agg(*(F.sum(c).alias(c) for c in COUNTS))
+def _counted(rows: DataFrame, marks: Callable[[pa.RecordBatch, Described], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """How many texts of each class have each bucket, and how many texts of each class there are."""
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, texts = np.zeros((len(COUNTS), BUCKETS)), np.zeros(len(COUNTS))
+        for batch in batches:
+            docs = Described.read(batch)
+            given = marks(batch, docs)
+            for i in range(len(COUNTS)):
+                chosen = given[:, i // 2] == 1 - i % 2
+                texts[i] += chosen.sum()
+                if chosen.any():
+                    total[i] += np.bincount(docs.buckets[chosen[docs.owner]], minlength=BUCKETS)
+        yield pa.RecordBatch.from_arrays([pa.array([np.append(total.ravel(), texts).tobytes()], pa.binary())], names=["part"])
 
-def _totals(counts: DataFrame) -> np.ndarray:
-    """Texts per target and class, in the order yes, no."""
-    found = counts.where("hash is null").first()
-    return np.array([found[c] for c in COUNTS] if found else [0.0] * len(COUNTS)).reshape(-1, 2)
+    found = added_up(rows.mapInArrow(run, "part binary"), rows.rdd.getNumPartitions())
+    if found is None:
+        found = np.zeros(len(COUNTS) * (BUCKETS + 1))
+    return found[: -len(COUNTS)].reshape(len(COUNTS), BUCKETS), found[-len(COUNTS) :].reshape(-1, 2)
 
 
 def _balance(given: np.ndarray, own: np.ndarray) -> np.ndarray:
@@ -233,25 +306,33 @@ def _balance(given: np.ndarray, own: np.ndarray) -> np.ndarray:
     return np.where(given > 0, most.min() / np.maximum(most, 1e-9), 1.0) if (given > 0).all() else np.ones(2)
 
 
-def _elsewhere(facts: DataFrame, target: int, balance: np.ndarray) -> Callable:
-    """The slopes of stored rows as a function of the weights, summed on executors."""
+def _elsewhere(given: DataFrame, targets: list[int], balances: list[np.ndarray]) -> Callable:
+    """The slopes of stored rows (facts, a label per target) as a function of the weights."""
+    tasks = given.rdd.getNumPartitions()
 
-    def more(w: np.ndarray) -> np.ndarray:
+    def more(ws: list[np.ndarray]) -> np.ndarray:
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros((FACTS, FACTS + 1))
+            total = np.zeros((len(targets), FACTS, FACTS + 1))
             for batch in batches:
-                x = batch.column(0).flatten().to_numpy().reshape(-1, FACTS)
-                y = batch.column(1).flatten().to_numpy().reshape(-1, len(TARGETS))[:, target]
-                x, y = x[~np.isnan(y)], y[~np.isnan(y)]
-                total += slopes(x, y, w, np.where(y == 1, *balance))
-            yield pa.RecordBatch.from_arrays([pa.array([total.ravel().tobytes()], pa.binary())], names=["total"])
+                x = np.array([np.frombuffer(f, np.float32) for f in batch.column(0).to_pylist()], float).reshape(-1, FACTS)
+                for i, k in enumerate(targets):
+                    y = batch.column(1 + k).to_numpy(zero_copy_only=False)
+                    sure = ~np.isnan(y)
+                    total[i] += slopes(x[sure], y[sure], ws[i], np.where(y[sure] == 1, *balances[i]))
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["part"])
 
-        found = facts.mapInArrow(run, "total binary").toLocalIterator()
-        return sum((np.frombuffer(r["total"]).reshape(FACTS, FACTS + 1) for r in found), np.zeros((FACTS, FACTS + 1)))
+        found = added_up(given.mapInArrow(run, "part binary"), tasks)
+        shape = (len(targets), FACTS, FACTS + 1)
+        return np.zeros(shape) if found is None else found.reshape(shape)
 
     return more
 
 
+def _sure(odds: np.ndarray) -> np.ndarray:
+    """Labels of the rows whose log-odds are beyond SURE, nan for the others."""
+    return np.where(np.abs(odds) > np.log(SURE / (1 - SURE)), (odds > 0).astype(float), np.nan)
+
+
 def _columns(docs: DataFrame, columns: dict[str, str]) -> DataFrame:
     def named(part: str):
         name = columns.get(part)
@@ -270,23 +351,27 @@ COLUMNS = {"id": "doc_id", "text": "text", "source": "source", "lang": "lang"}
 
 def fit(docs: DataFrame, labels: DataFrame, columns: dict[str, str] = COLUMNS) -> dict[str, Model]:
     """Models of `quality` and `toxic`, from columns doc_id, quality and toxic of the labels."""
+    return fit_described(described(docs, columns), labels)
+
+
+def fit_described(rows: DataFrame, labels: DataFrame) -> dict[str, Model]:
+    """The same from `described` rows."""
     each = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("_id"))
-    each = each.agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    each = each.agg(*[worst(F.col(t).cast("double")).alias(t) for t, worst in zip(TARGETS, (F.min, F.max), strict=True)])
     asked = common.store(each.orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE), "labelled")
-    common.ship(docs.sparkSession)
-    rows = _columns(docs, columns)
-    labelled = rows.join(F.broadcast(asked), F.col("doc_id") == F.col("_id")).drop("_id").dropDuplicates(["doc_id"])
-    labelled = common.store(labelled, "labelled-texts")
-    free = rows.join(F.broadcast(asked.select("_id")), F.col("doc_id") == F.col("_id"), "left_anti")
-    gathered = common.store(labelled.mapInArrow(_gather_labelled, GATHERED), "labelled-features")
-    own_counts = common.store(_summed(gathered), "labelled-counts")
-    own_totals = _totals(own_counts)
-    known = gathered.where("facts is not null").select("doc_id", "facts", "labels").toArrow().sort_by("doc_id").combine_chunks()
+    given_ids = F.broadcast(asked)  # SAMPLE rows at most
+    names = ["doc_id", "buckets", "facts", *TARGETS]
+    labelled = rows.join(given_ids, F.col("doc_id") == F.col("_id")).select(names)
+    first = F.min_by(F.struct(*names), F.xxhash64("buckets", "facts")).alias("row")
+    labelled = common.store(labelled.groupBy("doc_id").agg(first).select("row.*"), "labelled-rows")
+    free = rows.join(given_ids, F.col("doc_id") == F.col("_id"), "left_anti")
+
+    known = labelled.select("doc_id", "facts", *TARGETS).toArrow().sort_by("doc_id").combine_chunks()
     held = np.array([_held(x) for x in known["doc_id"].to_pylist()], bool)
-    facts = known["facts"].combine_chunks().flatten().to_numpy().reshape(-1, FACTS)
-    marks = known["labels"].combine_chunks().flatten().to_numpy().reshape(-1, len(TARGETS))
+    facts = np.array([np.frombuffer(x, np.float32) for x in known["facts"].to_pylist()], float).reshape(-1, FACTS)
+    marks = np.stack([known[t].to_numpy().astype(float) for t in TARGETS], 1)
     models: dict[str, Model] = {}
-    fitted = {}
+    fitted: dict[int, Model] = {}
     for k, target in enumerate(TARGETS):
         y = marks[:, k]
         trained, kept = y[~held & ~np.isnan(y)], y[held & ~np.isnan(y)]
@@ -295,106 +380,127 @@ def fit(docs: DataFrame, labels: DataFrame, columns: dict[str, str] = COLUMNS) -
             models[target] = Model(None, None, np.zeros(5), float(y.mean()) if len(y) and len(np.unique(y)) == 1 else 0.5)
         else:
             models[target] = fitted[k] = Model(None, None, np.zeros(5))
-    limit = np.log(SURE / (1 - SURE))
-    given = None  # what each view has labelled for the other
-    for i in range(ROUNDS + 1 if fitted else 0):
-        counts, totals = own_counts, own_totals
-        if given is not None:
-            given_counts = common.store(_summed(given), "given-counts")
-            found = _totals(given_counts)
-            balance = np.array([_balance(a, b) if k in fitted else np.zeros(2) for k, (a, b) in enumerate(zip(found, own_totals, strict=True))])
-            weighted = [(F.col(c) * float(w)).alias(c) for c, w in zip(COUNTS, balance.ravel(), strict=True)]
-            counts = own_counts.unionAll(given_counts.select("hash", *weighted)).groupBy("hash").agg(*(F.sum(c).alias(c) for c in COUNTS))
-            counts = common.store(counts, "counts")
-            totals = own_totals + found * balance
-            sure = given.where("facts is not null").select("facts", "labels")
-        for k, model in fitted.items():
-            model.bayes = Bayes.fit(counts.where("hash is not null"), TARGETS[k], *totals[k])
-            used = ~held & ~np.isnan(marks[:, k])
-            more = None
-            if given is not None:
-                label = F.element_at("labels", k + 1)
-                n = sure.agg(F.count_if(label == 1).alias("yes"), F.count_if(label == 0).alias("no")).first()
-                more = _elsewhere(sure, k, _balance(np.array([n["yes"], n["no"]], float), own_totals[k]))
-            model.weights = logistic(facts[used], marks[used, k], more=more)
-        if given is not None:
-            common.discard(counts)
-            common.discard(given_counts)
-            common.discard(given)
-        if i == ROUNDS:
-            break
-        shared = docs.sparkSession.sparkContext.broadcast(fitted)
-
-        def label(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            def rows() -> Iterator[tuple]:
-                for hashes, facts, row in _texts(batches):
-                    by_content, by_metadata = [np.nan] * len(TARGETS), [np.nan] * len(TARGETS)
-                    for k, model in shared.value.items():
-                        for odds, labels in ((model.bayes.score(hashes) / 4, by_content), (float(facts @ model.weights), by_metadata)):
-                            if abs(odds) > limit:
-                                labels[k] = float(odds > 0)
-                    yield row[0], None if np.isnan(by_content).all() else facts, by_content, hashes, by_metadata
-
-            yield from _gather(rows())
-
-        given = common.store(free.mapInArrow(label, GATHERED), "given")
-        common.free(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(fitted)
-
-    def describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = [(row[0], k, model.features(hashes, facts), _labels(row)[k]) for hashes, facts, row in _texts(batches) if _held(row[0]) for k, model in shared.value.items()]
-        ids, ks, x, y = zip(*out, strict=True) if out else ((), (), (), ())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(ks, pa.int32()), pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.float64())], names=["doc_id", "k", "x", "y"]
-        )
-
-    if fitted:
-        seen = labelled.mapInArrow(describe, "doc_id long, k int, x array<double>, y double").toArrow().sort_by("doc_id")
-        ks, y = seen["k"].to_numpy(), seen["y"].to_numpy()
-        x = seen["x"].combine_chunks().flatten().to_numpy().reshape(-1, 5)
-        for k, model in fitted.items():
-            used = (ks == k) & ~np.isnan(y)
-            model.combined = logistic(x[used], y[used], ridge=0.1)
+    if not fitted:
+        return models
+    targets = list(fitted)
+    own = [(facts[~held & ~np.isnan(marks[:, k])], marks[~held & ~np.isnan(marks[:, k]), k]) for k in targets]
+    own_counts, own_totals = _counted(labelled, _training_marks)
+    _train(fitted, own_counts, own_totals, logistic(own))
+    for _ in range(ROUNDS):
+        views = dict(fitted)
+
+        def by_metadata(_: pa.RecordBatch, docs: Described, views: dict[int, Model] = views) -> np.ndarray:
+            out = np.full((docs.n, len(TARGETS)), np.nan)
+            for k, model in views.items():
+                out[:, k] = _sure(docs.facts @ model.weights)
+            return out
+
+        counts, totals = _counted(free, by_metadata)
+        given = common.store(_labelled_by_content(free, views), "given")
+        balance = np.array([_balance(a, b) if k in fitted else np.zeros(2) for k, (a, b) in enumerate(zip(totals, own_totals, strict=True))])
+        said = given.agg(*[F.count_if(F.col(t) == side).alias(f"{t}_{side}") for t in TARGETS for side in (1, 0)]).first()
+        balances = [_balance(np.array(said[2 * k : 2 * k + 2], float), own_totals[k]) for k in targets]
+        weights = logistic(own, start=[fitted[k].weights for k in targets], more=_elsewhere(given, targets, balances))
+        common.discard(given)
+        _train(fitted, own_counts + counts * balance.reshape(-1, 1), own_totals + totals * balance, weights)
+    _calibrate(fitted, labelled)
     return models
 
 
+def _train(fitted: dict[int, Model], counts: np.ndarray, totals: np.ndarray, weights: list[np.ndarray]) -> None:
+    """New views from counts of content and weights of metadata; the old ones stay as they were."""
+    for (k, model), w in zip(fitted.items(), weights, strict=True):
+        model.bayes, model.weights = Bayes.fit(counts, TARGETS[k], *totals[k]), w
+
+
+def _labelled_by_content(free: DataFrame, views: dict[int, Model]) -> DataFrame:
+    """Facts of the rows that the content is sure of, with a label per target, nan for none."""
+    bayes = {k: model.bayes for k, model in views.items()}
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs = Described.read(batch)
+            out = np.full((docs.n, len(TARGETS)), np.nan)
+            for k, view in bayes.items():
+                out[:, k] = _sure(view.scores(docs.owner, docs.buckets, docs.n) / 4)
+            some = ~np.isnan(out).all(1)
+            found = pa.RecordBatch.from_arrays([batch.column(2), *map(pa.array, out.T)], names=["facts", *TARGETS])
+            yield found.filter(pa.array(some))
+
+    return free.mapInArrow(run, "facts binary, " + ", ".join(f"{t} double" for t in TARGETS))
+
+
+def _calibrate(fitted: dict[int, Model], labelled: DataFrame) -> None:
+    """Combine the views on the labelled rows that none was trained on."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = pa.array([_held(x) for x in batch.column(0).to_pylist()], pa.bool_())
+            batch = batch.filter(held)
+            docs, marks = Described.read(batch), _marks(batch)
+            for k, model in fitted.items():
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0),
+                        pa.array(np.full(docs.n, k, np.int32)),
+                        pa.array(model.features(docs).tolist(), pa.list_(pa.float64())),
+                        pa.array(marks[:, k]),
+                    ],
+                    names=["doc_id", "k", "x", "y"],
+                )
+
+    seen = labelled.mapInArrow(run, "doc_id long, k int, x array<double>, y double").toArrow().sort_by("doc_id")
+    ks, y = seen["k"].to_numpy(), seen["y"].to_numpy()
+    x = seen["x"].combine_chunks().flatten().to_numpy().reshape(-1, 5)
+    for k, model in fitted.items():
+        used = (ks == k) & ~np.isnan(y)
+        (model.combined,) = logistic([(x[used], y[used])], ridge=0.1)
+
+
 def scored(docs: DataFrame, models: dict[str, Model], columns: dict[str, str] = COLUMNS) -> DataFrame:
     """Per row: doc_id, mark of the text and metadata, p_quality, p_toxic, keep."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+    return scored_described(described(docs, columns), models)
+
+
+def scored_described(rows: DataFrame, models: dict[str, Model]) -> DataFrame:
+    """The same from `described` rows."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs = Described.read(batch)
+            quality, toxic = (models[t].probabilities(docs) for t in TARGETS)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(quality), pa.array(toxic), pa.array(decisions(quality, toxic))],
+                names=["doc_id", "p_quality", "p_toxic", "keep"],
+            )
+
+    common.ship(rows.sparkSession)
+    return rows.mapInArrow(run, "doc_id long, p_quality double, p_toxic double, keep boolean")
 
-    def run(batch: pa.RecordBatch):
-        quality, toxic = [], []
-        for text, source, lang in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
-            found = content(text)
-            facts = layout(text, found, source, lang)
-            quality.append(shared.value["quality"].probability(found, facts))
-            toxic.append(shared.value["toxic"].probability(found, facts))
-        keep = [decision(q, t) for q, t in zip(quality, toxic, strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(quality, pa.float64()), pa.array(toxic, pa.float64()), pa.array(keep, pa.bool_())],
-            names=["doc_id", "p_quality", "p_toxic", "keep"],
-        )
 
-    return common.in_batches(_columns(docs, columns), run, "doc_id long, p_quality double, p_toxic double, keep boolean", rows=512)
+def decisions(quality: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    return (quality >= 0.5) & (toxic <= 0.5)
 
 
-def decision(quality: float, toxic: float) -> bool:
-    return quality >= 0.5 and toxic <= 0.5
+def classified(docs: DataFrame, labels: DataFrame, columns: dict[str, str] = COLUMNS) -> DataFrame:
+    """`scored` by the models fitted on the same documents, each text read once."""
+    rows = described(docs, columns)
+    return scored_described(rows, fit_described(rows, labels))
 
 
 def accepted(docs: DataFrame, labels: DataFrame, columns: dict[str, str] = COLUMNS) -> DataFrame:
     """The documents that the classifier keeps, as they are; each row is scored where it is read."""
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, columns))
-    at = [docs.columns.index(columns[k]) if columns.get(k) in docs.columns else None for k in ("text", "source", "lang")]
+    models = fit(docs, labels, columns)
+    names = [columns.get(k) for k in ("text", "source", "lang")]
+    at = [docs.columns.index(n) if n in docs.columns else None for n in names]
 
     def run(batch: pa.RecordBatch):
         nothing = [None] * batch.num_rows
         values = [batch.column(i).to_pylist() if i is not None else nothing for i in at]
-        keep = []
-        for text, source, lang in zip(*values, strict=True):
-            found = content(text)
-            facts = layout(text, found, source, lang)
-            keep.append(decision(*(shared.value[t].probability(found, facts) for t in ("quality", "toxic"))))
-        yield batch.filter(pa.array(keep, pa.bool_()))
+        keep = [np.empty(0, bool)]
+        for sets, facts in describe(*values):
+            docs = Described.of(sets, facts.astype(float))
+            keep.append(decisions(*(models[t].probabilities(docs) for t in TARGETS)))
+        yield batch.filter(pa.array(np.concatenate(keep)))
 
     return common.in_batches(docs, run, docs.schema, rows=512)

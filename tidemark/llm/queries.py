@@ -74,7 +74,7 @@ def byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
-    return cotraining.scored(docs, cotraining.fit(docs, labels))
+    return cotraining.classified(docs, labels)
 
 
 OLD_SHARDS = 5
