@@ -3,6 +3,8 @@
 import glob
 import math
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -106,3 +108,10 @@ def test_filters_reach_the_scan(spark):
     assert "% 2) = 0)" in plan and "% 2) = 1)" in plan
     assert plan.count("PushedFilters: [IsNotNull(event_id), IsNotNull(user_id)]") == 2
     assert plan.count("ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,value:double>") == 2
+
+
+def test_the_entry_stands_without_modules_that_only_some_queries_need():
+    code = "import sys; sys.modules['public_tokenizers'] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    folder = os.path.dirname(os.path.abspath(registered.__file__))
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=folder)
+    assert done.stdout.split() == [str(len(catalog.QUERIES)), str(len(oracle.SQL))]

@@ -282,7 +282,7 @@ def _text_files(spark: SparkSession, folder: str) -> str:
     """The documents as text files in their order; where they lie."""
     path = session.run_dir(spark, "text-files")
     docs = _table(spark, folder, "documents")
-    docs.repartitionByRange(BATCHES, "doc_id").sortWithinPartitions("doc_id").select("text").write.text(path)
+    docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id").select("text").write.text(path)
     return path
 
 
