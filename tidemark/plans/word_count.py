@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import session
 from tidemark.operators.aggregates import changelog, grouped
-from tidemark.operators.running import HOT, hot_keys
+from tidemark.operators.running import HOT
 from tidemark.operators.stateless import tokenize
 from tidemark.streaming import sinks
 from tidemark.streaming.changelog import start_changelog
@@ -38,9 +38,12 @@ def count_changes(
     words on average, and so no more records of one word.
     """
     words = session.written(tokenize(lines, value, keep=order, word="key"), "words")
-    hot = session.written(hot_keys(words, ["key"], limit), "hot-words")
-    found = words.agg(F.count(F.lit(1)).alias("words"), F.count_distinct(*order).alias("texts")).first()
-    width = max(1, min(limit, BLOCK) * found["texts"] // max(1, found["words"]))
+    # One pass for both: a text with words has one in place 0, even if that is the empty word.
+    begun = F.count_if(F.col("pos") == 0).alias("texts")
+    counted = session.written(words.groupBy("key").agg(F.count(F.lit(1)).alias("words"), begun), "counted-words")
+    hot = session.written(counted.where(F.col("words") > limit).select("key"), "hot-words")
+    found = counted.agg(F.sum("words").alias("words"), F.sum("texts").alias("texts")).first()
+    width = max(1, min(limit, BLOCK) * (found["texts"] or 0) // max(1, found["words"] or 0))
     return changelog(
         words,
         how="count",
