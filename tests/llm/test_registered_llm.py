@@ -159,9 +159,7 @@ def tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    made = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def test_token_files(spark):

@@ -98,7 +98,7 @@ def texts_of(runs: Iterable[Iterable[int]], table: list[bytes]) -> Iterator[str]
 def spans(ids: np.ndarray, table: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """End of each token in bytes, and the number of characters begun by then."""
     parts = [table[i] for i in ids.tolist()]
-    ends = np.cumsum([len(p) for p in parts])
+    ends = np.cumsum([len(p) for p in parts], dtype=np.int64)
     begins = (np.frombuffer(b"".join(parts), np.uint8) & 0xC0) != 0x80
     begun = np.concatenate([[0], np.cumsum(begins)])
     return ends, begun[ends]

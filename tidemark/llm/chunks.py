@@ -11,29 +11,41 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-MOST = 1 << 18  # pieces held by a worker; then it begins anew
+MOST = 1 << 19  # pieces of a generation; a worker holds two
 
 # Python's white space includes all that the split pattern knows, so these are on the safe side.
-_SPACE_AFTER_SPACE = re.compile(r"\s ")
+_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace()]
 _BOUNDARY = re.compile(r"(?<=\S)(?= )")
 
 
 class Pieces(dict):
-    """What a function gives for each piece; filled as pieces come up."""
+    """What a function gives for each piece; filled as pieces come up.
+
+    Pieces that have not come up for a whole generation are forgotten.
+    """
 
     def __init__(self, function: Callable[[str], object], before: str = ""):
         super().__init__()
         self.function, self.before = function, before
+        self.earlier: dict[str, object] = {}
 
     def __missing__(self, piece: str):
-        if len(self) >= MOST:
-            self.clear()
-        made = self.function(self.before + piece)
+        made = self.earlier.get(piece)
+        if made is None:
+            made = self.function(self.before + piece)
         if len(piece) < 64:
+            if len(self) >= MOST:
+                self.earlier = dict(self)
+                self.clear()
             self[piece] = made
         return made
 
 
+def space_after_space(text: str) -> bool:
+    """Whether a space follows white space; most kinds of it are in no text at all."""
+    return any(c in text and c + " " in text for c in _SPACES)
+
+
 _kept: dict[str, object] = {}
 
 
@@ -53,7 +65,7 @@ class Encoder:
         self.spaced = Pieces(function, " ")
 
     def __call__(self, text: str) -> list:
-        if _SPACE_AFTER_SPACE.search(text):
+        if space_after_space(text):
             return list(map(self.whole.__getitem__, _BOUNDARY.split(text)))
         first, *rest = text.split(" ")
         return [self.whole[first], *map(self.spaced.__getitem__, rest)]

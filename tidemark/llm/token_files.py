@@ -12,16 +12,22 @@ A file holds the ids of its documents one after the other, in blocks of BLOCK id
 Numbers are little-endian.  Tasks write files under names of their own; only
 those that the manifest names count, so a task that ran twice leaves nothing that is read.
 
+Texts are encoded as the library does it by a plain call without special tokens: an added token
+of the vocabulary that stands in a text is that token.  Texts are cut into pieces
+(``chunks``), and a piece into matches of the split pattern where its characters are of those
+whose kind all Unicode versions agree on; a match goes to the library's merging alone.
+
 Documents are in ascending doc_id order over all files, a null id first; rows that repeat
 a doc_id are in the order of their texts.  A null text is taken as empty: the end id alone.
 """
 
 from __future__ import annotations
 
+import json
 import struct
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import session
-from tidemark.llm import chunks, common
+from tidemark.llm import byte_bpe, chunks, common
 
 BLOCK = 1024
 PERCENT = 95
@@ -42,14 +48,16 @@ TAIL = "<QQQQ"
 
 def _pack(values: np.ndarray, width: int) -> bytes:
     """The low `width` bits of each value, one after the other."""
-    bits = (values[:, None] >> np.arange(width, dtype=np.uint32)) & np.uint32(1)
-    return np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").tobytes()
+    octets = values.astype("<u4").view(np.uint8).reshape(-1, 4)
+    bits = np.unpackbits(octets, axis=1, count=width, bitorder="little")
+    return np.packbits(bits.ravel(), bitorder="little").tobytes()
 
 
 def _unpack(data: bytes, count: int, width: int) -> np.ndarray:
-    bits = np.unpackbits(np.frombuffer(data, np.uint8), count=count * width, bitorder="little")
-    weights = (np.uint32(1) << np.arange(width, dtype=np.uint32)).astype(np.float64)
-    return (bits.reshape(count, width) @ weights).astype(np.uint32)
+    size = 2 if width <= 16 else 4
+    bits = np.zeros((count, 8 * size), np.uint8)
+    bits[:, :width] = np.unpackbits(np.frombuffer(data, np.uint8), count=count * width, bitorder="little").reshape(count, width)
+    return np.packbits(bits.ravel(), bitorder="little").view(f"<u{size}").astype(np.uint32)
 
 
 def encode_block(ids: np.ndarray) -> bytes:
@@ -166,6 +174,53 @@ class Reader:
             yield doc, take(count)
 
 
+# The split pattern of byte-level vocabularies, and settings that go with it.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+PLAIN = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+OLD = "\u024f"  # characters up to here have long been letters, digits, spaces or none of them
+
+
+def encoder(definition: str) -> Callable[[str], Iterable[bytes]]:
+    """Gives a text's ids in parts, 32 bits each, as the tokenizer of that definition has them."""
+    import regex
+    from tokenizers import Tokenizer
+
+    tokenizer, described = Tokenizer.from_str(definition), json.loads(definition)
+
+    def whole(text: str) -> bytes:
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+
+    added = [t["content"] for t in described["added_tokens"]]
+    split = described["pre_tokenizer"] or {}
+    if any(regex.search(r"\s", t) for t in added) or any(split.get(k) != v for k, v in PLAIN.items()):
+        return lambda text: [whole(text)]
+    if described["normalizer"] is not None or described["model"]["type"] != "BPE":
+        return chunks.Encoder(whole)
+    spelt = dict(enumerate(byte_bpe.byte_characters()))
+    model, matches = tokenizer.model, regex.compile(SPLIT)
+
+    def ids(match: str) -> bytes:
+        tokens = model.tokenize(match)
+        return struct.pack(f"={len(tokens)}I", *[t.id for t in tokens])
+
+    known = chunks.Pieces(lambda match: ids(match.encode().decode("latin-1").translate(spelt)))
+    space = spelt[ord(" ")]
+    words = not any(t.isalpha() for t in added)  # no added token is a mere word
+
+    def piece(text: str) -> bytes:
+        word = text.removeprefix(" ")
+        if words and word.isascii() and word.isalpha():
+            # One match, and letters stand for themselves.
+            return ids(space + word if len(word) < len(text) else word)
+        if not text:
+            return b""
+        if max(text) > OLD or any(t in text for t in added):
+            return whole(text)
+        return b"".join(map(known.__getitem__, matches.findall(text)))
+
+    return chunks.Encoder(piece)
+
+
 def write(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode and write all documents; the manifest: part, path, docs, ids, start."""
     spark = docs.sparkSession
@@ -177,18 +232,7 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_
     common.ship(spark)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def tools() -> chunks.Encoder:
-            from tokenizers import Tokenizer
-
-            tokenizer = Tokenizer.from_str(definition.value)
-            tokenizer.encode_special_tokens = True
-
-            def piece(text: str) -> bytes:
-                return np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
-
-            return chunks.Encoder(piece)
-
-        encode = chunks.kept(f"files {zlib.crc32(definition.value.encode())}", tools)
+        encode = chunks.kept(f"files {zlib.crc32(definition.value.encode())}", lambda: encoder(definition.value))
         end = np.array([end_id], np.uint32).tobytes()
         task = TaskContext.get()
         name = f"ids-{task.partitionId():06d}-{uuid.uuid4().hex}.pfor"
