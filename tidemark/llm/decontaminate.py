@@ -1,10 +1,10 @@
 """Find benchmark items in documents: windows of ten words, with DataFrame functions only.
 
 Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after A-Z are lower-cased.  An item's windows
-are its runs of ten words, or all its words if it has fewer.  The items' windows are broadcast up
-to MOST of them, as a hash set by their longest word, and joined by a shuffle beyond.  Each
-word of a document is looked up there; where it is the longest word of a window, the words
-around it are compared with the window's.
+are its runs of ten words, or all its words if it has fewer.  Their hashes are a set that is
+broadcast, up to MOST of them, and joined by a shuffle beyond.  Every window of a document, of
+ten words and of each shorter length that an item has, is hashed and looked up in the set; only
+its place and hash go on.  Where hashes are met, the texts are read again and the words compared.
 
 Documents and items that are null or without words have no windows.  Rows that repeat a
 doc_id count by themselves unless their texts are equal, when they get the same result.
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import common
 
 WINDOW = 10
-MOST = 500_000  # windows that are broadcast, about 300 bytes each
+MOST = 500_000  # windows whose hashes are broadcast, 12 bytes each
 
 # What stands between words, and the characters of a word before lower-casing.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -53,17 +53,26 @@ def count_words(text: Column) -> Column:
 
 
 def windows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows (item_id, length, run, word, place): windows, and their longest word's place from 0."""
+    """Rows (item_id, length, run, hash): the items' windows."""
     listed = items.select(F.col(id_col).alias("item_id"), words(F.col(text_col)).alias("w")).where("size(w) > 0")
     listed = listed.withColumn("length", F.least(F.size("w"), F.lit(WINDOW)))
     starts = F.sequence(F.lit(1), F.size("w") - F.col("length") + 1)
     runs = listed.select("item_id", "length", F.explode(F.transform(starts, lambda i: F.slice("w", i, F.col("length")))).alias("run"))
-    # Of several longest words, the first in the alphabet; any choice that follows from the
-    # window alone would do, and long words are seldom frequent.
-    sizes = F.transform("run", lambda w: F.struct((-F.length(w)).alias("short"), w.alias("word")))
-    word = F.array_min(sizes)["word"]
-    anchored = runs.distinct().withColumn("word", word)
-    return anchored.withColumn("place", F.array_position("run", F.col("word")).cast("int") - 1)
+    return runs.distinct().withColumn("hash", F.xxhash64("run"))
+
+
+def _hashed(docs: DataFrame, lengths: list[int], text_col: str) -> DataFrame:
+    """Rows (doc_id, mark, length, at, hash): every window of those lengths of every text."""
+    texts = docs.select("doc_id", "mark", F.explode(F.array(words(F.col(text_col)))).alias("w"))
+
+    def hashes(length: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size("w") - length + 1, F.lit(1)))
+        found = F.transform(starts, lambda i: F.xxhash64(F.slice("w", i, F.lit(length))))
+        return F.struct(F.lit(length).alias("length"), F.when(F.size("w") >= length, found).alias("hashes"))
+
+    by_length = texts.select("doc_id", "mark", F.inline(F.array(*map(hashes, lengths))))
+    spread = by_length.select("doc_id", "mark", "length", F.posexplode("hashes").alias("i", "hash"))
+    return spread.select("doc_id", "mark", "length", (F.col("i") + 1).alias("at"), "hash")
 
 
 def hits(
@@ -78,23 +87,31 @@ def hits(
 
     `mark` is a hash of the text; it tells rows with one doc_id apart.
     """
-    found = common.store(windows(items, item_id_col, item_text_col), "windows")
-    if found.count() <= MOST:
-        found = F.broadcast(found)
-    texts = docs.where(F.col(text_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.xxhash64(text_col).alias("mark"),
-        # The array of one holds the words: a filter that the optimizer infers for the next
-        # generator would otherwise find them again, twice.
-        F.explode(F.array(split_words(lower_ascii(F.col(text_col))))).alias("w"),
+    known = common.store(windows(items, item_id_col, item_text_col), "windows")
+    lengths = sorted(r["length"] for r in known.select("length").distinct().collect())  # WINDOW at most
+    texts = docs.where(F.col(f"`{text_col}`").isNotNull()).select(
+        F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+        F.xxhash64(F.col(f"`{text_col}`")).alias("mark"),
+        F.col(f"`{text_col}`").alias("text"),
+    )
+    if not lengths:
+        return texts.select("doc_id", "mark", F.lit(0).alias("at"), F.lit(0).alias("length"), F.lit(None).alias("item_id")).limit(0)
+    wanted = known.select("length", "hash").distinct()
+    if known.count() <= MOST:
+        wanted = F.broadcast(wanted)
+    met = common.store(_hashed(texts, lengths, "text").join(wanted, ["length", "hash"]).distinct(), "windows-met")
+    # Whether the words are the same: only texts in which a hash was met are read for that.
+    where = met.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("at", "length", "hash")).alias("met"))
+    where = where.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "met")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))
+    found = texts.join(where, same).select("doc_id", "mark", "met", F.explode(F.array(words(F.col("text")))).alias("w"))
+    runs = F.transform("met", lambda m: F.struct(m["at"], m["length"], m["hash"], F.slice("w", m["at"], m["length"]).alias("run")))
+    return (
+        found.select("doc_id", "mark", F.inline(runs))
+        .join(known.select("item_id", "hash", "run"), ["hash", "run"])
+        .select("doc_id", "mark", "at", "length", "item_id")
+        .distinct()
     )
-    spread = texts.select("doc_id", "mark", "w", F.posexplode("w").alias("i", "word"))
-    start = F.col("i") - F.col("place") + 1  # a piece before the first word counts here
-    met = spread.join(found, "word").where((start >= 1) & (start + F.col("length") - 1 <= F.size("w")))
-    # Greatest keeps the slice valid where the filter has not been applied yet.
-    run = F.slice("w", F.greatest(start, F.lit(1)), F.col("length"))
-    at = start - (F.element_at("w", 1) == "").cast("int")
-    return met.where(run == F.col("run")).select("doc_id", "mark", at.alias("at"), "length", "item_id")
 
 
 def reported(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -126,11 +143,18 @@ def reported(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
     )
 
 
+def _of(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Column]:
+    """The found rows with names that the documents don't have, and when one is of a document."""
+    own_id, own_mark = common.unused(docs, "_id", "_mark")
+    found = found.withColumnsRenamed({"doc_id": own_id, "mark": own_mark})
+    same_id = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(own_id))
+    return found, same_id & (F.xxhash64(F.col(f"`{text_col}`")) == F.col(own_mark))
+
+
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents in which no window of an item occurs, as they are."""
     met = common.store(hits(docs, items, id_col, text_col).select("doc_id", "mark").distinct(), "contaminated")
-    met = met.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_mark"))
+    met, same = _of(docs, met, id_col, text_col)
     return docs.join(met, same, "left_anti")
 
 
@@ -139,17 +163,18 @@ def without_spans(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
     Only the text changes, and only that of contaminated documents.
     """
+    hit, places = common.unused(docs, "_hit", "_places")
     met = hits(docs, items, id_col, text_col).groupBy("doc_id", "mark")
     covered = F.transform(F.collect_set(F.struct("at", "length")), lambda r: F.sequence(r["at"], r["at"] + r["length"] - 1))
-    met = common.store(met.agg(F.array_distinct(F.flatten(covered)).alias("_hit")), "contaminated")
-    met = met.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "_hit")
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_mark"))
+    met = common.store(met.agg(F.array_distinct(F.flatten(covered)).alias(hit)), "contaminated")
+    met, same = _of(docs, met, id_col, text_col)
+    text = F.col(f"`{text_col}`")
     # The text before the first word, then each word with what follows it.
     piece = WORD_ANY_CASE + r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"
-    head = F.regexp_extract(text_col, r"^[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*", 0)
-    pieces = F.regexp_extract_all(F.col(text_col), F.lit(piece), F.lit(0))
-    hit = F.map_from_arrays("_hit", F.array_repeat(F.lit(True), F.size("_hit")))
-    kept = F.filter(pieces, lambda p, i: F.element_at(F.col("_map"), i + 1).isNull())
-    joined = docs.join(met, same, "left").withColumn("_map", F.when(F.col("_hit").isNotNull(), hit))
-    changed = F.when(F.col("_hit").isNull(), F.col(text_col)).otherwise(F.concat(head, F.array_join(kept, "")))
-    return joined.withColumn(text_col, changed).select(docs.columns)
+    head = F.regexp_extract(text, r"^[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*", 0)
+    pieces = F.regexp_extract_all(text, F.lit(piece), F.lit(0))
+    known = F.map_from_arrays(hit, F.array_repeat(F.lit(True), F.size(hit)))
+    kept = F.filter(pieces, lambda p, i: F.element_at(F.col(places), i + 1).isNull())
+    joined = docs.join(met, same, "left").withColumn(places, F.when(F.col(hit).isNotNull(), known))
+    changed = F.when(F.col(hit).isNull(), text).otherwise(F.concat(head, F.array_join(kept, "")))
+    return joined.withColumn(text_col, changed).select([F.col(f"`{c}`") for c in docs.columns])
