@@ -1,15 +1,21 @@
 """Secrets in texts: three fixed patterns, and runs of characters that look random.
 
 The patterns' matches are leftmost and do not overlap within a kind; those that are too
-short are dropped.  Kind `markov` adds candidates by two first-order character models,
-one of random strings and one of ordinary identifiers: a candidate is a span if its
-log-likelihood ratio per character is above THRESHOLD and no base span overlaps it.
-The models are trained from labelled samples of the corpus: what the patterns found is
-random; other words are ordinary.  Both samples are the least by hash, SAMPLE rows at most.
-
-Everything is DataFrame functions.  Positions count code points.  Matches are one row each
-until they are put together per document, so a text with very many is no harder.
-A null text is empty.  Rows that repeat a doc_id count by themselves.
+short are dropped.  Kind `markov` adds spans by two first-order character models, one of
+random strings and one of ordinary words and identifiers.  A candidate is any run of LEAST
+letters, digits and `+/_-` or more, with the `=` that may end it; nothing else is asked of it.
+It is a span if the log-likelihood ratio of its steps adds up to more than ODDS, and no
+base span overlaps it.
+
+The models are trained on the whole corpus: what the patterns found is random, at most SAMPLE
+values of a kind, the least by hash; all other words are ordinary, each counted once.
+Both are mixed with a uniform choice of characters, so that no step decides by itself.
+
+Everything is DataFrame functions.  Words are scored in the row of their text; only texts with a
+find are taken apart.  Positions count code points.  Matches are one row each until they are
+put together per document, so a text with very many is no harder.  A null text is empty.  Rows
+that repeat a doc_id count by themselves, but for equal texts, which have the same result.  Columns
+other than id and text are not read.
 """
 
 from __future__ import annotations
@@ -32,12 +38,14 @@ BASE = [
     ("access", r"AKIA[A-Z0-9]+", 0, 16),
     ("hex", r"[0-9a-f]{32,}", 0, 32),
 ]
-CANDIDATE = ("markov", r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{20,}", 0, 20)
+LEAST = 8
+CANDIDATE = ("markov", r"[A-Za-z0-9+/_-]{8,}={0,2}", 0, LEAST)
 KINDS = [kind for kind, *_ in BASE] + ["markov"]
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SAMPLE = 20_000
-THRESHOLD = 0.5
+ODDS = 5.0  # logarithm: about one in 150 is taken to be random beforehand
 SMOOTHING = 0.5
+UNIFORM = {"random": 0.5, "ordinary": 0.05}  # share of a uniform choice in each model
 
 
 def _matches(texts: DataFrame, kinds: list[tuple]) -> DataFrame:
@@ -74,60 +82,68 @@ def _matches(texts: DataFrame, kinds: list[tuple]) -> DataFrame:
     )
 
 
-def _pairs(values: DataFrame, name: str) -> DataFrame:
-    """How often each character follows each, in a sample of values."""
-    sample = values.select("value").distinct().orderBy(F.xxhash64("value"), "value").limit(SAMPLE)
+def _pairs(values: DataFrame) -> dict[str, int]:
+    """How often each character of the alphabet follows each, in the values; a row a pair at most."""
     steps = F.sequence(F.lit(1), F.length("value") - 1)
     two = F.transform(steps, lambda i: F.substring(F.col("value"), i, F.lit(2)))
-    pairs = sample.where("length(value) > 1").select(F.explode(two).alias("two"))
-    return pairs.groupBy("two").agg(F.count("*").alias(name))
+    pairs = values.where("length(value) > 1").select(F.explode(two).alias("two"))
+    known = pairs.where(F.col("two").rlike(r"^[A-Za-z0-9+/_=-]{2}$")).groupBy("two").agg(F.count("*").alias("k"))
+    return {r["two"]: r["k"] for r in known.collect()}
 
 
 def train(base: DataFrame, texts: DataFrame) -> list[float]:
-    """Log-likelihood ratios of random over ordinary, by pair of characters in the alphabet.
-
-    At most one row per pair comes to the driver.
-    """
-    few = texts.orderBy(F.xxhash64("doc_id", "mark"), "doc_id").limit(SAMPLE // 4)
-    words = few.select(F.explode(F.regexp_extract_all("t", F.lit("[A-Za-z0-9_-]{4,}"), F.lit(0))).alias("value"))
-    words = words.join(base.select("value").distinct(), "value", "left_anti")
-    counts = {}
-    for label, values in (("random", base), ("ordinary", words)):
-        rows = _pairs(values, "k").collect()
-        counts[label] = {r["two"]: r["k"] for r in rows}
-    weights = []
-    for a in ALPHABET:
-        logs = []
-        for label in ("random", "ordinary"):
-            row = [counts[label].get(a + b, 0) + SMOOTHING for b in ALPHABET]
-            logs.append([math.log(x / sum(row)) for x in row])
-        weights += [r - o for r, o in zip(*logs, strict=True)]
-    return weights
+    """Log-likelihood ratios of random over ordinary, by pair of characters in the alphabet."""
+    values = base.select("kind", F.regexp_replace("value", r"[^A-Za-z0-9+/_=-]", "").alias("value")).distinct()
+    values = common.store(values, "base-values")
+    samples = [
+        values.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(SAMPLE) for kind, *_ in BASE
+    ]
+    random = samples[0].unionAll(samples[1]).unionAll(samples[2])
+    words = texts.select(F.explode(F.regexp_extract_all("t", F.lit("[A-Za-z0-9_-]{4,}"), F.lit(0))).alias("value"))
+    # Counted before they are dealt out, so a frequent word is one row of each task.
+    words = words.groupBy("value").count().select("value").join(values.select("value").distinct(), "value", "left_anti")
+    logs = {}
+    for label, found in (("random", _pairs(random)), ("ordinary", _pairs(words))):
+        share = UNIFORM[label]
+        for a in ALPHABET:
+            row = [found.get(a + b, 0) + SMOOTHING for b in ALPHABET]
+            for b, x in zip(ALPHABET, row, strict=True):
+                logs[label, a + b] = math.log((1 - share) * x / sum(row) + share / len(ALPHABET))
+    return [logs["random", a + b] - logs["ordinary", a + b] for a in ALPHABET for b in ALPHABET]
 
 
 def score(value: Column, weights: list[float]) -> Column:
-    """Mean log-likelihood ratio of a value's steps."""
+    """Log-likelihood ratio of a value's steps; its characters are of the alphabet."""
     # A folded constant: one array for the whole query.
     table = F.split(F.lit(",".join(f"{w:.6f}" for w in weights)), ",").cast("array<double>")
     n = len(ALPHABET)
+    codes = F.transform(
+        F.sequence(F.lit(1), F.length(value)), lambda i: F.instr(F.lit(ALPHABET), F.substring(value, i, F.lit(1)))
+    )
+    start = F.struct(F.lit(0.0).alias("total"), F.lit(0).alias("last"))
 
-    def step(total: Column, i: Column) -> Column:
-        a = F.instr(F.lit(ALPHABET), F.substring(value, i, F.lit(1)))
-        b = F.instr(F.lit(ALPHABET), F.substring(value, i + 1, F.lit(1)))
-        return total + F.element_at(table, (a - 1) * n + b)
+    def step(so_far: Column, code: Column) -> Column:
+        gain = F.when(so_far["last"] > 0, F.get(table, (so_far["last"] - 1) * n + code - 1)).otherwise(F.lit(0.0))
+        return F.struct((so_far["total"] + gain).alias("total"), code.alias("last"))
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(value) - 1), F.lit(0.0), step) / (F.length(value) - 1)
+    return F.aggregate(codes, start, step, lambda s: s["total"])
 
 
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (doc_id, mark, kind, start, end): base spans and those that the models add."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("t"))
-    all_found = common.store(_matches(texts, [*BASE, CANDIDATE]), "matches")
-    base = all_found.where(F.col("kind") != "markov")
-    weights = train(base.withColumn("value", F.regexp_replace("value", r"[^A-Za-z0-9+/_=-]", "")), texts)
-    ratio = score(F.col("value"), weights)
-    added = all_found.where((F.col("kind") == "markov") & (F.length("value") > 1)).where(ratio > THRESHOLD)
+    base = common.store(_matches(texts, BASE), "matches")
+    weights = train(base, texts)
+    words = F.array_distinct(F.regexp_extract_all("t", F.lit(CANDIDATE[1]), F.lit(0)))
+    odd = texts.select("*", F.filter(words, lambda w: score(w, weights) > ODDS).alias("odd")).where(F.size("odd") > 0)
+    odd = common.store(odd, "texts-with-finds")
+    listed = odd.select("doc_id", "mark", F.explode("odd").alias("value")).distinct()
+    added = _matches(odd, [CANDIDATE]).join(
+        listed.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("value").alias("_value")),
+        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")) & (F.col("value") == F.col("_value")),
+        "left_semi",
+    )
     both = base.unionAll(added).drop("value")
     place = Window.partitionBy("doc_id", "mark").orderBy("start", "end", "kind")
     before = F.max(F.when(F.col("kind") != "markov", F.col("end"))).over(place.rowsBetween(Window.unboundedPreceding, -1))
