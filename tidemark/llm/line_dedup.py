@@ -10,7 +10,7 @@ earlier, in whichever document, are deleted, and no shorter run ever is.
 
 Of each deleted line an equal one stays.  Lines are compared as they are.  A null text stays
 null.  A null doc_id comes first.  Rows that repeat a doc_id are told apart by their text; rows
-equal in both are one document.  A document that is wholly deleted keeps its row, with empty text.
+equal in both are one document.  A column n_deleted of the input gives way to the result's.  A document that is wholly deleted keeps its row, with empty text.
 """
 
 from __future__ import annotations
@@ -156,9 +156,11 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     described = common.store(_described(docs, id_col, text_col), "lines")
     lost = common.store(_matches(described), "repeated-lines")
     common.free(docs.sparkSession)
-    lost = lost.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("deleted").alias("_deleted"))
-    slot = F.pmod(F.xxhash64(F.col(text_col)), F.lit(common.BITS))
-    bits = docs.sparkSession.sparkContext.broadcast(common.bitmap_of(lost.select((F.pmod("_mark", F.lit(common.BITS))).alias("slot"))))
+    own_id, own_mark, own_slot, gone = common.unused(docs, "_id", "_mark", "_slot", "_deleted")
+    lost = lost.select(F.col("doc_id").alias(own_id), F.col("mark").alias(own_mark), F.col("deleted").alias(gone))
+    text = F.col(f"`{text_col}`")
+    slot = F.pmod(F.xxhash64(text), F.lit(common.BITS))
+    bits = docs.sparkSession.sparkContext.broadcast(common.bitmap_of(lost.select((F.pmod(own_mark, F.lit(common.BITS))).alias("slot"))))
 
     def split(chosen: bool) -> DataFrame:
         """Rows whose text may have been found, or those whose text has certainly not."""
@@ -167,13 +169,13 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             mask = common.perhaps(bits.value, batch.column(0).to_numpy())
             yield batch.select(range(1, batch.num_columns)).filter(pa.array(mask == chosen, pa.bool_()))
 
-        return common.in_batches(docs.select(slot.alias("_slot"), *docs.columns), run, docs.schema, rows=1024)
+        return common.in_batches(docs.select(slot.alias(own_slot), "*"), run, docs.schema, rows=1024)
 
     # Only texts that may lose lines are shuffled.
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_mark"))
-    left = F.filter(F.split(text_col, "\n", -1), lambda line, i: ~F.array_contains("_deleted", i))
+    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(own_id)) & (F.xxhash64(text) == F.col(own_mark))
+    left = F.filter(F.split(text, "\n", -1), lambda line, i: ~F.array_contains(gone, i))
     changed = split(True).join(lost, same, "left")
-    changed = changed.withColumn(text_col, F.when(F.col("_deleted").isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n")))
-    changed = changed.withColumn("n_deleted", F.coalesce(F.size("_deleted"), F.lit(0)).cast("long"))
-    columns = [*docs.columns, "n_deleted"]
+    changed = changed.withColumn(text_col, F.when(F.col(gone).isNull(), text).otherwise(F.array_join(left, "\n")))
+    changed = changed.withColumn("n_deleted", F.coalesce(F.size(gone), F.lit(0)).cast("long"))
+    columns = [*[F.col(f"`{c}`") for c in docs.columns if c != "n_deleted"], F.col("n_deleted")]
     return changed.select(columns).unionAll(split(False).withColumn("n_deleted", F.lit(0).cast("long")).select(columns))

@@ -80,6 +80,11 @@ def _text(value: object) -> str:
     return "".join(c if c >= " " else f"%{ord(c):02X}" for c in str(value))
 
 
+def record_id(page_id: int | None, digest: str) -> str:
+    """The id of a page's record, as it follows from the page and its payload."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {digest}')}>"
+
+
 def record(page_id: int | None, url: str | None, html: str, digest: str, refers_to: int | None, date: str) -> bytes:
     """A WARC record; a revisit has the same headers and no payload."""
     payload = html.encode()
@@ -88,7 +93,7 @@ def record(page_id: int | None, url: str | None, html: str, digest: str, refers_
     headers = [
         "WARC/1.1",
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-        f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {url} {digest}')}>",
+        f"WARC-Record-ID: {record_id(page_id, digest)}",
         f"WARC-Date: {date}",
         f"WARC-Target-URI: {_text(url or '')}",
         f"WARC-Payload-Digest: sha1:{digest}",
@@ -96,7 +101,8 @@ def record(page_id: int | None, url: str | None, html: str, digest: str, refers_
         f"Payload-Length: {len(payload)}",
     ]
     if refers_to is not None:
-        headers += [f"WARC-Profile: {SAME_PAYLOAD}", f"WARC-Refers-To: <urn:page:{refers_to}>"]
+        headers += [f"WARC-Profile: {SAME_PAYLOAD}", f"WARC-Refers-To: {record_id(refers_to, digest)}"]
+        headers += [f"Refers-To-Page-Id: {refers_to}"]
     headers += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(headers).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -117,7 +123,7 @@ def parsed(data: bytes) -> dict:
         "url": fields["WARC-Target-URI"],
     }
     if found["record_type"] == "revisit":
-        found["refers_to"] = int(fields["WARC-Refers-To"].removeprefix("<urn:page:").rstrip(">"))
+        found["refers_to"] = int(fields["Refers-To-Page-Id"])
     else:
         found["payload_bytes"] = len(payload)
         found["payload_digest"] = hashlib.sha1(payload).hexdigest()
