@@ -65,6 +65,8 @@ def start_changelog(
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        conf = spark.conf
+        usual = conf.get(session.SHUFFLE_PARTITIONS)
         batch = batch.persist()
         try:
             with session.scratch(spark):
@@ -73,6 +75,9 @@ def start_changelog(
                 fresh = fresh.select(key, *[F.col(c).alias(f"new_{c}") for c in ("total", "values")], "records")
                 after = batch.where("record IS NULL").select(key, "total", "values")
                 known = session.written(after.join(fresh, key), "totals")
+                # The query's partitions are for its state; a large batch is cut into more.
+                found = known.agg(F.sum("records")).first()[0] or 0
+                conf.set(session.SHUFFLE_PARTITIONS, str(max(int(usual), found // BLOCK)))
                 start = known.where(F.col("values") > F.col("new_values")).select(
                     key, (F.col("total") - F.coalesce("new_total", F.lit(0))).alias(value)
                 )
@@ -82,6 +87,7 @@ def start_changelog(
                 )
                 Results(spark, f"{root}/changelog").write(updates, batch_id)
         finally:
+            conf.set(session.SHUFFLE_PARTITIONS, usual)
             batch.unpersist()
 
     return sinks.start(
