@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.running import running
+from tidemark.operators.running import running, running_in_blocks
 from tidemark.operators.stateless import with_key
 
 
@@ -69,6 +69,22 @@ def changelog(
     )
 
 
+def changelog_in_blocks(
+    df: DataFrame,
+    how: str = "sum",
+    key: str = "key",
+    value: str = "value",
+    out: str = "value",
+    order: Sequence[str] = ("partition", "offset"),
+    *,
+    blocks: Sequence[str],
+    parts: int,
+) -> DataFrame:
+    """``changelog`` of records laid out by blocks of their order (``running_in_blocks``)."""
+    source = None if how == "count" else value
+    return running_in_blocks(with_key(df, key), [key], order, {out: (how, source)}, blocks=blocks, parts=parts)
+
+
 def compact(
     changes: DataFrame, order: Sequence[str], key: str = "key", value: str = "value"
 ) -> DataFrame:

@@ -157,3 +157,55 @@ def running(
             for n, (how, _) in measures.items()
         ],
     )
+
+
+def running_in_blocks(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    measures: Mapping[str, tuple[str, str | None]],
+    *,
+    blocks: Sequence[str],
+    parts: int,
+) -> DataFrame:
+    """``running`` over records that lie in blocks already: no record is moved.
+
+    ``blocks`` are columns that cut the order into stretches, and ``df`` is laid out by
+    ``repartition(parts, *blocks)``, so that a task has whole blocks with the records of all
+    keys.  What is shuffled are totals per (key, block): to their keys, where a window adds up
+    what lies before each block, and back to the blocks, as a row before the key's first
+    record.  No task sees more than its blocks, or than a key's block totals.
+    """
+    keys, order, blocks = list(keys), list(order), list(blocks)
+    for name in order:
+        missing = F.raise_error(F.lit(f"{name} is null: these records have no order"))
+        df = df.withColumn(name, F.coalesce(name, missing.cast(df.schema[name].dataType)))
+
+    def entering(how: str, column: str | None) -> Column:
+        return F.lit(1).cast("bigint") if how == "count" else F.col(column)
+
+    entered = {n: f"__in_{n}" for n in measures}
+    records = df.select(
+        *[c for c in df.columns if c not in measures],
+        F.lit(True).alias("__record"),
+        *[entering(*m).alias(entered[n]) for n, m in measures.items()],
+    )
+    folds = {n: _PARTIALS[how] for n, (how, _) in measures.items()}
+    totals = records.groupBy(*blocks, *keys).agg(*[fold(entered[n]).alias(n) for n, fold in folds.items()])
+    earlier = Window.partitionBy(*keys).orderBy(*blocks).rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select(
+        *keys,
+        *blocks,
+        F.lit(False).alias("__record"),
+        *[fold(n).over(earlier).alias(entered[n]) for n, fold in folds.items()],
+    )
+    known = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in entered.values()])
+    laid = before.where(known).repartition(parts, *blocks)
+    inside = (
+        Window.partitionBy(*blocks, *keys)
+        .orderBy("__record", *order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    both = records.unionByName(laid, allowMissingColumns=True)
+    found = both.withColumns({n: fold(entered[n]).over(inside) for n, fold in folds.items()})
+    return found.where("__record").select(*[c for c in df.columns if c not in [*measures, *blocks]], *measures)

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark import session
-from tidemark.operators.aggregates import changelog, grouped
+from tidemark.functions.durations import floor_div
+from tidemark.operators.aggregates import changelog_in_blocks, grouped
 from tidemark.operators.running import HOT
 from tidemark.operators.stateless import tokenize
 from tidemark.streaming import sinks
@@ -33,24 +33,29 @@ def count_changes(
 ) -> DataFrame:
     """One row per word read, in record order, with the word's count at that point.
 
-    The words are stored first, so that each text is split once.  Words with more than
-    ``limit`` records are cut into blocks; a block is as many texts as hold about BLOCK
-    words on average, and so no more records of one word.
+    A text is much smaller than its words with their places, so texts are moved and words
+    are not: texts are laid out in blocks of their order, split there, and only each block's
+    counts meet those of the other blocks.  A block is as many texts as hold about BLOCK words
+    on average, or fewer, so that the most frequent word has about ``limit`` records in it.
     """
-    words = session.written(tokenize(lines, value, keep=order, word="key"), "words")
-    # One pass for both: a text with words has one in place 0, even if that is the empty word.
+    words = tokenize(lines, value, word="key")
+    # One pass for all: a text with words has one in place 0, even if that is the empty word.
     begun = F.count_if(F.col("pos") == 0).alias("texts")
-    counted = session.written(words.groupBy("key").agg(F.count(F.lit(1)).alias("words"), begun), "counted-words")
-    hot = session.written(counted.where(F.col("words") > limit).select("key"), "hot-words")
-    found = counted.agg(F.sum("words").alias("words"), F.sum("texts").alias("texts")).first()
-    width = max(1, min(limit, BLOCK) * (found["texts"] or 0) // max(1, found["words"] or 0))
-    return changelog(
-        words,
+    counted = words.groupBy("key").agg(F.count(F.lit(1)).alias("words"), begun)
+    sums = [F.sum("words").alias("words"), F.sum("texts").alias("texts"), F.max("words").alias("most")]
+    found = counted.agg(*sums).first().asDict()
+    total, texts, most = (found[name] or 0 for name in ("words", "texts", "most"))
+    width = max(1, min(BLOCK, limit * total // max(1, most)) * texts // max(1, total))
+    *lead, number = order
+    blocks = {f"__lead{i}": F.col(name) for i, name in enumerate(lead)} | {"__block": floor_div(F.col(number), width)}
+    parts = max(lines.sparkSession.sparkContext.defaultParallelism, 2 * total // BLOCK)
+    laid = lines.select(*order, value).withColumns(blocks).repartition(parts, *blocks)
+    return changelog_in_blocks(
+        tokenize(laid, value, keep=[*order, *blocks], word="key"),
         how="count",
         order=[*order, "pos"],
-        block_on=order[-1],
-        widths=(width, width * 1024),
-        hot=hot,
+        blocks=list(blocks),
+        parts=parts,
     )
 
 
