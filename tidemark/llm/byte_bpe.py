@@ -160,7 +160,7 @@ def encoded(
     if with_spans:
         schema += ", byte_ends array<long>, char_ends array<long>"
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return common.in_batches(picked, run, schema, rows=256)
+    return common.in_batches(picked, run, schema, rows=256, keeps=True)
 
 
 def decoded(tokens: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
