@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark import session
 from tidemark.functions.durations import floor_div
 from tidemark.operators.aggregates import changelog_in_blocks, grouped
 from tidemark.operators.running import HOT
@@ -50,13 +51,15 @@ def count_changes(
     blocks = {f"__lead{i}": F.col(name) for i, name in enumerate(lead)} | {"__block": floor_div(F.col(number), width)}
     parts = max(lines.sparkSession.sparkContext.defaultParallelism, 2 * total // BLOCK)
     laid = lines.select(*order, value).withColumns(blocks).repartition(parts, *blocks)
-    return changelog_in_blocks(
+    found = changelog_in_blocks(
         tokenize(laid, value, keep=[*order, *blocks], word="key"),
         how="count",
         order=[*order, "pos"],
         blocks=list(blocks),
         parts=parts,
     )
+    # Stored, so that a reader of the result splits no text again.
+    return session.written(found, "word-changes")
 
 
 def start_changes(
