@@ -34,6 +34,17 @@ def test_pieces_give_what_the_library_gives():
         assert ids == plain.encode(text, add_special_tokens=False).ids, text
 
 
+def test_words_are_known_whatever_marks_follow():
+    with open(PATH, encoding="utf-8") as file:
+        encode = token_files.encoder(file.read())
+    plain = Tokenizer.from_file(PATH)
+    lines = "x\n" * 5000 + "y"
+    odd = [" a.\nB\nc d", "a \nb c", "a\u3000\nb c", "\u65e5\n\u672c. a", "a'. b.' c!'s", lines]
+    for text in ["x lorem, naïve. ipsum.\nDolor sit", *odd]:
+        assert np.frombuffer(b"".join(encode(text)), np.uint32).tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert {"lorem", "naïve", "ipsum"} <= encode.spaced.keys() and {"Dolor"} <= encode.whole.keys()
+
+
 def test_added_tokens_with_spaces_are_not_cut():
     with open(PATH, encoding="utf-8") as file:
         definition = json.loads(file.read())

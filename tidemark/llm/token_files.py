@@ -28,6 +28,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -177,6 +178,7 @@ class Reader:
 # The split pattern of byte-level vocabularies, and settings that go with it.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PLAIN = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+MARKS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'  # ASCII characters that are none of them, but for the apostrophe
 OLD = "\u024f"  # characters up to here have long been letters, digits, spaces or none of them
 
 
@@ -207,18 +209,37 @@ def encoder(definition: str) -> Callable[[str], Iterable[bytes]]:
     space = spelt[ord(" ")]
     words = not any(t.isalpha() for t in added)  # no added token is a mere word
 
+    def begun(text: str, core: str) -> bytes:
+        """Ids of a core, after a space if the text begins with one."""
+        return encode.spaced[core] if text[0] == " " else encode.whole[core]
+
     def piece(text: str) -> bytes:
         word = text.removeprefix(" ")
-        if words and word.isascii() and word.isalpha():
-            # One match, and letters stand for themselves.
-            return ids(space + word if len(word) < len(text) else word)
+        if words and word.isalpha():
+            # One match, and ASCII letters stand for themselves.
+            if word.isascii():
+                return ids(space + word if len(word) < len(text) else word)
+            if max(word) <= OLD:
+                return ids(text.encode().decode("latin-1").translate(spelt))
         if not text:
             return b""
-        if max(text) > OLD or any(t in text for t in added):
+        if any(t in text for t in added):
+            return whole(text)
+        core = word.rstrip(MARKS)
+        if len(core) < len(word) and core.isalpha() and max(core) <= OLD:
+            # Two matches: a word, which may be known by itself, and marks.
+            return begun(text, core) + known[word[len(core) :]]
+        lines = text.split("\n")
+        if len(lines) > 1 and all(lines) and not any(a[-1].isspace() or b[0].isspace() for a, b in pairwise(lines)):
+            # A line's end between others is a match of its own.
+            rest = [end + encode.whole[line] for line in lines[1:]]
+            return b"".join([begun(lines[0], lines[0].removeprefix(" ")), *rest])
+        if max(text) > OLD:
             return whole(text)
         return b"".join(map(known.__getitem__, matches.findall(text)))
 
-    return chunks.Encoder(piece)
+    encode, end = chunks.Encoder(piece), known["\n"]
+    return encode
 
 
 def write(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
