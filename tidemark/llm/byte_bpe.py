@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import chunks, common
 
+MOST = 1 << 18  # pieces of a generation: about 40 MB
+
 
 def byte_characters() -> list[str]:
     """The character that stands for each byte."""
@@ -104,6 +106,22 @@ def spans(ids: np.ndarray, table: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return ends, begun[ends]
 
 
+def tools(definition: str) -> tuple[chunks.Encoder, list[bytes], list[str]]:
+    """What a worker keeps: the encoder, and the bytes and the decimal number of each id.
+
+    Of a piece only its ids are kept, 32 bits each: a worker meets new ones without end.
+    """
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_str(definition)
+
+    def piece(text: str) -> bytes:
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+
+    table = byte_table(tokenizer)
+    return chunks.Encoder(piece, MOST), table, list(map(str, range(len(table))))
+
+
 def encoded(
     docs: DataFrame,
     path: str,
@@ -118,27 +136,16 @@ def encoded(
     """
     built = docs.sparkSession.sparkContext.broadcast(definition(path, pattern))
 
-    def tools():
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_str(built.value)
-
-        def piece(text: str) -> tuple[bytes, str]:
-            ids = tokenizer.encode(text, add_special_tokens=False).ids
-            return np.array(ids, np.uint32).tobytes(), " ".join(map(str, ids))
-
-        return chunks.Encoder(piece), byte_table(tokenizer)
-
     def run(batch: pa.RecordBatch):
-        encode, table = chunks.kept(f"ranks {path}", tools)
+        encode, table, numbers = chunks.kept(f"ranks {path}", lambda: tools(built.value))
         rows: dict[str, list] = {k: [] for k in ("n", "ids", "ids_sha256", "decoded_sha256", "bytes", "chars")}
         for text in batch.column(1).to_pylist():
-            pieces = encode(text or "")
-            ids = np.frombuffer(b"".join([p[0] for p in pieces]), np.uint32)
-            decoded = b"".join(map(table.__getitem__, ids.tolist()))
+            ids = np.frombuffer(b"".join(encode(text or "")), np.uint32)
+            listed = ids.tolist()
+            decoded = b"".join(map(table.__getitem__, listed))
             rows["n"].append(len(ids))
             rows["ids"].append(ids.view(np.int32))
-            rows["ids_sha256"].append(hashlib.sha256(" ".join([p[1] for p in pieces if p[1]]).encode()).hexdigest())
+            rows["ids_sha256"].append(hashlib.sha256(" ".join(map(numbers.__getitem__, listed)).encode()).hexdigest())
             rows["decoded_sha256"].append(hashlib.sha256(decoded).hexdigest())
             if with_spans:
                 ends, begun = spans(ids, table)
