@@ -46,3 +46,31 @@ def test_a_large_batch_of_a_changelog_is_cut_into_more_tasks(spark, tmp_path, fe
     assert used[1:] == ["8", "3"]
     found = changelog.read_changelog(spark, f"{tmp_path}/c")
     assert found.where("offset = 40").first()["value"] == sum(range(40)) + 1
+
+
+def test_stored_movies_are_read_in_step_with_the_ratings(spark, tmp_path, monkeypatch):
+    spark.range(400).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id) AS ts", "id DIV 2 % 5 AS user_id",
+        "'a' AS event_type", "1.5D AS value", "'' AS props",
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    read = []
+    real = sinks.start
+
+    def noted(df, *args, name, **kwargs):
+        query = real(df, *args, name=name, **kwargs)
+        if name == "rated-movies":
+            sinks.drain(query)
+            for progress in query.recentProgress:
+                read.extend(s["numInputRows"] for s in progress["sources"])
+        return query
+
+    monkeypatch.setattr(catalog.rated_movies.sinks, "start", noted)
+    found = catalog.rated_movies_stream(spark, str(tmp_path))
+    # All lie within the reach of the join: 200 ratings, read as 400 events, meet the 40 movies of their user.
+    assert found.count() == 200 * 40
+    assert sum(read) == 400 + 200 and max(read) < 100
+
+
+def test_a_stream_join_keeps_one_state_store_to_a_partition(spark):
+    session.configure(spark)
+    assert spark.conf.get(session.JOIN_STATE) == session.JOIN_STATE_VERSION == "3"
