@@ -12,10 +12,12 @@ on labelled rows that no view was trained on.
 
 Every text is read once: its buckets and facts are stored, and all rounds go over those, many
 documents at a time.  What a task counts is an array of fixed size, as are the sums for a
-Newton step; they are added up in a tree of tasks, and few such arrays reach the driver.
+Newton step; they are added up in a tree of tasks.  The counts, megabytes of them, stay in the
+shared folder: a task fits the content's views to them, and the driver gets those.
 
 The models are fitted on SAMPLE labelled rows, the least by a hash of doc_id, and on every
-unlabelled document.  The driver gets sums and the labelled rows' facts.  Every document is scored.
+unlabelled document.  The driver gets the sums of Newton steps and the labelled rows' facts.  Every
+document is scored.
 
 A document whose labels disagree counts as of low quality, and as toxic, if any label says
 so.  Null labels are left out.  A target with one class only, or none, gets a constant; without
@@ -151,6 +153,17 @@ def logistic(
     return ws
 
 
+def telling(counts: np.ndarray, yes: float, no: float) -> np.ndarray:
+    """The buckets that tell two classes apart, from how many texts of each have every bucket, and how many there are."""
+    yes, no = max(1.0, yes), max(1.0, no)
+    inside, outside = counts
+    a, b = (inside + 0.1) / (yes + 0.2), (outside + 0.1) / (no + 0.2)
+    apart = np.abs(a - b) / np.sqrt((inside + outside + 1) / (yes + no) * (1 / yes + 1 / no))
+    apart[inside + outside == 0] = 0
+    best = np.argsort(-apart, kind="stable")[:FEATURES]
+    return np.sort(best[apart[best] > 5]).astype(np.int32)
+
+
 @dataclass
 class Bayes:
     """Bernoulli naive Bayes over the buckets that tell the classes apart best."""
@@ -160,16 +173,11 @@ class Bayes:
     prior: float
 
     @classmethod
-    def fit(cls, counts: np.ndarray, target: str, yes: float, no: float) -> Bayes:
-        """From how many texts of each class have each bucket, a row for each of COUNTS, and how many there are."""
+    def fit(cls, keys: np.ndarray, counts: np.ndarray, yes: float, no: float) -> Bayes:
+        """From `telling` buckets, how many texts of each class have them, and how many there are."""
         yes, no = max(1.0, yes), max(1.0, no)
-        inside, outside = (counts[COUNTS.index(f"{target}_{side}")] for side in ("yes", "no"))
-        a, b = (inside + 0.1) / (yes + 0.2), (outside + 0.1) / (no + 0.2)
-        telling = np.abs(a - b) / np.sqrt((inside + outside + 1) / (yes + no) * (1 / yes + 1 / no))
-        telling[inside + outside == 0] = 0
-        best = np.argsort(-telling, kind="stable")[:FEATURES]
-        keys = np.sort(best[telling[best] > 5])
-        return cls(keys.astype(np.int32), np.log(a[keys]) - np.log(b[keys]), float(np.log(yes / no)))
+        a, b = (counts[0] + 0.1) / (yes + 0.2), (counts[1] + 0.1) / (no + 0.2)
+        return cls(keys, np.log(a) - np.log(b), float(np.log(yes / no)))
 
     def scores(self, owner: np.ndarray, buckets: np.ndarray, n: int) -> np.ndarray:
         """Log-odds of n texts from their distinct buckets, laid end to end."""
@@ -245,8 +253,8 @@ def described(docs: DataFrame, columns: dict[str, str] | None = None) -> DataFra
     return common.store(common.in_batches(_columns(docs, columns or COLUMNS), run, DESCRIBED), "described")
 
 
-def added_up(parts: DataFrame, tasks: int) -> np.ndarray | None:
-    """The sum of arrays of doubles, one row `part` from each task, in a tree of tasks."""
+def in_one(parts: DataFrame, tasks: int) -> DataFrame:
+    """The sum of arrays of doubles, one row `part` from each task, in a tree of tasks: one row, or none."""
 
     def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
@@ -260,8 +268,13 @@ def added_up(parts: DataFrame, tasks: int) -> np.ndarray | None:
     while tasks > 1:
         tasks = math.ceil(tasks / FAN_IN)
         parts = parts.repartition(tasks).mapInArrow(merge, "part binary")
-    found = [np.frombuffer(r["part"]) for r in parts.collect()]
-    return sum(found[1:], found[0]) if found else None
+    return parts
+
+
+def added_up(parts: DataFrame, tasks: int) -> np.ndarray | None:
+    """The same, brought to the driver."""
+    found = in_one(parts, tasks).collect()
+    return np.frombuffer(found[0]["part"]) if found else None
 
 
 def _held(doc_id: int) -> bool:
@@ -279,8 +292,8 @@ def _training_marks(batch: pa.RecordBatch, _: Described) -> np.ndarray:
     return np.where(held[:, None], np.nan, _marks(batch))
 
 
-def _counted(rows: DataFrame, marks: Callable[[pa.RecordBatch, Described], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """How many texts of each class have each bucket, and how many texts of each class there are."""
+def _counted(rows: DataFrame, marks: Callable[[pa.RecordBatch, Described], np.ndarray]) -> DataFrame:
+    """How many texts of each class have each bucket, and how many texts of each class there are, stored."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, texts = np.zeros((len(COUNTS), BUCKETS)), np.zeros(len(COUNTS))
@@ -294,10 +307,41 @@ def _counted(rows: DataFrame, marks: Callable[[pa.RecordBatch, Described], np.nd
                     total[i] += np.bincount(docs.buckets[chosen[docs.owner]], minlength=BUCKETS)
         yield pa.RecordBatch.from_arrays([pa.array([np.append(total.ravel(), texts).tobytes()], pa.binary())], names=["part"])
 
-    found = added_up(rows.mapInArrow(run, "part binary"), rows.rdd.getNumPartitions())
-    if found is None:
-        found = np.zeros(len(COUNTS) * (BUCKETS + 1))
-    return found[: -len(COUNTS)].reshape(len(COUNTS), BUCKETS), found[-len(COUNTS) :].reshape(-1, 2)
+    return common.store(in_one(rows.mapInArrow(run, "part binary"), rows.rdd.getNumPartitions()), "counts")
+
+
+def _by_content(targets: list[int], own: DataFrame, more: DataFrame | None = None) -> tuple[dict[int, Bayes], np.ndarray]:
+    """Views of the content, and how many texts of each class are labelled.
+
+    From what `_counted` stored of the labelled rows, and of more rows.  A task, which holds two
+    such arrays, picks the buckets; the driver gets those.
+    """
+    parts = own.select(F.lit(0).alias("side"), "part")
+    if more is not None:
+        parts = parts.unionAll(more.select(F.lit(1).alias("side"), "part"))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros((2, len(COUNTS) * (BUCKETS + 1)))
+        for batch in batches:
+            for side, part in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                found[side] += np.frombuffer(part.as_buffer())
+        own_counts, counts = found[:, : -len(COUNTS)].reshape(2, len(TARGETS), 2, BUCKETS)
+        own_totals, totals = found[:, -len(COUNTS) :].reshape(2, len(TARGETS), 2)
+        for k in targets:
+            balance = _balance(totals[k], own_totals[k])
+            both, texts = own_counts[k] + counts[k] * balance[:, None], own_totals[k] + totals[k] * balance
+            keys = telling(both, *texts)
+            made = [keys, both[:, keys], texts, own_totals]
+            columns = [pa.array([k], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in made)]
+            yield pa.RecordBatch.from_arrays(columns, names=["k", "keys", "counts", "texts", "own"])
+
+    shape = "k int, keys binary, counts binary, texts binary, own binary"
+    views = {}
+    for r in parts.coalesce(1).mapInArrow(run, shape).collect():
+        keys, own_totals = np.frombuffer(r["keys"], np.int32), np.frombuffer(r["own"]).reshape(-1, 2)
+        counts = np.frombuffer(r["counts"]).reshape(2, -1)
+        views[r["k"]] = Bayes.fit(keys, counts, *np.frombuffer(r["texts"]))
+    return views, own_totals
 
 
 def _balance(given: np.ndarray, own: np.ndarray) -> np.ndarray:
@@ -384,8 +428,9 @@ def fit_described(rows: DataFrame, labels: DataFrame) -> dict[str, Model]:
         return models
     targets = list(fitted)
     own = [(facts[~held & ~np.isnan(marks[:, k])], marks[~held & ~np.isnan(marks[:, k]), k]) for k in targets]
-    own_counts, own_totals = _counted(labelled, _training_marks)
-    _train(fitted, own_counts, own_totals, logistic(own))
+    own_counts = _counted(labelled, _training_marks)
+    content, own_totals = _by_content(targets, own_counts)
+    _train(fitted, content, logistic(own))
     for _ in range(ROUNDS):
         views = dict(fitted)
 
@@ -395,22 +440,25 @@ def fit_described(rows: DataFrame, labels: DataFrame) -> dict[str, Model]:
                 out[:, k] = _sure(docs.facts @ model.weights)
             return out
 
-        counts, totals = _counted(free, by_metadata)
+        counts = _counted(free, by_metadata)
         given = common.store(_labelled_by_content(free, views), "given")
-        balance = np.array([_balance(a, b) if k in fitted else np.zeros(2) for k, (a, b) in enumerate(zip(totals, own_totals, strict=True))])
         said = given.agg(*[F.count_if(F.col(t) == side).alias(f"{t}_{side}") for t in TARGETS for side in (1, 0)]).first()
         balances = [_balance(np.array(said[2 * k : 2 * k + 2], float), own_totals[k]) for k in targets]
         weights = logistic(own, start=[fitted[k].weights for k in targets], more=_elsewhere(given, targets, balances))
+        content, _ = _by_content(targets, own_counts, counts)
+        _train(fitted, content, weights)
         common.discard(given)
-        _train(fitted, own_counts + counts * balance.reshape(-1, 1), own_totals + totals * balance, weights)
+        common.discard(counts)
+        common.free(rows.sparkSession)
+    common.discard(own_counts)
     _calibrate(fitted, labelled)
     return models
 
 
-def _train(fitted: dict[int, Model], counts: np.ndarray, totals: np.ndarray, weights: list[np.ndarray]) -> None:
-    """New views from counts of content and weights of metadata; the old ones stay as they were."""
+def _train(fitted: dict[int, Model], content: dict[int, Bayes], weights: list[np.ndarray]) -> None:
+    """New views of content and of metadata."""
     for (k, model), w in zip(fitted.items(), weights, strict=True):
-        model.bayes, model.weights = Bayes.fit(counts, TARGETS[k], *totals[k]), w
+        model.bayes, model.weights = content[k], w
 
 
 def _labelled_by_content(free: DataFrame, views: dict[int, Model]) -> DataFrame:
