@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from samples import LINES, MOVIES, RATINGS, SALES, WORD_COUNTS
 
+from tidemark import session
 from tidemark.functions.records import TICKET_SALE
 from tidemark.operators import aggregates, joins, windows
 from tidemark.operators.stateless import peek
@@ -55,6 +56,20 @@ def test_word_count_goes_on_after_a_restart(spark, feed, tmp_path):
     assert rows(word_count.counts(source.table())) == sorted(WORD_COUNTS.items(), key=repr)
 
 
+def test_a_word_count_reads_each_key_once_a_batch(spark, feed, tmp_path):
+    before = {key: spark.conf.get(key, None) for key in session.MANY_KEYS}
+    source = feed(LINE).add(lines("a b b c"), lines("a d", first=1))
+    query = word_count.start(
+        source.stream(), sinks.to_updates(f"{tmp_path}/updates"), checkpoint=f"{tmp_path}/progress", every=None
+    )
+    sinks.drain(query)
+    states = [p["stateOperators"][0] for p in query.recentProgress if p["numInputRows"]]
+    assert [s["numRowsUpdated"] for s in states] == [3, 2]
+    assert [s["customMetrics"]["rocksdbGetCount"] for s in states] == [3, 2]
+    assert dict(rows(sinks.latest_of_updates(spark, f"{tmp_path}/updates"))) == {"a": 2, "b": 2, "c": 1, "d": 1}
+    assert {key: spark.conf.get(key, None) for key in session.MANY_KEYS} == before
+
+
 @pytest.mark.parametrize("how", ["sum", "count"])
 def test_changelog_stream_equals_the_changelog_of_the_table(spark, feed, tmp_path, how):
     sales = [(title, amount, at(i), 0, i) for i, (title, _, amount) in enumerate(SALES)]

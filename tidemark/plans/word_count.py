@@ -94,7 +94,10 @@ def start(
     every: str | None = "10 seconds",
     partitions: int | None = None,
 ) -> StreamingQuery:
-    """Keep counting; each trigger sends on the counts that changed."""
+    """Keep counting; each trigger sends on the counts that changed.
+
+    The state's rows are not counted in the query's progress (``session.MANY_KEYS``).
+    """
     return sinks.start(
         counts(lines),
         sink,
@@ -103,4 +106,5 @@ def start(
         mode="update",
         every=every,
         partitions=partitions,
+        settings=session.MANY_KEYS,
     )

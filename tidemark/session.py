@@ -14,6 +14,12 @@ STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 # One state store to a join's partition in place of four, each with a commit of its own.
 JOIN_STATE = "spark.sql.streaming.join.stateFormatVersion"
 JOIN_STATE_VERSION = "3"
+# For totals of very many keys.  To count a store's rows, each key is read a second time before it
+# is written.  A cache of 8 MB, the default, holds few of a store's blocks.
+MANY_KEYS = {
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+    "spark.sql.streaming.stateStore.rocksdb.blockCacheSizeMB": "64",
+}
 SPLIT_HOT_JOINS = "spark.sql.adaptive.forceOptimizeSkewedJoin"
 
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"

@@ -159,26 +159,34 @@ def start(
     mode: str = "append",
     every: str | None = "10 seconds",
     partitions: int | None = None,
+    settings: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Start a query; ``every=None`` handles what is there now and stops.
 
     Give each query its own name and checkpoint.  ``partitions`` is the number of
     state partitions, which a query keeps for life: about one per core that it
     will ever have.  Left out, the session's shuffle partitions are taken.
+    ``settings`` of the session are set for this query alone.
     """
     writer = sink(df.writeStream.queryName(name).outputMode(mode))
     writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
-    if partitions is None:
-        return writer.start()
+    chosen = dict(settings or {})
+    if partitions is not None:
+        chosen[session.SHUFFLE_PARTITIONS] = str(partitions)
     # A query takes the settings of the moment it starts.
     conf = df.sparkSession.conf
-    before = conf.get(session.SHUFFLE_PARTITIONS)
-    conf.set(session.SHUFFLE_PARTITIONS, str(partitions))
+    before = {key: conf.get(key, None) for key in chosen}
     try:
+        for key, value in chosen.items():
+            conf.set(key, value)
         return writer.start()
     finally:
-        conf.set(session.SHUFFLE_PARTITIONS, before)
+        for key, value in before.items():
+            if value is None:
+                conf.unset(key)
+            else:
+                conf.set(key, value)
 
 
 def drain(query: StreamingQuery) -> StreamingQuery:
